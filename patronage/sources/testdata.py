@@ -36,6 +36,28 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small literal table as an inline VALUES relation.
+
+    Unlike ``createDataFrame`` (an RDD scan with unknown size), an inline
+    table carries exact statistics, so joins against it are planned as
+    broadcast joins up front.
+    """
+    names = [f.strip().split()[0] for f in ddl.split(",")]
+    types = [f.strip().split(None, 1)[1] for f in ddl.split(",")]
+
+    def lit(v, t):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return f"CAST({v} AS {t})"
+
+    values = ", ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in zip(names, types))
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(names)})")
+
+
 def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
     def raw(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,7 +65,7 @@ def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
     t: dict = {}
 
     def lit_df(rows, schema):
-        return spark.createDataFrame(rows, schema)
+        return literal_table(spark, rows, schema)
 
     t["adv_reportvars_d"] = lambda: lit_df(
         [("VOLUNTR_FY", 2000), ("OTHER_VAR", 1)], "var_name string, var_value int")
