@@ -1,34 +1,35 @@
-"""Skew-tolerant forms of a left outer join and of ``row_number``.
+"""A skew-tolerant ``row_number``: exact results, work spread over tasks.
 
-Adaptive execution splits an oversized sort-merge-join partition only on the
-side it may replicate safely: for a LEFT OUTER join that is the left side. A
-right side where one key holds a large share of the rows (assignments of one
-prospect, activity years of one person) would therefore land in one task.
-``left_join_split`` rewrites the join as an INNER join (both sides splittable)
-plus the unmatched left rows, found with an anti join against the right side's
-*distinct* keys (partial aggregation collapses a hot key to one row per task).
+(Skewed joins are handled by adaptive execution's skew-join splitting, or,
+where the many side of a LEFT JOIN may be hot, by joining a per-key count and
+re-expanding, see ``plans.extracts.constituent_extract``.)
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
-
-
-def _equal(pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in pairs])
-
-
-def left_join_split(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
-    """``left LEFT JOIN right ON l1=r1 AND ...`` with the same rows (bag
-    semantics, NULL keys never match). Column names of the two sides must be
-    disjoint."""
-    clash = set(left.columns) & set(right.columns)
-    if clash:
-        raise ValueError(f"rename overlapping columns first: {sorted(clash)}")
-    matched = left.join(right, _equal(on), "inner")
-    keys = right.select(*[F.col(r) for _, r in on]).distinct()
-    unmatched = left.join(keys, _equal(on), "left_anti")
-    padded = unmatched.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return matched.unionByName(padded)
+from pyspark.sql import DataFrame, Window, functions as F
+
+
+def row_number_split(df: DataFrame, partition_col: str, order_cols: list[str], out: str) -> DataFrame:
+    """``row_number() OVER (PARTITION BY p ORDER BY o1, o2, ...)`` (ascending,
+    NULLs last) without putting a whole ``p`` group into one task.
+
+    Rows are numbered inside the finer groups (p, o1) and shifted by the
+    number of rows of the same ``p`` with a smaller o1. Those offsets come
+    from per-(p, o1) counts (map-side partial aggregation, then a window over
+    one row per (p, o1)), so a hot ``p`` is spread over all its o1 values.
+    Same numbers as the plain window, since o1 leads the order.
+    """
+    first, rest = order_cols[0], order_cols[1:]
+    asc = [F.col(c).asc_nulls_last() for c in order_cols]
+    local = df.withColumn("__local", F.row_number().over(
+        Window.partitionBy(partition_col, first).orderBy(*asc[1:] or asc)))
+    before = Window.partitionBy(partition_col).orderBy(F.col(first).asc_nulls_last()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (df.groupBy(partition_col, first).agg(F.count(F.lit(1)).alias("__n"))
+               .withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+               .select(F.col(partition_col).alias("__p"), F.col(first).alias("__f"), "__off"))
+    joined = local.join(offsets, F.col(partition_col).eqNullSafe(F.col("__p"))
+                        & F.col(first).eqNullSafe(F.col("__f")))
+    return joined.withColumn(out, (F.col("__local") + F.col("__off")).cast("int")) \
+        .drop("__local", "__p", "__f", "__off")

@@ -6,7 +6,7 @@ rows with its published column names. Nothing here triggers a job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from patronage import constants as K
 from patronage.functions import (cat, decode, mmddyyyy, ordered_listagg, pad2, strip_token,
@@ -18,7 +18,7 @@ from patronage.operators.population import (population_constituent, population_f
                                             population_standard)
 from patronage.operators.rollups import (affiliation_group_rollup, exclusion_group_rollup,
                                          student_info)
-from patronage.operators.skew import left_join_split
+from patronage.operators.skew import row_number_split
 from patronage.operators.solicitation import staff_solicited
 from patronage.params import Params
 from patronage.tables import Tables
@@ -33,9 +33,11 @@ def activity_extract(t: Tables, p: Params) -> DataFrame:
     acts = (t.apracty.join(actc, F.col("apracty_actc_code") == F.col("stvactc_code"))
             .join(actp, F.col("stvactc_actp_code") == F.col("stvactp_code")))
     rows = pop.join(acts, F.col("pidm") == F.col("apracty_pidm"))
+    # activity years are keyed by (person, activity, year): a left row meets
+    # at most one row per distinct year, so no key of this join can be hot
     years = t.apracyr.select("apracyr_pidm", "apracyr_actc_code", "apracyr_year")
-    rows = left_join_split(rows.select("cons_id", "pidm", "apracty_actc_code", "stvactc_desc", "stvactp_desc"),
-                           years, [("pidm", "apracyr_pidm"), ("apracty_actc_code", "apracyr_actc_code")])
+    rows = rows.join(years, (F.col("pidm") == F.col("apracyr_pidm"))
+                     & (F.col("apracty_actc_code") == F.col("apracyr_actc_code")), "left")
     return rows.select(F.col("cons_id").alias("Constituent_Externalid"),
                        F.col("stvactc_desc").alias("Activity_Name"),
                        F.col("stvactp_desc").alias("Activity_Type"),
@@ -105,8 +107,9 @@ def gift_rows(t: Tables, p: Params) -> DataFrame:
 def gift_extract(t: Tables, p: Params) -> DataFrame:
     """Gift transactions; the id is the gift number plus a two-digit sequence
     within the gift number."""
-    w = Window.partitionBy("gift_number").orderBy(*[F.col(c).asc_nulls_last() for c in GIFT_ORDER])
-    rows = gift_rows(t, p).withColumn("seq", F.row_number().over(w))
+    # numbering within a gift number, split by person so one huge gift number
+    # is not a single task
+    rows = row_number_split(gift_rows(t, p), "gift_number", list(GIFT_ORDER), "seq")
     return rows.select(F.col("cons_id").alias("Constituent_Externalid"),
                        F.col("credit_amount").alias("Gift_Amount"),
                        F.lit(K.GIFT_TYPE_CASH).alias("Gift_Type"),
@@ -146,9 +149,8 @@ def relative_extract(t: Tables, p: Params) -> DataFrame:
 
 
 # --------------------------------------------------------------------- E1
-PERSON_COLUMNS = ("contact_info_key", "exclusion_group_key", "prefix", "first_name", "middle_name",
-                  "last_name", "suffix", "pref_first_name", "college_last_name", "gender",
-                  "marital_desc", "primary_donor_code", "deceased_ind")
+NAME_COLUMNS = ("prefix", "first_name", "middle_name", "last_name", "suffix", "pref_first_name",
+                "college_last_name", "gender", "marital_desc")
 BEHAVIOR_COLUMNS = ("og_consec_yrs_giving", "lyr_og_consec_yrs_giving",
                     "bf_consec_yrs_giving", "lyr_bf_consec_yrs_giving")
 
@@ -160,50 +162,66 @@ def _prefixed(df: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
 def constituent_extract(t: Tables, p: Params) -> DataFrame:
     """The 50-column constituent profile. Rows fan out exactly as the
     specification's joins do (two degrees, two mail codes, several staff
-    assignments, ask or employment rows each give a row)."""
+    assignments, ask or employment rows each give a row).
+
+    Join order is chosen for the shuffles, not copied from the
+    specification (inner joins commute with these left joins): the row stays
+    narrow while it is re-partitioned by each key (person, household+person,
+    household, spouse, pidm, employer), joins sharing a key are adjacent so
+    one exchange serves them, the wide contact and name columns are attached
+    last, and staff assignments are joined as a per-person count and
+    re-expanded at the very end.
+    """
     fy = p.fiscal_year
-    con = population_constituent(t, p, PERSON_COLUMNS, BEHAVIOR_COLUMNS)
+    core = population_constituent(t, p, ("contact_info_key", "exclusion_group_key", "primary_donor_code",
+                                         "deceased_ind"), BEHAVIOR_COLUMNS)
 
-    contact = t.adv_contact_info_d
+    nonbf = non_annual_fund_givers(t, p)
+    # one row per person; a prospect with a huge number of assignments is
+    # collapsed by partial aggregation instead of sitting in one join task
+    ss = (staff_solicited(t, p).groupBy(F.col("constituent_key").alias("ss_key"))
+          .agg(F.count(F.lit(1)).cast("int").alias("ss_n")))
     hhb = t.adv_household_b.select("household_key", F.col("cons_key_sps1").alias("constituent_key"),
                                    "cons_key_sps2", "spouse_name")
+    lg = _prefixed(last_gift(t, p), "lg_", ["household_key", "calendar_date", "designation_ld", "gift_amount"])
     spouse = _prefixed(t.adv_constituent_d, "sps_", ["constituent_key", "cons_id", "scy"])
     affil = affiliation_group_rollup(t)
     excl = exclusion_group_rollup(t)
-    lg = _prefixed(last_gift(t, p), "lg_", ["household_key", "calendar_date", "designation_ld", "gift_amount"])
-    afr = _prefixed(t.afrctyp.where(text_int("afrctyp_dcyr_code") == F.lit(fy)), "",
-                    ["afrctyp_constituent_pidm", "afrctyp_ask_amount", "afrctyp_sol_org"])
+    afr = (t.afrctyp.where(text_int("afrctyp_dcyr_code") == F.lit(fy))
+           .select("afrctyp_constituent_pidm", "afrctyp_ask_amount", "afrctyp_sol_org"))
     apr = (t.aprehis.where((F.col("aprehis_primary_ind") == "Y") & F.col("aprehis_to_date").isNull())
            .select("aprehis_pidm", "aprehis_sicc_code", "aprehis_empr_pidm",
                    "aprehis_empl_position", "aprehis_empr_name"))
-    atv = t.atvsicc.select("atvsicc_code", "atvsicc_desc")
-    emp = _prefixed(t.adv_constituent_d, "emp_", ["pidm", "last_name", "is_mg_company"])
-    nonbf = non_annual_fund_givers(t, p)
     deg = (t.apradeg.where((F.col("apradeg_sbgi_code") == p.school_code)
                            & F.col("apradeg_degc_code").isin(*K.DEGREE_CODES))
            .select("apradeg_pidm", "apradeg_degc_code"))
     sch = (t.aprmail.where(F.col("aprmail_mail_code").isin(*K.MAIL_CODES))
            .select("aprmail_pidm", "aprmail_mail_code"))
-    ss = staff_solicited(t, p).select(F.col("constituent_key").alias("ss_key"))
     stu = student_info(t, p)
+    atv = t.atvsicc.select("atvsicc_code", "atvsicc_desc")
+    emp = _prefixed(t.adv_constituent_d, "emp_", ["pidm", "last_name", "is_mg_company"])
+    contact = t.adv_contact_info_d
+    names = t.adv_constituent_d.select(F.col("constituent_key").alias("nm_constituent_key"), *NAME_COLUMNS)
 
-    rows = (con
-            .join(contact, "contact_info_key")
-            .join(hhb, ["household_key", "constituent_key"])
-            .join(spouse, F.col("cons_key_sps2") == F.col("sps_constituent_key"))
-            .join(affil, "donor_group_key")
+    rows = (core                                                               # by person
+            .join(nonbf, F.col("constituent_key") == F.col("con_key"), "left")
+            .join(ss, F.col("constituent_key") == F.col("ss_key"), "left")
+            .join(hhb, ["household_key", "constituent_key"])                   # by household+person
+            .join(lg, F.col("household_key") == F.col("lg_household_key"), "left")  # by household
+            .join(spouse, F.col("cons_key_sps2") == F.col("sps_constituent_key"))  # by spouse
+            .join(affil, "donor_group_key")                                    # small group roll-ups
             .join(excl, "exclusion_group_key", "left")
-            .join(nonbf, F.col("constituent_key") == F.col("con_key"), "left"))
-    rows = left_join_split(rows, ss, [("constituent_key", "ss_key")])
-    rows = (rows
-            .join(lg, F.col("household_key") == F.col("lg_household_key"), "left")
-            .join(afr, F.col("pidm") == F.col("afrctyp_constituent_pidm"), "left")
+            .join(afr, F.col("pidm") == F.col("afrctyp_constituent_pidm"), "left")  # by pidm
             .join(apr, F.col("pidm") == F.col("aprehis_pidm"), "left")
             .join(deg, F.col("pidm") == F.col("apradeg_pidm"), "left")
             .join(sch, F.col("pidm") == F.col("aprmail_pidm"), "left")
             .join(stu, F.col("pidm") == F.col("par_pidm"), "left")
             .join(atv, F.col("aprehis_sicc_code") == F.col("atvsicc_code"), "left")
-            .join(emp, F.col("aprehis_empr_pidm") == F.col("emp_pidm"), "left"))
+            .join(emp, F.col("aprehis_empr_pidm") == F.col("emp_pidm"), "left")   # by employer
+            .join(contact, "contact_info_key")                                 # wide columns last
+            .join(names, F.col("constituent_key") == F.col("nm_constituent_key"))
+            # one row per staff assignment (none: one row with no assignment)
+            .withColumn("ss_key", F.explode_outer(F.array_repeat(F.col("constituent_key"), F.col("ss_n")))))
 
     c = F.col
     na = K.NOT_APPLICABLE

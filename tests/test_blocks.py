@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.operators import giving, solicitation
-from patronage.operators.skew import left_join_split
 from patronage.params import Params, StaffException, read_fiscal_year
 from patronage.plans import extracts
 
@@ -142,15 +141,6 @@ def test_staff_exception_rules(make_tables):
     assert sorted(r.constituent_key for r in solicitation.staff_solicited(t, P).collect()) == [20, 20, 21, 22]
 
 
-# ------------------------------------------------------------------ skew-safe join
-def test_left_join_split_equals_left_join(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d"), (3, "e")], "k int, v string")
-    right = spark.createDataFrame([(1, "x")] * 50 + [(3, "y"), (3, "z"), (None, "n")], "rk int, w string")
-    got = left_join_split(left, right, [("k", "rk")])
-    want = left.join(right, left.k == right.rk, "left")
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
-
-
 # ------------------------------------------------------------------ wide file
 def test_constituent_fan_out_streaks_and_masking(make_tables):
     people = [person(10, scy="1990", excl=1, donor=1), person(12, scy="1991", donor=2),
@@ -182,3 +172,18 @@ def test_constituent_fan_out_streaks_and_masking(make_tables):
     assert a.Spouse_Externalid is None and a.Spouse_Name is None and a.Constituent_Email is None
     assert a.NonBFGiving == "FALSE" and a.Constituent_DonorStatus is None
     assert len(rows[0]) == 50
+
+
+def test_row_number_split_equals_window(spark):
+    from pyspark.sql import Window
+    from patronage.operators.skew import row_number_split
+    rows = [("hot", k % 7 if k % 11 else None, k, k % 3) for k in range(400)] + \
+           [("cold", 1, 5, 0), ("cold", None, 1, 0), (None, 2, 3, 1), (None, 2, 1, 1)]
+    df = spark.createDataFrame(rows, "g string, a int, b int, c int").repartition(5)
+    order = ["a", "b", "c"]
+    want = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("g").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
+    got = row_number_split(df, "g", order, "rn")
+    key = lambda r: (str(r.g), r.rn)
+    assert sorted(map(tuple, got.select(*df.columns, "rn").collect()), key=repr) == \
+        sorted(map(tuple, want.collect()), key=repr)
