@@ -1,40 +1,25 @@
 """Derive the 32 warehouse tables from the driver's TPC-H-like test data.
 
 The mapping is documented in FIXTURES.md (section 3); the DuckDB oracle builds
-the same tables with SQL in ``patronage.checks.fixtures_sql``. Every derived
-table is a linear function of the inputs (no pairs within a group), so the
-extracts' work grows with the test data. The code tables (designations,
-campaign types, ...) are small literal dimensions, as in a real warehouse.
+the same tables with its own SQL (``patronage.checks.fixtures_sql``), so the
+adapter is checked together with the extracts. Every derived table is a
+linear function of the inputs (generators, not cross joins; no pairs within
+a group), so the extracts' work grows with the test data. The code tables
+(designations, campaign types, ...) are small literal dimensions, as in a
+real warehouse.
+
+Projections are written as SQL expression strings (``selectExpr``): one
+round trip to the JVM per projection instead of one per expression node.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from patronage.tables import Tables
 
 CAMPAIGN_YEARS = list(range(1995, 2003))
 
-CONSTITUENT_DDL = (
-    "constituent_key bigint, pidm bigint, cons_id string, household_key bigint, "
-    "contact_info_key bigint, exclusion_group_key bigint, donor_group_key bigint, "
-    "prefix string, first_name string, middle_name string, last_name string, suffix string, "
-    "pref_first_name string, college_last_name string, gender string, marital_desc string, "
-    "scy string, parent_scy string, primary_donor_code string, deceased_ind string, "
-    "is_mg_company string")
-
-
-def _k(name: str = "c_custkey") -> Column:
-    return F.col(name)
-
-
-def _mod(c: Column, n: int) -> Column:
-    return c % F.lit(n)
-
-
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
 
 def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A small literal table as an inline VALUES relation.
@@ -58,149 +43,120 @@ def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame
     return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(names)})")
 
 
+CONSTITUENT = [
+    "c_custkey AS constituent_key",
+    "100000 + c_custkey AS pidm",
+    "lpad(CAST(c_custkey AS STRING), 9, '0') AS cons_id",
+    "c_custkey - c_custkey % 2 AS household_key",
+    "c_custkey AS contact_info_key",
+    "c_custkey % 40 AS exclusion_group_key",
+    "c_custkey % 12 AS donor_group_key",
+    "CASE c_custkey % 3 WHEN 0 THEN 'Mr.' WHEN 1 THEN 'Ms.' END AS prefix",
+    "concat('First', CAST(c_custkey % 97 AS STRING)) AS first_name",
+    "CASE WHEN c_custkey % 2 = 0 THEN 'M.' END AS middle_name",
+    "CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE concat('Last', CAST(c_custkey % 211 AS STRING)) END AS last_name",
+    "CASE WHEN c_custkey % 50 = 0 THEN 'Jr.' END AS suffix",
+    "concat('Pref', CAST(c_custkey % 97 AS STRING)) AS pref_first_name",
+    "concat('Last', CAST(c_custkey % (CASE WHEN c_custkey % 7 = 0 THEN 101 ELSE 211 END) AS STRING))"
+    " AS college_last_name",
+    "CASE c_custkey % 4 WHEN 0 THEN 'M' WHEN 1 THEN 'F' WHEN 2 THEN 'N' END AS gender",
+    "c_mktsegment AS marital_desc",
+    "CASE WHEN c_custkey % 5 <= 2 THEN CAST(1920 + c_custkey % 86 AS STRING) ELSE 'n/a' END AS scy",
+    "CASE WHEN c_custkey % 5 = 3 AND c_custkey % 3 <> 0 THEN CAST(1990 + c_custkey % 16 AS STRING)"
+    " ELSE 'n/a' END AS parent_scy",
+    "CASE WHEN c_custkey % 5 IN (0, 1, 4) THEN 'A' WHEN c_custkey % 5 = 2 THEN 'S' ELSE 'P' END"
+    " AS primary_donor_code",
+    "CASE WHEN c_custkey % 13 = 0 THEN 'Y' ELSE 'N' END AS deceased_ind",
+    "CASE WHEN c_custkey % 4 = 0 THEN 'Y' ELSE 'N' END AS is_mg_company",
+]
+CONSTITUENT_DDL = (
+    "constituent_key bigint, pidm bigint, cons_id string, household_key bigint, "
+    "contact_info_key bigint, exclusion_group_key bigint, donor_group_key bigint, "
+    "prefix string, first_name string, middle_name string, last_name string, suffix string, "
+    "pref_first_name string, college_last_name string, gender string, marital_desc string, "
+    "scy string, parent_scy string, primary_donor_code string, deceased_ind string, "
+    "is_mg_company string")
+
+CAMPAIGN_KEY = "CAST(fy * 10 + CASE WHEN {open} THEN 2 ELSE 1 END AS INT) AS campaign_key"
+
+
 def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    def raw(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scans: dict[str, DataFrame] = {}
 
-    t: dict = {}
+    def raw(name: str) -> DataFrame:
+        # one scan node per input file: listed and footer-read once per plan
+        if name not in scans:
+            scans[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return scans[name]
 
-    def lit_df(rows, schema):
-        return literal_table(spark, rows, schema)
+    def lit_df(rows, ddl):
+        return literal_table(spark, rows, ddl)
 
-    t["adv_reportvars_d"] = lambda: lit_df(
-        [("VOLUNTR_FY", 2000), ("OTHER_VAR", 1)], "var_name string, var_value int")
+    t: dict = {}
+    t["adv_reportvars_d"] = lambda: lit_df([("VOLUNTR_FY", 2000), ("OTHER_VAR", 1)],
+                                           "var_name string, var_value int")
 
     def constituent() -> DataFrame:
-        c = _k()
-        people = raw("customer").select(
-            c.alias("constituent_key"),
-            (F.lit(100000) + c).alias("pidm"),
-            F.lpad(_s(c), 9, "0").alias("cons_id"),
-            (c - _mod(c, 2)).alias("household_key"),
-            c.alias("contact_info_key"),
-            _mod(c, 40).alias("exclusion_group_key"),
-            _mod(c, 12).alias("donor_group_key"),
-            F.when(_mod(c, 3) == 0, "Mr.").when(_mod(c, 3) == 1, "Ms.").alias("prefix"),
-            F.concat(F.lit("First"), _s(_mod(c, 97))).alias("first_name"),
-            F.when(_mod(c, 2) == 0, "M.").alias("middle_name"),
-            F.when(_mod(c, 31) == 0, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("Last"), _s(_mod(c, 211)))).alias("last_name"),
-            F.when(_mod(c, 50) == 0, "Jr.").alias("suffix"),
-            F.concat(F.lit("Pref"), _s(_mod(c, 97))).alias("pref_first_name"),
-            F.concat(F.lit("Last"),
-                     _s(c % F.when(_mod(c, 7) == 0, 101).otherwise(211))).alias("college_last_name"),
-            F.when(_mod(c, 4) == 0, "M").when(_mod(c, 4) == 1, "F")
-             .when(_mod(c, 4) == 2, "N").alias("gender"),
-            F.col("c_mktsegment").alias("marital_desc"),
-            F.when(_mod(c, 5) <= 2, _s(F.lit(1920) + _mod(c, 86))).otherwise("n/a").alias("scy"),
-            F.when((_mod(c, 5) == 3) & (_mod(c, 3) != 0), _s(F.lit(1990) + _mod(c, 16)))
-             .otherwise("n/a").alias("parent_scy"),
-            F.when(_mod(c, 5).isin(0, 1, 4), "A").when(_mod(c, 5) == 2, "S")
-             .otherwise("P").alias("primary_donor_code"),
-            F.when(_mod(c, 13) == 0, "Y").otherwise("N").alias("deceased_ind"),
-            F.when(_mod(c, 4) == 0, "Y").otherwise("N").alias("is_mg_company"),
-        )
+        people = raw("customer").selectExpr(*CONSTITUENT)
         # the warehouse's "n/a" person that unmarried people point at as spouse 2
         sentinel = lit_df([(-1, -1, "n/a", -1, -1, -1, -1) + (None,) * 9 + ("n/a", "n/a", "X", "N", "N")],
                           CONSTITUENT_DDL)
         return people.unionByName(sentinel)
 
     t["adv_constituent_d"] = constituent
-
-    def household() -> DataFrame:
-        con = tables.adv_constituent_d.where(F.col("constituent_key") >= 0)
-        k, hh = F.col("constituent_key"), F.col("household_key")
-        return con.select(
-            hh,
-            k.alias("cons_key_sps1"),
-            F.when(_mod(hh, 3) == 0, F.lit(-1).cast("bigint"))
-             .when(_mod(k, 2) == 0, k + 1).otherwise(k - 1).alias("cons_key_sps2"),
-            F.when(_mod(hh, 3) == 0, "n/a")
-             .otherwise(F.concat(F.lit("Spouse"), _s(k))).alias("spouse_name"),
-        )
-
-    t["adv_household_b"] = household
+    t["adv_household_b"] = lambda: tables.adv_constituent_d.where("constituent_key >= 0").selectExpr(
+        "household_key", "constituent_key AS cons_key_sps1",
+        "CASE WHEN household_key % 3 = 0 THEN CAST(-1 AS BIGINT) WHEN constituent_key % 2 = 0 "
+        "THEN constituent_key + 1 ELSE constituent_key - 1 END AS cons_key_sps2",
+        "CASE WHEN household_key % 3 = 0 THEN 'n/a' ELSE concat('Spouse', CAST(constituent_key AS STRING)) END"
+        " AS spouse_name")
 
     def contact() -> DataFrame:
-        c = _k()
         cust = raw("customer").select("c_custkey", "c_nationkey")
         nation = raw("nation").select("n_nationkey", "n_name")
-        return cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
-            c.alias("contact_info_key"),
-            F.when(_mod(c, 4) == 0, "n/a")
-             .otherwise(F.concat(F.lit("c"), _s(c), F.lit("@example.org"))).alias("pref_email"),
-            F.when(_mod(c, 3) == 0, "n/a")
-             .otherwise(F.concat(F.lit("555-"), F.lpad(_s(_mod(c, 10000)), 4, "0"))).alias("home_phone"),
-            F.lit("n/a").alias("cell_primary"),
-            F.concat(_s(c), F.lit(" Main St")).alias("pref_mail_street1"),
-            F.lit("n/a").alias("pref_mail_street2"),
-            F.lit("n/a").alias("pref_mail_street3"),
-            F.concat(F.lit("City"), _s(F.col("c_nationkey"))).alias("pref_mail_city"),
-            F.lit("ME").alias("pref_mail_state_code"),
-            F.lpad(_s(_mod(c, 100000)), 5, "0").alias("pref_mail_zip"),
-            F.when(_mod(c, 9) == 0, "n/a").otherwise(F.col("n_name")).alias("pref_mail_nation_desc"),
-            F.lit("n/a").alias("work_city"),
-            F.lit("ME").alias("work_state_code"),
-        )
+        return cust.join(nation, cust.c_nationkey == nation.n_nationkey).selectExpr(
+            "c_custkey AS contact_info_key",
+            "CASE WHEN c_custkey % 4 = 0 THEN 'n/a' ELSE concat('c', CAST(c_custkey AS STRING), '@example.org') END"
+            " AS pref_email",
+            "CASE WHEN c_custkey % 3 = 0 THEN 'n/a' ELSE concat('555-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'))"
+            " END AS home_phone",
+            "'n/a' AS cell_primary", "concat(CAST(c_custkey AS STRING), ' Main St') AS pref_mail_street1",
+            "'n/a' AS pref_mail_street2", "'n/a' AS pref_mail_street3",
+            "concat('City', CAST(c_nationkey AS STRING)) AS pref_mail_city", "'ME' AS pref_mail_state_code",
+            "lpad(CAST(c_custkey % 100000 AS STRING), 5, '0') AS pref_mail_zip",
+            "CASE WHEN c_custkey % 9 = 0 THEN 'n/a' ELSE n_name END AS pref_mail_nation_desc",
+            "'n/a' AS work_city", "'ME' AS work_state_code")
 
     t["adv_contact_info_d"] = contact
-
-    def behavior() -> DataFrame:
-        c = _k()
-        status = (F.when(_mod(c, 7) == 0, "Donor").when(_mod(c, 7) == 1, "Pledger")
-                  .when(_mod(c, 7) == 2, "Partial_Pledger").when(_mod(c, 7) == 3, "Lybunt")
-                  .when(_mod(c, 7) == 4, "Sybunt2").when(_mod(c, 7) == 5, "Partial Pledger")
-                  .otherwise("Never"))
-        # one snapshot row per person and fiscal year (a generator, not a join)
-        return raw("customer").select(
-            c.alias("constituent_key"),
-            F.explode(F.array(F.lit(1999), F.lit(2000))).alias("fiscal_year"),
-            status.alias("og_donor_status"),
-            _mod(c, 4).alias("og_consec_yrs_giving"),
-            _mod(c, 6).alias("lyr_og_consec_yrs_giving"),
-            _mod(c, 3).alias("bf_consec_yrs_giving"),
-            _mod(c, 5).alias("lyr_bf_consec_yrs_giving"),
-        )
-
-    t["adv_donor_behavior_ps"] = behavior
-
-    def gift_base() -> DataFrame:
-        ts = F.col("o_orderdate")
-        return raw("orders").select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-            ts.cast("date").alias("d"),
-            (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int").alias("date_key"),
-            (F.year(ts) + F.when(F.month(ts) >= 7, 1).otherwise(0)).cast("int").alias("fy"),
-            F.col("o_totalprice").cast("decimal(14,2)").alias("amt"),
-        )
-
-    t["gift_base"] = gift_base
-
-    def campaign_year_starts() -> DataFrame:
-        y = F.col("y")
-        return (lit_df([(v,) for v in CAMPAIGN_YEARS], "y int")
-                .select(y, ((y - 1) * 10000 + 701).cast("int").alias("date_key_est")))
+    # one snapshot row per person and fiscal year (a generator, not a join)
+    t["adv_donor_behavior_ps"] = lambda: raw("customer").selectExpr(
+        "c_custkey AS constituent_key", "explode(array(1999, 2000)) AS fiscal_year",
+        "CASE c_custkey % 7 WHEN 0 THEN 'Donor' WHEN 1 THEN 'Pledger' WHEN 2 THEN 'Partial_Pledger' "
+        "WHEN 3 THEN 'Lybunt' WHEN 4 THEN 'Sybunt2' WHEN 5 THEN 'Partial Pledger' ELSE 'Never' END"
+        " AS og_donor_status",
+        "c_custkey % 4 AS og_consec_yrs_giving", "c_custkey % 6 AS lyr_og_consec_yrs_giving",
+        "c_custkey % 3 AS bf_consec_yrs_giving", "c_custkey % 5 AS lyr_bf_consec_yrs_giving")
+    t["gift_base"] = lambda: raw("orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "CAST(o_orderdate AS DATE) AS d",
+        "CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) AS date_key",
+        "CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) >= 7 THEN 1 ELSE 0 END AS INT) AS fy",
+        "CAST(o_totalprice AS DECIMAL(14,2)) AS amt")
+
+    def campaign_years() -> DataFrame:
+        return lit_df([(y,) for y in CAMPAIGN_YEARS], "y int").selectExpr(
+            "y", "CAST((y - 1) * 10000 + 701 AS INT) AS date_key_est")
 
     def calendar() -> DataFrame:
-        days = tables.gift_base.select(F.col("date_key"), F.col("d").alias("calendar_date"),
-                                       F.col("fy").alias("fiscal_year"))
-        starts = campaign_year_starts().select(
-            F.col("date_key_est").alias("date_key"),
-            F.make_date(F.col("y") - 1, F.lit(7), F.lit(1)).alias("calendar_date"),
-            F.col("y").alias("fiscal_year"))
+        days = tables.gift_base.selectExpr("date_key", "d AS calendar_date", "fy AS fiscal_year")
+        starts = campaign_years().selectExpr("date_key_est AS date_key", "make_date(y - 1, 7, 1) AS calendar_date",
+                                             "y AS fiscal_year")
         return days.unionByName(starts).distinct()
 
     t["adv_calendar_dv"] = calendar
-
-    def campaign() -> DataFrame:
-        k = F.explode(F.array(F.lit(1), F.lit(2))).alias("k")
-        return (campaign_year_starts().select("y", "date_key_est", k)
-                .select((F.col("y") * 10 + F.col("k")).cast("int").alias("campaign_key"),
-                        F.when(F.col("k") == 1, "AF").otherwise("CC").alias("campaign_type_sd"),
-                        "date_key_est"))
-
-    t["adv_campaign_d"] = campaign
-
+    t["adv_campaign_d"] = lambda: campaign_years().selectExpr(
+        "y", "date_key_est", "explode(array(1, 2)) AS k").selectExpr(
+        "CAST(y * 10 + k AS INT) AS campaign_key", "CASE WHEN k = 1 THEN 'AF' ELSE 'CC' END AS campaign_type_sd",
+        "date_key_est")
     t["adv_gift_description_d"] = lambda: lit_df(
         [(0, "N", "N"), (1, "N", "N"), (2, "N", "N"), (3, "N", "N"), (4, "N", "N"),
          (5, "Y", "N"), (6, "N", "Y")],
@@ -208,127 +164,82 @@ def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
     t["adv_designation_d"] = lambda: lit_df(
         [(1, "Annual Fund"), (2, "Scholarship"), (3, "Library"), (4, "Athletics"), (5, "Unrestricted")],
         "designation_key int, designation_ld string")
-
-    def campaign_key_of(open_flag: Column) -> Column:
-        return (F.col("fy") * 10 + F.when(open_flag, 2).otherwise(1)).cast("int")
-
-    def hh_giving() -> DataFrame:
-        ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-        hh = ck - _mod(ck, 2)
-        return tables.gift_base.where(_mod(hh, 22) != 0).select(
-            hh.alias("household_key"),
-            F.concat(F.lit("G"), _s(ok - _mod(ok, 3))).alias("gift_number"),
-            F.col("date_key").alias("date_key_gift"),
-            F.substring("o_orderpriority", 1, 1).cast("int").alias("designation_key"),
-            campaign_key_of(F.col("o_orderstatus") == "O").alias("campaign_key"),
-            _mod(ok, 7).alias("gift_description_key"),
-            F.when(_mod(ok, 4) == 0, F.lit(None).cast("bigint")).otherwise(ok).alias("pledge_number"),
-            F.col("amt").alias("credit_amount"),
-        )
-
-    t["adv_hh_giving_f"] = hh_giving
-
-    def credit() -> DataFrame:
-        return tables.gift_base.select(
-            F.col("o_custkey").alias("constituent_key_credit"),
-            _mod(F.col("o_orderkey"), 7).alias("gift_description_key"),
-            campaign_key_of(F.col("o_orderstatus") == "O").alias("campaign_key"),
-            F.col("fy").alias("fiscal_year"),
-            F.col("amt").alias("credit_amount"),
-        )
-
-    t["adv_credit_f"] = credit
-
+    t["adv_hh_giving_f"] = lambda: tables.gift_base.where("(o_custkey - o_custkey % 2) % 22 <> 0").selectExpr(
+        "o_custkey - o_custkey % 2 AS household_key",
+        "concat('G', CAST(o_orderkey - o_orderkey % 3 AS STRING)) AS gift_number",
+        "date_key AS date_key_gift", "CAST(substring(o_orderpriority, 1, 1) AS INT) AS designation_key",
+        CAMPAIGN_KEY.format(open="o_orderstatus = 'O'"), "o_orderkey % 7 AS gift_description_key",
+        "CASE WHEN o_orderkey % 4 = 0 THEN CAST(NULL AS BIGINT) ELSE o_orderkey END AS pledge_number",
+        "amt AS credit_amount")
+    t["adv_credit_f"] = lambda: tables.gift_base.selectExpr(
+        "o_custkey AS constituent_key_credit", "o_orderkey % 7 AS gift_description_key",
+        CAMPAIGN_KEY.format(open="o_orderstatus = 'O'"), "fy AS fiscal_year", "amt AS credit_amount")
     t["adv_pldg_description_d"] = lambda: lit_df(
-        [(0, "A", "N", "N"), (1, "P", "N", "N"), (2, "A", "Y", "N"), (3, "C", "N", "N"),
-         (4, "A", "N", "Y")],
+        [(0, "A", "N", "N"), (1, "P", "N", "N"), (2, "A", "Y", "N"), (3, "C", "N", "N"), (4, "A", "N", "Y")],
         "pldg_description_key int, pledge_status_sd string, soft_credit_ind string, anon_ind string")
 
     def pledge_install() -> DataFrame:
-        li = raw("lineitem").select("l_orderkey", "l_linenumber", "l_linestatus",
-                                    "l_returnflag", "l_extendedprice")
+        li = raw("lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_extendedprice")
         gb = tables.gift_base.select("o_orderkey", "o_custkey", "fy")
-        expected = F.col("l_extendedprice").cast("decimal(14,2)")
-        return li.join(gb, li.l_orderkey == gb.o_orderkey).select(
-            F.col("o_custkey").alias("constituent_key_pledger"),
-            _mod(F.col("l_linenumber"), 5).alias("pledge_description_key"),
-            (F.col("fy") * 10 + F.when(F.col("l_linestatus") == "F", 1).otherwise(2))
-             .cast("int").alias("campaign_key"),
-            F.col("fy").alias("install_fiscal_year"),
-            expected.alias("expected_amt"),
-            F.when(F.col("l_returnflag") == "N", F.lit(0).cast("decimal(14,2)"))
-             .otherwise(expected).alias("install_amt_paid"),
-        )
+        return li.join(gb, li.l_orderkey == gb.o_orderkey).selectExpr(
+            "o_custkey AS constituent_key_pledger", "l_linenumber % 5 AS pledge_description_key",
+            "CAST(fy * 10 + CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS INT) AS campaign_key",
+            "fy AS install_fiscal_year",
+            "CAST(l_extendedprice AS DECIMAL(14,2)) AS expected_amt",
+            "CASE WHEN l_returnflag = 'N' THEN CAST(0 AS DECIMAL(14,2)) "
+            "ELSE CAST(l_extendedprice AS DECIMAL(14,2)) END AS install_amt_paid")
 
     t["adv_pledge_install_f"] = pledge_install
-
     t["adv_donor_codes_d"] = lambda: lit_df(
         [(1, "A", "Alumni"), (2, "P", "Parent"), (3, "T", "Trustee"), (4, "TS", "Trustee Spouse"),
          (5, "F", "Friend"), (6, "S", "Student")],
         "donor_code_key int, donor_code_sd string, donor_code_ld string")
 
-    def group_bridge(group_col: str, lo: int, hi: int, code_keys: list[int], keep) -> DataFrame:
-        groups = (tables.adv_constituent_d.select(F.col(group_col).alias("g"))
-                  .where(F.col("g").between(lo, hi)).distinct())
-        code = F.explode(F.array(*[F.lit(v) for v in code_keys])).alias("code")
-        return groups.select("g", code).where(keep(F.col("g"), F.col("code")))
-
-    def donor_group() -> DataFrame:
-        b = group_bridge("donor_group_key", 0, 10, [1, 2, 3, 4, 5, 6],
-                         lambda g, c: ((g + c) % 5 == 0) | (c.isin(1, 2) & (g % 4 != 3)))
-        return b.select(F.col("g").alias("donor_group_key"), F.col("code").alias("donor_code_key"))
-
-    t["adv_donor_group_b"] = donor_group
+    def bridge(group_col: str, lo: int, hi: int, n_codes: int, keep: str, out_group: str, out_code: str):
+        # distinct groups x every code key, through a generator (no cross join)
+        groups = (tables.adv_constituent_d.where(f"{group_col} BETWEEN {lo} AND {hi}")
+                  .selectExpr(f"{group_col} AS g").distinct())
+        return (groups.selectExpr("g", f"explode(sequence(1, {n_codes})) AS code").where(keep)
+                .selectExpr(f"g AS {out_group}", f"code AS {out_code}"))
 
+    t["adv_donor_group_b"] = lambda: bridge(
+        "donor_group_key", 0, 10, 6, "(g + code) % 5 = 0 OR (code IN (1, 2) AND g % 4 <> 3)",
+        "donor_group_key", "donor_code_key")
     t["adv_exclusion_codes_d"] = lambda: lit_df(
         [(1, "DM", "No Mail"), (2, "DME", "No Email"), (3, "NS", "No Solicit"),
          (4, "NSE", "No Email Solicit"), (5, "NP", "No Phone Solicit"), (6, "NT", "No Text"),
          (7, "NO", "No Contact"), (8, "N25", "Not Solicitable"), (9, "VMS", "No Volunteer"),
          (10, "ZZ", "Other")],
         "exclusion_code_key int, exclusion_code_sd string, exclusion_code_ld string")
-
-    def exclusion_group() -> DataFrame:
-        b = group_bridge("exclusion_group_key", 0, 29, list(range(1, 11)),
-                         lambda g, c: ((g * 3 + c) % 11 == 0) | ((g % 10 == 1) & c.isin(3, 4, 5)))
-        return b.select(F.col("g").alias("exclusion_group_key"),
-                        F.col("code").alias("exclusion_code_key"))
-
-    t["adv_exclusion_group_b"] = exclusion_group
+    t["adv_exclusion_group_b"] = lambda: bridge(
+        "exclusion_group_key", 0, 29, 10, "(g * 3 + code) % 11 = 0 OR (g % 10 = 1 AND code IN (3, 4, 5))",
+        "exclusion_group_key", "exclusion_code_key")
 
     def xref() -> DataFrame:
         con = tables.adv_constituent_d.select("constituent_key", "pidm", "primary_donor_code")
-        q = con.select(F.col("constituent_key").alias("q_key"), F.col("pidm").alias("q_pidm"))
+        q = con.selectExpr("constituent_key AS q_key", "pidm AS q_pidm")
 
-        def hop(p: DataFrame, offset: int, code: Column) -> DataFrame:
+        def hop(p: DataFrame, offset: int, code: str) -> DataFrame:
             return (p.join(q, q.q_key == p.constituent_key + offset)
-                    .select(F.col("pidm").alias("aprxref_pidm"),
-                            F.col("q_pidm").alias("aprxref_xref_pidm"),
-                            code.alias("aprxref_xref_code")))
-
-        students = con.where(F.col("primary_donor_code") == "S")
-        k6 = _mod(F.col("constituent_key"), 6)
-        rel = (F.when(k6 == 0, "SPS").when(k6 == 1, "CHL").when(k6 == 2, "SCH")
-               .when(k6 == 3, "WRD").when(k6 == 4, "PRT").otherwise("SIB"))
-        return (hop(students, 1, F.lit("PAR"))
-                .unionByName(hop(con.where(F.col("constituent_key") >= 0), 7, rel))
-                .unionByName(hop(students, 6, F.lit("PAR"))))
+                    .selectExpr("pidm AS aprxref_pidm", "q_pidm AS aprxref_xref_pidm",
+                                f"{code} AS aprxref_xref_code"))
 
-    t["aprxref"] = xref
+        students = con.where("primary_donor_code = 'S'")
+        rel = ("CASE constituent_key % 6 WHEN 0 THEN 'SPS' WHEN 1 THEN 'CHL' WHEN 2 THEN 'SCH' "
+               "WHEN 3 THEN 'WRD' WHEN 4 THEN 'PRT' ELSE 'SIB' END")
+        return (hop(students, 1, "'PAR'")
+                .unionByName(hop(con.where("constituent_key >= 0"), 7, rel))
+                .unionByName(hop(students, 6, "'PAR'")))
 
-    t["aprpros"] = lambda: (tables.adv_constituent_d.where(F.col("primary_donor_code") == "S")
-                            .select(F.col("pidm").alias("aprpros_pidm"),
-                                    F.lit("ADIN").alias("aprpros_prtp_code"),
-                                    F.when(_mod(F.col("constituent_key"), 2) == 0, "FAN")
-                                     .otherwise("OTH").alias("aprpros_prcd_code")))
-
-    t["apracty"] = lambda: (raw("events")
-                            .select((F.lit(100000) + F.col("user_id")).alias("apracty_pidm"),
-                                    F.col("event_type").alias("apracty_actc_code")).distinct())
-    t["apracyr"] = lambda: (raw("events").where(F.col("event_type") != "view")
-                            .select((F.lit(100000) + F.col("user_id")).alias("apracyr_pidm"),
-                                    F.col("event_type").alias("apracyr_actc_code"),
-                                    _s(F.lit(1990) + F.dayofmonth("ts")).alias("apracyr_year"))
-                            .distinct())
+    t["aprxref"] = xref
+    t["aprpros"] = lambda: tables.adv_constituent_d.where("primary_donor_code = 'S'").selectExpr(
+        "pidm AS aprpros_pidm", "'ADIN' AS aprpros_prtp_code",
+        "CASE WHEN constituent_key % 2 = 0 THEN 'FAN' ELSE 'OTH' END AS aprpros_prcd_code")
+    t["apracty"] = lambda: raw("events").selectExpr(
+        "100000 + user_id AS apracty_pidm", "event_type AS apracty_actc_code").distinct()
+    t["apracyr"] = lambda: raw("events").where("event_type <> 'view'").selectExpr(
+        "100000 + user_id AS apracyr_pidm", "event_type AS apracyr_actc_code",
+        "CAST(1990 + day(ts) AS STRING) AS apracyr_year").distinct()
     t["stvactc"] = lambda: lit_df(
         [("click", "Debate", "SOORG"), ("view", "Rowing", "SPRTS"), ("purchase", "Reunion", "ALUMN"),
          ("error", "Other", "MISC"), ("signup", "Council", "SOORG"), ("1276", "Dropped", "SOORG")],
@@ -339,86 +250,68 @@ def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
         "stvactp_code string, stvactp_desc string")
 
     def degrees() -> DataFrame:
-        con = tables.adv_constituent_d.where(F.col("primary_donor_code") == "A")
-        k = F.col("constituent_key")
-        grad = F.make_date((F.lit(1930) + _mod(k, 70)).cast("int"), F.lit(5), F.lit(20))
-        first = con.where(_mod(k, 9) != 0).select(
-            F.col("pidm").alias("apradeg_pidm"), F.lit(1).alias("apradeg_seq_no"),
-            F.when(_mod(k, 11) == 0, "009999").otherwise("003076").alias("apradeg_sbgi_code"),
-            F.when(_mod(k, 15) == 0, F.lit(None).cast("string")).otherwise("BA").alias("apradeg_degc_code"),
-            grad.alias("apradeg_date"))
-        second = con.where(_mod(k, 10) == 0).select(
-            F.col("pidm").alias("apradeg_pidm"), F.lit(2).alias("apradeg_seq_no"),
-            F.lit("003076").alias("apradeg_sbgi_code"), F.lit("BS").alias("apradeg_degc_code"),
-            grad.alias("apradeg_date"))
+        alumni = tables.adv_constituent_d.where("primary_donor_code = 'A'")
+        grad = "make_date(CAST(1930 + constituent_key % 70 AS INT), 5, 20) AS apradeg_date"
+        first = alumni.where("constituent_key % 9 <> 0").selectExpr(
+            "pidm AS apradeg_pidm", "1 AS apradeg_seq_no",
+            "CASE WHEN constituent_key % 11 = 0 THEN '009999' ELSE '003076' END AS apradeg_sbgi_code",
+            "CASE WHEN constituent_key % 15 = 0 THEN CAST(NULL AS STRING) ELSE 'BA' END AS apradeg_degc_code", grad)
+        second = alumni.where("constituent_key % 10 = 0").selectExpr(
+            "pidm AS apradeg_pidm", "2 AS apradeg_seq_no", "'003076' AS apradeg_sbgi_code",
+            "'BS' AS apradeg_degc_code", grad)
         return first.unionByName(second)
 
     t["apradeg"] = degrees
 
     def majors() -> DataFrame:
-        c, n = _k(), F.col("c_nationkey")
         cust = raw("customer").select("c_custkey", "c_nationkey")
-        pidm = (F.lit(100000) + c).alias("apramaj_pidm")
-        one = F.lit(1).alias("apramaj_adeg_seq_no")
-        return (cust.where(_mod(c, 4) != 3).select(pidm, one, _s(n).alias("apramaj_majr_code"))
-                .unionByName(cust.where(_mod(c, 2) == 0)
-                             .select(pidm, one, _s((n + 3) % 30).alias("apramaj_majr_code"))))
+        head = ["100000 + c_custkey AS apramaj_pidm", "1 AS apramaj_adeg_seq_no"]
+        return (cust.where("c_custkey % 4 <> 3")
+                .selectExpr(*head, "CAST(c_nationkey AS STRING) AS apramaj_majr_code")
+                .unionByName(cust.where("c_custkey % 2 = 0")
+                             .selectExpr(*head, "CAST((c_nationkey + 3) % 30 AS STRING) AS apramaj_majr_code")))
 
     t["apramaj"] = majors
-    t["stvmajr"] = lambda: raw("nation").select(_s(F.col("n_nationkey")).alias("stvmajr_code"),
-                                                F.col("n_name").alias("stvmajr_desc"))
-
-    def ask() -> DataFrame:
-        c = _k()
-        m8 = _mod(c, 8)
-        org = (F.when(m8 == 0, "TP").when(m8 == 1, "PA").when(m8 == 2, "MDS").when(m8 == 3, "MDSP")
-               .when(m8 == 4, "BFP").when(m8 == 5, "GG").when(m8 == 6, "PAR").otherwise("XX"))
-        return raw("customer").where(_mod(c, 6) != 0).select(
-            (F.lit(100000) + c).alias("afrctyp_constituent_pidm"),
-            F.lit("2000").alias("afrctyp_dcyr_code"),
-            (_mod(c, 9) * 1000).cast("decimal(14,2)").alias("afrctyp_ask_amount"),
-            org.alias("afrctyp_sol_org"))
-
-    t["afrctyp"] = ask
-    t["atvsicc"] = lambda: raw("region").select(_s(F.col("r_regionkey")).alias("atvsicc_code"),
-                                                F.col("r_name").alias("atvsicc_desc"))
-
-    def employment() -> DataFrame:
-        c = _k()
-        return raw("customer").where(_mod(c, 4) == 1).select(
-            (F.lit(100000) + c).alias("aprehis_pidm"),
-            F.when(_mod(c, 12) == 1, "N").otherwise("Y").alias("aprehis_primary_ind"),
-            F.when(_mod(c, 16) == 1, F.make_date(F.lit(1999), F.lit(1), F.lit(1))).alias("aprehis_to_date"),
-            _s(_mod(c, 7)).alias("aprehis_sicc_code"),
-            F.when(_mod(c, 8) == 1, F.lit(100000) + c - 1).alias("aprehis_empr_pidm"),
-            F.lit("Engineer").alias("aprehis_empl_position"),
-            F.concat(F.lit("Employer"), _s(_mod(c, 20))).alias("aprehis_empr_name"))
-
-    t["aprehis"] = employment
+    t["stvmajr"] = lambda: raw("nation").selectExpr("CAST(n_nationkey AS STRING) AS stvmajr_code",
+                                                    "n_name AS stvmajr_desc")
+    t["afrctyp"] = lambda: raw("customer").where("c_custkey % 6 <> 0").selectExpr(
+        "100000 + c_custkey AS afrctyp_constituent_pidm", "'2000' AS afrctyp_dcyr_code",
+        "CAST((c_custkey % 9) * 1000 AS DECIMAL(14,2)) AS afrctyp_ask_amount",
+        "CASE c_custkey % 8 WHEN 0 THEN 'TP' WHEN 1 THEN 'PA' WHEN 2 THEN 'MDS' WHEN 3 THEN 'MDSP' "
+        "WHEN 4 THEN 'BFP' WHEN 5 THEN 'GG' WHEN 6 THEN 'PAR' ELSE 'XX' END AS afrctyp_sol_org")
+    t["atvsicc"] = lambda: raw("region").selectExpr("CAST(r_regionkey AS STRING) AS atvsicc_code",
+                                                    "r_name AS atvsicc_desc")
+    t["aprehis"] = lambda: raw("customer").where("c_custkey % 4 = 1").selectExpr(
+        "100000 + c_custkey AS aprehis_pidm",
+        "CASE WHEN c_custkey % 12 = 1 THEN 'N' ELSE 'Y' END AS aprehis_primary_ind",
+        "CASE WHEN c_custkey % 16 = 1 THEN make_date(1999, 1, 1) END AS aprehis_to_date",
+        "CAST(c_custkey % 7 AS STRING) AS aprehis_sicc_code",
+        "CASE WHEN c_custkey % 8 = 1 THEN 100000 + c_custkey - 1 END AS aprehis_empr_pidm",
+        "'Engineer' AS aprehis_empl_position",
+        "concat('Employer', CAST(c_custkey % 20 AS STRING)) AS aprehis_empr_name")
 
     def mail() -> DataFrame:
-        c = _k()
         cust = raw("customer").select("c_custkey")
-        pidm = (F.lit(100000) + c).alias("aprmail_pidm")
-        return (cust.where(_mod(c, 25) == 0).select(pidm, F.lit("SIO").alias("aprmail_mail_code"))
-                .unionByName(cust.where(_mod(c, 50) == 0).select(pidm, F.lit("SIB").alias("aprmail_mail_code"))))
+        return (cust.where("c_custkey % 25 = 0")
+                .selectExpr("100000 + c_custkey AS aprmail_pidm", "'SIO' AS aprmail_mail_code")
+                .unionByName(cust.where("c_custkey % 50 = 0")
+                             .selectExpr("100000 + c_custkey AS aprmail_pidm", "'SIB' AS aprmail_mail_code")))
 
     t["aprmail"] = mail
-    t["adv_staff_d"] = lambda: raw("supplier").select(
-        F.col("s_suppkey").alias("staff_key"), F.col("s_suppkey").alias("constituent_key_staff"),
-        F.when(_mod(F.col("s_suppkey"), 4) == 3, "N").otherwise("Y").alias("wh_current_row"))
+    t["adv_staff_d"] = lambda: raw("supplier").selectExpr(
+        "s_suppkey AS staff_key", "s_suppkey AS constituent_key_staff",
+        "CASE WHEN s_suppkey % 4 = 3 THEN 'N' ELSE 'Y' END AS wh_current_row")
 
     def assignments() -> DataFrame:
         # The supplier of the first line of each urgent order is a staff member
         # assigned to the ordering customer: a few staff per prospect, linear
         # in the data (one candidate row per order).
-        li = raw("lineitem").where(F.col("l_linenumber") == 1).select("l_orderkey", "l_suppkey")
-        od = raw("orders").where(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_custkey")
-        ck = F.col("o_custkey")
+        li = raw("lineitem").where("l_linenumber = 1").select("l_orderkey", "l_suppkey")
+        od = raw("orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
         return (li.join(od, li.l_orderkey == od.o_orderkey)
-                .select(ck.alias("constituent_key_prospect"), F.col("l_suppkey").alias("staff_key"),
-                        F.lit("Y").alias("wh_current_row"),
-                        F.when(_mod(ck, 3) == 0, "STAF").otherwise("VOL").alias("solicitor_code"))
+                .selectExpr("o_custkey AS constituent_key_prospect", "l_suppkey AS staff_key",
+                            "'Y' AS wh_current_row",
+                            "CASE WHEN o_custkey % 3 = 0 THEN 'STAF' ELSE 'VOL' END AS solicitor_code")
                 .distinct())
 
     t["adv_assignments_f"] = assignments
