@@ -24,10 +24,15 @@ from patronage.params import Params
 from patronage.tables import Tables
 
 
+def _standard(t: Tables, p: Params, pop: DataFrame | None) -> DataFrame:
+    """The shared standard population, unless the caller already built it."""
+    return population_standard(t, p) if pop is None else pop
+
+
 # --------------------------------------------------------------------- E2
-def activity_extract(t: Tables, p: Params) -> DataFrame:
+def activity_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Person x activity x activity year for activity types of interest."""
-    pop = population_standard(t, p).select("pidm", "cons_id")
+    pop = _standard(t, p, pop).select("pidm", "cons_id")
     actc = t.stvactc.where(~F.col("stvactc_code").isin(*K.ACTIVITY_CODES_EXCLUDED))
     actp = t.stvactp.where(F.col("stvactp_code").isin(*K.ACTIVITY_TYPES))
     acts = (t.apracty.join(actc, F.col("apracty_actc_code") == F.col("stvactc_code"))
@@ -63,9 +68,9 @@ def affiliation_extract(t: Tables, p: Params) -> DataFrame:
 
 
 # --------------------------------------------------------------------- E4
-def degree_extract(t: Tables, p: Params) -> DataFrame:
+def degree_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Own-school degrees with their majors joined by ';' in name order."""
-    pop = population_standard(t, p).select("pidm", "cons_id")
+    pop = _standard(t, p, pop).select("pidm", "cons_id")
     deg = (t.apradeg.where((F.col("apradeg_sbgi_code") == p.school_code)
                            & F.col("apradeg_degc_code").isNotNull())
            .select("apradeg_pidm", "apradeg_seq_no", "apradeg_degc_code", "apradeg_date"))
@@ -90,7 +95,7 @@ GIFT_ORDER = ("constituent_key", "date_key_gift", "campaign_key", "designation_k
               "credit_amount")
 
 
-def gift_rows(t: Tables, p: Params) -> DataFrame:
+def gift_rows(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Population members x their household's countable annual-fund gifts of
     campaigns established in FY-4..FY (before numbering)."""
     lo, hi = dims.gift_window(p)
@@ -100,16 +105,16 @@ def gift_rows(t: Tables, p: Params) -> DataFrame:
              .join(t.adv_designation_d.select("designation_key", "designation_ld"), "designation_key")
              .join(dims.annual_fund_campaign_years(t, lo, hi), "campaign_key")
              .join(cal, "date_key_gift"))
-    pop = population_standard(t, p).select("constituent_key", "household_key", "cons_id")
+    pop = _standard(t, p, pop).select("constituent_key", "household_key", "cons_id")
     return pop.join(gifts, "household_key")
 
 
-def gift_extract(t: Tables, p: Params) -> DataFrame:
+def gift_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Gift transactions; the id is the gift number plus a two-digit sequence
     within the gift number."""
     # numbering within a gift number, split by person so one huge gift number
     # is not a single task
-    rows = row_number_split(gift_rows(t, p), "gift_number", list(GIFT_ORDER), "seq")
+    rows = row_number_split(gift_rows(t, p, pop), "gift_number", list(GIFT_ORDER), "seq")
     return rows.select(F.col("cons_id").alias("Constituent_Externalid"),
                        F.col("credit_amount").alias("Gift_Amount"),
                        F.lit(K.GIFT_TYPE_CASH).alias("Gift_Type"),
@@ -120,18 +125,18 @@ def gift_extract(t: Tables, p: Params) -> DataFrame:
 
 
 # --------------------------------------------------------------------- E6
-def gift_summary_extract(t: Tables, p: Params) -> DataFrame:
+def gift_summary_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Person credit, household cash and pledge measures, stacked long."""
-    pop = population_standard(t, p)
+    pop = _standard(t, p, pop)
     return (summary_person_credit(t, p, pop)
             .unionByName(summary_household_cash(t, p, pop))
             .unionByName(summary_pledges_long(t, p, pop)))
 
 
 # --------------------------------------------------------------------- E7
-def relative_extract(t: Tables, p: Params) -> DataFrame:
+def relative_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Spouses, children, stepchildren, wards and partners who have a class year."""
-    pop = population_standard(t, p).select("pidm", "cons_id")
+    pop = _standard(t, p, pop).select("pidm", "cons_id")
     edges = (t.aprxref.where(F.col("aprxref_xref_code").isin(*[c for c, _ in K.RELATION_LABELS]))
              .select("aprxref_pidm", "aprxref_xref_pidm", "aprxref_xref_code"))
     rel = (t.adv_constituent_d.where(F.col("scy") != K.NOT_APPLICABLE)

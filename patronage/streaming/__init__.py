@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The extracts are batch statements over warehouse snapshots; nothing in the
+specification consumes a stream, keeps state across batches or handles late
+data, so no streaming operator exists here.
+"""
