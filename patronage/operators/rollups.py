@@ -31,7 +31,7 @@ def exclusion_group_rollup(t: Tables) -> DataFrame:
     return rows.groupBy("exclusion_group_key").agg(
         F.max(F.when(sd.isin(*K.EXCLUSION_NO_CONTACT), 1).otherwise(0)).alias("no_n25"),
         F.sum(F.when(sd.isin(*K.EXCLUSION_NO_SOLICIT), 1).otherwise(0)).alias("no_solc_parent"),
-        ordered_listagg("listed_ld", ";", "exclusion_code_key").alias("exclusion_string"))
+        ordered_listagg("listed_ld", ";", "exclusion_code_key", "listed_ld").alias("exclusion_string"))
 
 
 def exclusion_rollup(t: Tables, p: Params | None = None) -> DataFrame:
@@ -48,7 +48,7 @@ def affiliation_group_rollup(t: Tables) -> DataFrame:
                   "donor_code_key"))
     return rows.groupBy("donor_group_key").agg(
         F.max(F.when(F.col("donor_code_sd").isin(*K.TRUSTEE_CODES), 1).otherwise(0)).alias("trustees"),
-        ordered_listagg("donor_code_ld", ";", "donor_code_sd").alias("affiliations"))
+        ordered_listagg("donor_code_ld", ";", "donor_code_sd", "donor_code_ld").alias("affiliations"))
 
 
 def affiliation_rollup(t: Tables, p: Params | None = None) -> DataFrame:
@@ -65,12 +65,14 @@ def student_activities(t: Tables, p: Params | None = None) -> DataFrame:
     acts = (t.apracty.join(actc, F.col("apracty_actc_code") == F.col("stvactc_code"))
             .join(actp, F.col("stvactc_actp_code") == F.col("stvactp_code")))
     return (acts.groupBy(F.col("apracty_pidm").alias("pidm"))
-            .agg(ordered_listagg("stvactc_desc", ", ", "stvactc_code").alias("activities")))
+            .agg(ordered_listagg("stvactc_desc", ", ", "stvactc_code", "stvactc_desc").alias("activities")))
 
 
 def student_info(t: Tables, p: Params | None = None) -> DataFrame:
     """Per parent pidm, the students' names, genders and activity lists,
-    each ordered by student pidm (NULL entries skipped, so lists need not align)."""
+    each ordered by student pidm (NULL entries skipped, so lists need not align).
+    Every list takes its value as the second order key, so ties in the
+    specified key (SURVEY 1.5.8) cannot reorder it between runs."""
     students = (t.adv_constituent_d.where(F.col("primary_donor_code") == K.STUDENT)
                 .select(F.col("pidm").alias("chl_pidm"), "pref_first_name", "last_name", "gender"))
     edges = (t.aprxref.where(F.col("aprxref_xref_code") == K.PARENT_EDGE)
@@ -81,6 +83,6 @@ def student_info(t: Tables, p: Params | None = None) -> DataFrame:
                     cat("pref_first_name", F.lit(" "), "last_name").alias("student_name"),
                     decode("gender", K.GENDER_LABELS, F.col("gender")).alias("student_gender")))
     return rows.groupBy("par_pidm").agg(
-        ordered_listagg("student_name", "; ", "chl_pidm").alias("student_names"),
-        ordered_listagg("student_gender", "; ", "chl_pidm").alias("student_genders"),
-        ordered_listagg("activities", "; ", "chl_pidm").alias("student_activities"))
+        ordered_listagg("student_name", "; ", "chl_pidm", "student_name").alias("student_names"),
+        ordered_listagg("student_gender", "; ", "chl_pidm", "student_gender").alias("student_genders"),
+        ordered_listagg("activities", "; ", "chl_pidm", "activities").alias("student_activities"))
