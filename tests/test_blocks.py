@@ -187,3 +187,40 @@ def test_row_number_split_equals_window(spark):
     key = lambda r: (str(r.g), r.rn)
     assert sorted(map(tuple, got.select(*df.columns, "rn").collect()), key=repr) == \
         sorted(map(tuple, want.collect()), key=repr)
+
+
+# ------------------------------------------------------------------ populations
+def test_parent_year_is_numeric_and_alumni_year_textual(make_tables):
+    from patronage.operators.population import population_constituent, population_standard
+    people = [person(1, code="P", parent_scy="n/a"), person(2, code="P", parent_scy="1999"),
+              person(3, code="P", parent_scy="2000"), person(4, code="P", parent_scy="n/a"),
+              person(5, code="A", scy="n/a"), person(6, code="A", scy="1929"), person(7, code="A", scy="1930")]
+    beh = [behavior(k) for k in (1, 2, 3, 5, 6, 7)] + [behavior(4, status="Lybunt")]
+    t = make_tables(adv_constituent_d=people, adv_donor_behavior_ps=beh)
+    for block in (population_standard, population_constituent):
+        assert sorted(r.constituent_key for r in block(t, P).collect()) == [3, 4, 5, 7]
+
+
+def test_streak_fallback_and_last_gift_masking(make_tables):
+    # person 10 trustee, 12 top prospect, 14 neither, 16 no ask row (org NULL)
+    keys = (10, 12, 14, 16)
+    people = [person(k, scy="1990", donor=(2 if k == 10 else 1), hh=k) for k in keys] + [SENTINEL]
+    g = [(k, f"G{k}", 20000105, 1, 20001, 0, k, D("10.00")) for k in keys]
+    t = make_tables(
+        adv_reportvars_d=RV, adv_constituent_d=people,
+        adv_contact_info_d=[(k,) + ("x",) * 12 for k in keys],
+        adv_donor_behavior_ps=[behavior(10, og=0, lyr_og=7, bf=0, lyr_bf=None), behavior(12, og=3, lyr_og=7),
+                               behavior(14, og=None, lyr_og=7), behavior(16)],
+        adv_household_b=[(k, k, -1, "n/a") for k in keys],
+        adv_donor_codes_d=[(1, "A", "Alumni"), (3, "T", "Trustee")],
+        adv_donor_group_b=[(1, 1), (2, 1), (2, 3)],
+        afrctyp=[(100012, "2000", D("1.00"), "TP"), (100014, "2000", D("1.00"), "GG")],
+        adv_hh_giving_f=g, **gift_dims())
+    out = {r.Constituent_Externalid: r for r in extracts.constituent_extract(t, P).collect()}
+    assert [out[f"{k:09d}"].ConsecutiveGivingYears for k in keys] == [7, 3, None, 1]
+    assert out["000000010"].ConsecGivingYearsBF is None  # 0 falls back to a NULL last-year streak
+    masked = [out[f"{k:09d}"].Constituent_LastGiftAmount for k in keys]
+    assert masked == [None, None, D("10.00"), D("10.00")]
+    assert out["000000014"].Constituent_LastGiftDate == "01/05/2000"
+    assert out["000000014"].LastGiftDesignation == "Annual Fund"
+    assert [out[f"{k:09d}"].Constituent_Selectable for k in keys] == ["FALSE", "FALSE", "TRUE", "TRUE"]
