@@ -1,6 +1,6 @@
 """Command line: write the extract files from warehouse tables.
 
-    python -m patronage --database dw --out s3a://bucket/vms --params params.json
+    python -m patronage --database dw --out /shared/extracts --params params.json
     python -m patronage --location /data/warehouse --out /data/out --format parquet
 
 ``params.json`` holds the institution's values: ``school_code`` (required),
