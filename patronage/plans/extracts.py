@@ -64,7 +64,10 @@ def affiliation_extract(t: Tables, p: Params) -> DataFrame:
             .select(F.col("cons_id").alias("CONSTITUENT_ID"),
                     F.col("donor_code_ld").alias("AFFILIATION_NAME"),
                     year.alias("AFFILIATION_YEAR"))
-            .orderBy(F.col("CONSTITUENT_ID").asc_nulls_last()))
+            # the specified order is by id; the other columns only fix the
+            # order of a person's rows so the file is the same on every run
+            .orderBy(F.col("CONSTITUENT_ID").asc_nulls_last(), F.col("AFFILIATION_NAME").asc_nulls_last(),
+                     F.col("AFFILIATION_YEAR").asc_nulls_last()))
 
 
 # --------------------------------------------------------------------- E4
