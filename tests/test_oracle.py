@@ -41,7 +41,7 @@ def test_fixture_exercises_every_selectability_rule():
 SELECT CASE WHEN af.trustees = 1 THEN 1 WHEN afr.afrctyp_sol_org = 'TP' THEN 2 WHEN c.deceased_ind = 'Y' THEN 3
             WHEN ex.no_n25 = 1 THEN 4 WHEN ex.no_solc_parent = 3 THEN 5
             WHEN c.primary_donor_code = 'A' AND c.scy > '1975' AND dg.apradeg_degc_code IS NULL
-                 AND coalesce(extract(year FROM lg.calendar_date), 0) < prm.fy - 5 THEN 6
+                 AND coalesce(extract(year FROM lg.calendar_date), 0) < (SELECT fy FROM prm) - 5 THEN 6
             WHEN c.primary_donor_code = 'P' AND afr.afrctyp_ask_amount >= 5000 THEN 7
             WHEN ss.constituent_key IS NOT NULL THEN 8 ELSE 0 END AS reason, count(*) AS n
 """
