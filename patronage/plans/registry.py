@@ -71,8 +71,23 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_TABLES: dict[tuple[str, str], Tables] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
+    """The test-data table definitions, built once per session and folder.
+
+    They are lazy plans, so sharing them between queries shares no data:
+    every query still reads and derives everything from the parquet files.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = testdata_tables(spark, sf_dir)
+    return _TABLES[key]
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = testdata_tables(spark, sf_dir)
+    t = tables_for(spark, sf_dir)
     return QUERIES[name](t, fixture_params(t))
 
 
