@@ -40,13 +40,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (as in
-    local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder). Only a
+    local-mode session without one (tests, the bench) gets a fresh scratch
+    folder; on a cluster a missing setting is an error, because a
+    machine-local folder would not be visible to the other executors."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or tempfile.mkdtemp(prefix="patronage-ckpt-")
-    sc.setCheckpointDir(target)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        configured = tempfile.mkdtemp(prefix="patronage-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

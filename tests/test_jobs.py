@@ -30,3 +30,17 @@ def test_shared_population_gives_the_same_rows(spark):
     pop = shared_population(spark, t, p)
     for fn in (extracts.gift_summary_extract, extracts.relative_extract):
         assert sorted(fn(t, p, pop).collect()) == sorted(fn(t, p).collect())
+
+
+def test_params_file_round_trip():
+    from patronage.__main__ import load_params
+    from patronage.plans.registry import FIXTURE_STAFF_EXCEPTIONS
+    p = load_params("examples/params.example.json", 2000)
+    assert p.fiscal_year == 2000 and p.school_code == "003076"
+    assert p.staff_exceptions == FIXTURE_STAFF_EXCEPTIONS
+    assert dict(p.org_segment_labels)["TP"] == "Top Prospects" and dict(p.mail_labels)["SIB"] == "Scholarship Base"
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from patronage.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
