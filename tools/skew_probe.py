@@ -2,7 +2,8 @@
 
 Builds a synthetic household-gift fact where one household and one gift
 number hold a third of all rows, runs the last-gift block and the gift
-numbering both in their naive window form and in the form used here, and
+numbering both in their naive window form and in the form used here, joins a
+hot key to a one-row-per-key side with and without AQE skew splitting, and
 reads per-task shuffle records from Spark's event log (written to a fresh
 scratch folder). Prints one JSON line per variant: the largest number of
 shuffle records a single task read, and the total.
@@ -71,10 +72,27 @@ def main(rows: int) -> None:
     def our_numbering():
         return row_number_split(gifts, "gift_number", order, "seq")
 
-    variants = [("last_gift_window", naive_last_gift), ("last_gift_aggregates", our_last_gift),
-                ("numbering_window", naive_numbering), ("numbering_split", our_numbering)]
+    # inner join where one key holds a third of the left rows (the "n/a" spouse
+    # sentinel of the constituent file); the right side has one row per key
+    people = spark.range(100001).select((F.col("id") - 1).alias("sps_key"), F.col("id").alias("sps_id"))
+
+    def spouse_join():
+        left = gifts.select(F.when(F.col("household_key") == 0, F.lit(-1)).otherwise(F.col("household_key"))
+                            .alias("k"), "credit_amount")
+        return left.join(people, F.col("k") == F.col("sps_key"))
+
+    variants = [("last_gift_window", naive_last_gift, {}), ("last_gift_aggregates", our_last_gift, {}),
+                ("numbering_window", naive_numbering, {}), ("numbering_split", our_numbering, {}),
+                ("hot_key_join_no_skew_split", spouse_join, {"spark.sql.adaptive.skewJoin.enabled": "false"}),
+                ("hot_key_join_aqe_skew_split", spouse_join, {"spark.sql.adaptive.skewJoin.enabled": "true"})]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffled join, as at scale
+    # the probe's data is small; scale AQE's skew thresholds down with it
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1m")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     results = {}
-    for name, build in variants:
+    for name, build, conf in variants:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         build().write.format("noop").mode("overwrite").save()
