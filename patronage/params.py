@@ -37,7 +37,7 @@ class Params:
     # solicitation org code -> segment label
     org_segment_labels: tuple[tuple[str, str], ...] = (
         ("TP", "Top Prospects"),
-        ("PA", "Leadership Associates"),
+        ("PA", "Leaders' Circle"),
         ("MDS", "Society Members"),
         ("MDSP", "Society Prospects"),
         ("BFP", "Annual Fund Pipeline"),
