@@ -1,4 +1,4 @@
-"""A skew-tolerant ``row_number``: exact results, work spread over tasks.
+"""A skew-tolerant ``row_number``: exact results, bounded work per task.
 
 (Skewed joins are handled by adaptive execution's skew-join splitting, or,
 where the many side of a LEFT JOIN may be hot, by joining a per-key count and
@@ -10,21 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-def row_number_split(df: DataFrame, partition_col: str, order_cols: list[str], out: str) -> DataFrame:
-    """``row_number() OVER (PARTITION BY p ORDER BY o1, o2, ...)`` (ascending,
-    NULLs last) without putting a whole ``p`` group into one task.
+# A partition group above this many rows is numbered with the split method.
+HOT_GROUP_ROWS = 1_000_000
 
-    Rows are numbered inside the finer groups (p, o1) and shifted by the
-    number of rows of the same ``p`` with a smaller o1. Those offsets come
-    from per-(p, o1) counts (map-side partial aggregation, then a window over
-    one row per (p, o1)), so a hot ``p`` is spread over all its o1 values.
-    Same numbers as the plain window, since o1 leads the order.
 
-    The finer group is one struct column: struct equality treats NULL fields
+def _numbered_by_person(df: DataFrame, partition_col: str, order_cols: list[str], out: str) -> DataFrame:
+    """Split numbering: rows numbered inside (p, o1) groups, shifted by the
+    count of rows of the same ``p`` with a smaller o1.
+
+    The (p, o1) group is one struct column: struct equality treats NULL fields
     as equal, so the offsets join needs no null-safe rewrite and reuses the
-    window's hash partitioning; only the offsets side is shuffled for it.
-    Cost versus the plain window: one narrow extra pass (two columns) over
-    the input and two shuffles of one row per (p, o1).
+    window's hash partitioning.
     """
     first = order_cols[0]
     key = F.struct(F.col(partition_col).alias("p"), F.col(first).alias("f"))
@@ -38,3 +34,27 @@ def row_number_split(df: DataFrame, partition_col: str, order_cols: list[str], o
     return (local.join(offsets, "__k")
             .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
             .drop("__k", "__local", "__off"))
+
+
+def row_number_split(df: DataFrame, partition_col: str, order_cols: list[str], out: str,
+                     hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """``row_number() OVER (PARTITION BY p ORDER BY o1, o2, ...)`` (ascending,
+    NULLs last) without putting a hot ``p`` group into one task.
+
+    Rows per ``p`` are counted first (map-side partial aggregation). Groups of
+    at most ``hot_rows`` rows take the plain window, which keeps each task
+    bounded by ``hot_rows``. Larger groups are numbered inside (p, o1) and
+    shifted by per-(p, o1) counts, so a hot ``p`` is spread over its o1
+    values. The hot keys are broadcast: there are at most
+    rows / ``hot_rows`` of them, a bound that holds by construction.
+    Same numbers as the plain window, since o1 leads the order.
+    """
+    hot = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("__rows"))
+           .where(F.col("__rows") > hot_rows).select(F.col(partition_col).alias("__hot")))
+    tagged = df.join(F.broadcast(hot), F.col(partition_col).eqNullSafe(F.col("__hot")), "left")
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    cold = (tagged.where(F.col("__hot").isNull()).drop("__hot")
+            .withColumn(out, F.row_number().over(Window.partitionBy(partition_col).orderBy(*order))))
+    split = _numbered_by_person(tagged.where(F.col("__hot").isNotNull()).drop("__hot"),
+                                partition_col, order_cols, out)
+    return cold.unionByName(split)

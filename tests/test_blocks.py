@@ -183,7 +183,7 @@ def test_row_number_split_equals_window(spark):
     order = ["a", "b", "c"]
     want = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("g").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
-    got = row_number_split(df, "g", order, "rn")
+    got = row_number_split(df, "g", order, "rn", hot_rows=10)  # "hot" takes the split path
     key = lambda r: (str(r.g), r.rn)
     assert sorted(map(tuple, got.select(*df.columns, "rn").collect()), key=repr) == \
         sorted(map(tuple, want.collect()), key=repr)

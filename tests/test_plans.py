@@ -22,15 +22,15 @@ def test_no_nested_loop_cartesian_or_python(spark, name):
         assert op not in plan, f"{name}: {op}"
 
 
-def test_gift_numbering_never_partitions_by_gift_number_alone(spark):
-    # rows are numbered per (gift number, person); the only window keyed by
-    # gift number alone runs over per-(gift, person) counts
+def test_gift_numbering_has_a_split_path_for_hot_gift_numbers(spark):
+    # groups above the threshold are numbered per (gift number, person) struct
+    # key; the window keyed by gift number alone only sees groups below it
     plan = final_plan(run("gift_extract", spark, "/root/testdata/sf0.001"))
     windows = re.findall(r"Window \[(\w+)\(.*?\], \[([^\]]*)\]", plan)
-    numbering = [keys for fn, keys in windows if fn == "row_number"]
-    # keyed by the (gift number, person) struct, never by the gift number alone
-    assert numbering and not any(k.strip().startswith("gift_number") for k in numbering), windows
-    assert all(fn == "sum" for fn, keys in windows if keys.strip().startswith("gift_number")), windows
+    numbering = [keys.strip() for fn, keys in windows if fn == "row_number"]
+    assert any(k.startswith("__k") for k in numbering), windows
+    assert any(k.startswith("gift_number") for k in numbering), windows
+    assert "__hot" in plan and "BroadcastHashJoin" in plan
 
 
 def test_fiscal_year_is_a_literal_filter_pushed_to_the_snapshot(spark):

@@ -19,8 +19,10 @@ def test_row_number_split_matches_window(spark, data):
     order = ["a", "b", "u"]
     want = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("g").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
-    got = row_number_split(df, "g", order, "rn").select(*df.columns, "rn")
-    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+    expected = sorted(want.collect(), key=repr)
+    for hot_rows in (2, 1_000_000):  # groups above 2 rows take the split path; none do
+        got = row_number_split(df, "g", order, "rn", hot_rows=hot_rows).select(*df.columns, "rn")
+        assert sorted(got.collect(), key=repr) == expected
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
