@@ -1,7 +1,8 @@
 """Run a registered query in Spark and its DuckDB statement; compare results.
 
 Mirrors the driver's check: same column names, same row count and the same
-multiset of rows (order-insensitive), with floats compared after rounding.
+multiset of rows (order-insensitive), with floats compared after rounding;
+additionally each column must hold the same Python value type on both sides.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ def _rows(columns, records):
     return Counter(tuple(_norm(r[i]) for i in order) for r in records)
 
 
+def _types(columns, records):
+    return {c: {type(r[i]).__name__ for r in records if r[i] is not None} for i, c in enumerate(columns)}
+
+
 def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
     sdf = query(spark, sf_dir)
     s_cols = list(sdf.columns)
@@ -51,6 +56,8 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
     out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "columns_match": sorted(s_cols) == sorted(d_cols)}
     out["values_match"] = out["columns_match"] and _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
+    # the same Python type per column on both sides (so even a hash of raw values agrees)
+    out["types_match"] = out["columns_match"] and _types(s_cols, s_rows) == _types(d_cols, d_rows)
     if not out["columns_match"]:
         out["spark_only"] = sorted(set(s_cols) - set(d_cols))
         out["oracle_only"] = sorted(set(d_cols) - set(s_cols))
@@ -58,7 +65,7 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
         a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
         out["spark_extra"] = list((a - b).items())[:3]
         out["oracle_extra"] = list((b - a).items())[:3]
-    out["ok"] = out["values_match"] and len(s_rows) == len(d_rows)
+    out["ok"] = out["values_match"] and out["types_match"] and len(s_rows) == len(d_rows)
     return out
 
 
