@@ -46,3 +46,22 @@ def test_params_file_round_trip():
 def test_checkpoint_dir_comes_from_the_session(spark):
     from patronage.session import ensure_checkpoint_dir
     assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_command_line_writes_every_file(spark, tmp_path, capsys):
+    import os
+
+    from patronage.__main__ import main
+    from patronage.tables import TABLE_NAMES
+    t = derive_tables(spark, "/root/testdata/sf0.001")
+    loc = tmp_path / "warehouse"
+    for name in TABLE_NAMES:
+        t[name].write.parquet(str(loc / name))
+    here = os.path.dirname(os.path.abspath(__file__))
+    main(["--location", str(loc), "--out", str(tmp_path / "out"),
+          "--params", os.path.join(here, "..", "examples", "params.example.json")])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert set(printed) == set(FILES)
+    for name, path in printed.items():
+        assert spark.read.option("header", True).csv(path).count() == FILES[name][0](
+            t, fixture_params(t)).count(), name
