@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from patronage import constants as K
+from patronage.functions import money_sum
 from patronage.operators import dims
 from patronage.operators.population import population_standard
 from patronage.params import Params
@@ -36,7 +37,7 @@ def last_gift(t: Tables, p: Params) -> DataFrame:
            .join(dims.countable_gift_types(t), "gift_description_key")
            .join(dims.annual_fund_campaigns(t), "campaign_key"))
     per_day = (hhg.groupBy("household_key", "date_key_gift", "designation_key")
-               .agg(F.sum("credit_amount").alias("gift_amount")))
+               .agg(money_sum("credit_amount").alias("gift_amount")))
     order = F.struct("date_key_gift", "designation_key")
     latest = (per_day.groupBy("household_key")
               .agg(F.max_by(F.struct("date_key_gift", "designation_key", "gift_amount"), order).alias("g"))
@@ -68,7 +69,7 @@ def _credits_by_person_year(t: Tables, p: Params) -> DataFrame:
             .join(dims.countable_gift_types(t), "gift_description_key")
             .join(dims.annual_fund_campaign_years(t, lo, hi), "campaign_key")
             .groupBy(F.col("constituent_key_credit").alias("constituent_key"), "campaign_fy")
-            .agg(F.sum("credit_amount").alias("amount")))
+            .agg(money_sum("credit_amount").alias("amount")))
 
 
 def _cash_by_household_year(t: Tables, p: Params) -> DataFrame:
@@ -77,12 +78,12 @@ def _cash_by_household_year(t: Tables, p: Params) -> DataFrame:
             .join(dims.countable_gift_types(t), "gift_description_key")
             .join(dims.annual_fund_campaign_years(t, lo, hi), "campaign_key")
             .groupBy("household_key", "campaign_fy")
-            .agg(F.sum("credit_amount").alias("amount")))
+            .agg(money_sum("credit_amount").alias("amount")))
 
 
 def _summary_rows(joined: DataFrame, label: str) -> DataFrame:
     return (joined.groupBy("cons_id", "campaign_fy")
-            .agg(F.sum("amount").alias("GiftSummary_Amount"))
+            .agg(money_sum("amount").alias("GiftSummary_Amount"))
             .select(F.col("cons_id").alias("Constituent_Externalid"),
                     F.col("GiftSummary_Amount").cast(MONEY).alias("GiftSummary_Amount"),
                     F.lit(label).alias("GiftSummary_Type"),
@@ -113,8 +114,8 @@ def summary_pledges_wide(t: Tables, p: Params, pop: DataFrame | None = None) ->
                .join(dims.countable_pledge_types(t, K.PLEDGE_STATUSES_SUMMARY), "pledge_description_key")
                .join(dims.annual_fund_campaign_years(t, p.fiscal_year, p.fiscal_year), "campaign_key")
                .groupBy(F.col("constituent_key_pledger").alias("constituent_key"), "campaign_fy")
-               .agg(F.sum(F.col("expected_amt") - F.col("install_amt_paid")).alias("balance"),
-                    F.sum("expected_amt").alias("amount")))
+               .agg(money_sum(F.col("expected_amt") - F.col("install_amt_paid")).alias("balance"),
+                    money_sum("expected_amt").alias("amount")))
     hhb = t.adv_household_b.select("household_key", F.col("cons_key_sps1").alias("constituent_key"),
                                    "cons_key_sps2")
     alumni_spouse = (t.adv_constituent_d.where(F.col("primary_donor_code") == K.ALUMNI)
@@ -124,7 +125,7 @@ def summary_pledges_wide(t: Tables, p: Params, pop: DataFrame | None = None) ->
               .join(hhb, ["household_key", "constituent_key"])
               .join(alumni_spouse, F.col("cons_key_sps2") == F.col("sps_key"), "left"))
     agg = (joined.groupBy("cons_id", "campaign_fy")
-           .agg(F.sum("balance").alias("bal"), F.sum("amount").alias("amt"),
+           .agg(money_sum("balance").alias("bal"), money_sum("amount").alias("amt"),
                 F.countDistinct("sps_key").alias("n_spouses")))
     share = F.col("n_spouses") + 1
     return agg.select(

@@ -56,3 +56,14 @@ def test_text_year_compare_lets_sentinel_through(spark):
 def test_decimal_share_rounds_at_scale_4(spark):
     out = one(spark, [(Decimal("100.01"),)], "a decimal(14,2)", (F.col("a") / 2).cast("decimal(24,4)"))
     assert out == [Decimal("50.0050")]
+
+
+def test_money_sum_is_exact_and_keeps_the_decimal_type(spark):
+    from patronage.functions import money_sum
+    df = spark.createDataFrame([(1, Decimal("0.10")), (1, Decimal("0.20")), (1, Decimal("-99999999999.99")),
+                                (2, None), (3, Decimal("9999999999.99")), (3, Decimal("0.01"))],
+                               "k int, a decimal(14,2)")
+    got = dict(df.groupBy("k").agg(money_sum("a").alias("s")).collect())
+    want = dict(df.groupBy("k").agg(F.sum("a").alias("s")).collect())
+    assert got == want == {1: Decimal("-99999999999.69"), 2: None, 3: Decimal("10000000000.00")}
+    assert df.agg(money_sum("a").alias("s")).schema["s"].dataType.simpleString() == "decimal(24,2)"
