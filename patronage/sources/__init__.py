@@ -2,6 +2,6 @@
 
 from patronage.sources.sinks import write_extract
 from patronage.sources.testdata import testdata_tables
-from patronage.sources.warehouse import warehouse_tables
+from patronage.sources.warehouse import store_tables, warehouse_tables
 
-__all__ = ["testdata_tables", "warehouse_tables", "write_extract"]
+__all__ = ["store_tables", "testdata_tables", "warehouse_tables", "write_extract"]

@@ -21,3 +21,24 @@ def warehouse_tables(spark: SparkSession, location: str | None = None,
         return lambda: spark.read.format(fmt).load(f"{location}/{name}")
 
     return Tables({name: loader(name) for name in TABLE_NAMES})
+
+
+# Tables whose queries always fix a fiscal year: partitioned by it, the year
+# literal prunes whole directories instead of filtering rows.
+FISCAL_YEAR_PARTITIONS = {
+    "adv_donor_behavior_ps": "fiscal_year",
+    "adv_credit_f": "fiscal_year",
+    "adv_pledge_install_f": "install_fiscal_year",
+}
+
+
+def store_tables(tables: Tables, location: str, partition_by: dict[str, str] | None = None,
+                 names: tuple[str, ...] = TABLE_NAMES) -> None:
+    """Write tables as ``{location}/{name}`` parquet folders (the layout
+    ``warehouse_tables`` reads), partitioning the fiscal-year facts."""
+    parts = FISCAL_YEAR_PARTITIONS if partition_by is None else partition_by
+    for name in names:
+        writer = tables[name].write.mode("overwrite")
+        if name in parts:
+            writer = writer.partitionBy(parts[name])
+        writer.parquet(f"{location}/{name}")
