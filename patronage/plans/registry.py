@@ -43,7 +43,7 @@ QUERIES: dict[str, Block] = {
 
 # Parameters for the driver's test data: the school code its degree rows use
 # and staff exception rules that hit, miss and meet 'n/a' class years.
-FIXTURE_SCHOOL_CODE = "003076"
+FIXTURE_SCHOOL_CODE = "000100"
 FIXTURE_STAFF_EXCEPTIONS = (
     StaffException("000000001", 1920, 1960),
     StaffException("000000002", 1961, 2005),

@@ -254,10 +254,10 @@ def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
         grad = "make_date(CAST(1930 + constituent_key % 70 AS INT), 5, 20) AS apradeg_date"
         first = alumni.where("constituent_key % 9 <> 0").selectExpr(
             "pidm AS apradeg_pidm", "1 AS apradeg_seq_no",
-            "CASE WHEN constituent_key % 11 = 0 THEN '009999' ELSE '003076' END AS apradeg_sbgi_code",
+            "CASE WHEN constituent_key % 11 = 0 THEN '009999' ELSE '000100' END AS apradeg_sbgi_code",
             "CASE WHEN constituent_key % 15 = 0 THEN CAST(NULL AS STRING) ELSE 'BA' END AS apradeg_degc_code", grad)
         second = alumni.where("constituent_key % 10 = 0").selectExpr(
-            "pidm AS apradeg_pidm", "2 AS apradeg_seq_no", "'003076' AS apradeg_sbgi_code",
+            "pidm AS apradeg_pidm", "2 AS apradeg_seq_no", "'000100' AS apradeg_sbgi_code",
             "'BS' AS apradeg_degc_code", grad)
         return first.unionByName(second)
 

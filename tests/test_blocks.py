@@ -11,7 +11,7 @@ from patronage.params import Params, StaffException, read_fiscal_year
 from patronage.plans import extracts
 
 FY = 2000
-P = Params(fiscal_year=FY, school_code="003076")
+P = Params(fiscal_year=FY, school_code="000100")
 RV = [("VOLUNTR_FY", FY)]
 
 
@@ -156,7 +156,7 @@ def test_constituent_fan_out_streaks_and_masking(make_tables):
         adv_donor_group_b=[(1, 1), (2, 1), (2, 3)],  # group 3 has no codes: person 14 is dropped
         adv_exclusion_codes_d=[(1, "DM", "No Mail"), (8, "N25", "Not Solicitable")],
         adv_exclusion_group_b=[(1, 1), (1, 8)],
-        apradeg=[(100010, 1, "003076", "BA", dt.date(1990, 5, 20)), (100010, 2, "003076", "BS", dt.date(1990, 5, 20))],
+        apradeg=[(100010, 1, "000100", "BA", dt.date(1990, 5, 20)), (100010, 2, "000100", "BS", dt.date(1990, 5, 20))],
         afrctyp=[(100012, "2000", D("1000.00"), "GG")])
     rows = extracts.constituent_extract(t, P).collect()
     by = {}

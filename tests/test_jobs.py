@@ -38,7 +38,7 @@ def test_params_file_round_trip():
     import os
     here = os.path.dirname(os.path.abspath(__file__))
     p = load_params(os.path.join(here, "..", "examples", "params.example.json"), 2000)
-    assert p.fiscal_year == 2000 and p.school_code == "003076"
+    assert p.fiscal_year == 2000 and p.school_code == "000100"
     assert p.staff_exceptions == FIXTURE_STAFF_EXCEPTIONS
     assert dict(p.org_segment_labels)["TP"] == "Top Prospects" and dict(p.mail_labels)["SIB"] == "Scholarship Base"
 
