@@ -54,3 +54,15 @@ def test_fiscal_year_prunes_partitions(both):
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "adv_constituent_d" in ln][0]
     cols = scan[scan.index("[") + 1:scan.index("]")]
     assert len(cols.split(",")) == 8 and "first_name" not in cols, cols
+
+
+def test_catalog_database_path(spark, both):
+    """``warehouse_tables(database=...)`` reads ``{database}.{name}`` from the
+    catalog (global temporary views here, so no files are written)."""
+    derived, _ = both
+    for name in ["adv_reportvars_d", "adv_constituent_d", "adv_donor_behavior_ps"]:
+        derived[name].createOrReplaceGlobalTempView(name)
+    cat = warehouse_tables(spark, database="global_temp")
+    p = fixture_params(cat)
+    assert sorted(population.population_standard(cat, p).collect()) == \
+        sorted(population.population_standard(derived, p).collect())
