@@ -81,11 +81,27 @@ def main(rows: int) -> None:
                             .alias("k"), "credit_amount")
         return left.join(people, F.col("k") == F.col("sps_key"))
 
+    # person-year credit totals where one person holds a third of the credits
+    credits = gifts.select(F.col("household_key").alias("ck"), (F.col("date_key_gift") / 10000).cast("int")
+                           .alias("fy"), "credit_amount")
+
+    def summary_join_then_sum():
+        return (credits.join(people.withColumnRenamed("sps_key", "ck"), "ck")
+                .groupBy("sps_id", "fy").agg(F.sum("credit_amount")))
+
+    def summary_sum_then_join():
+        pre = credits.groupBy("ck", "fy").agg(F.sum("credit_amount").alias("a"))
+        return (pre.join(people.withColumnRenamed("sps_key", "ck"), "ck")
+                .groupBy("sps_id", "fy").agg(F.sum("a")))
+
     variants = [("last_gift_window", naive_last_gift, {}), ("last_gift_aggregates", our_last_gift, {}),
+                ("summary_join_then_sum", summary_join_then_sum, {}),
+                ("summary_sum_then_join", summary_sum_then_join, {}),
                 ("numbering_window", naive_numbering, {}), ("numbering_split", our_numbering, {}),
                 ("hot_key_join_no_skew_split", spouse_join, {"spark.sql.adaptive.skewJoin.enabled": "false"}),
                 ("hot_key_join_aqe_skew_split", spouse_join, {"spark.sql.adaptive.skewJoin.enabled": "true"})]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffled join, as at scale
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force shuffled joins, as at scale
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     # the probe's data is small; scale AQE's skew thresholds down with it
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1m")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
