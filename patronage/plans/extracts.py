@@ -236,16 +236,18 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
     masked = (c("trustees") == 1) | (c("afrctyp_sol_org") == K.TOP_PROSPECT_ORG)
     no_recent_gift = (F.coalesce(F.year("lg_calendar_date"), F.lit(0))
                       < F.lit(fy - K.NO_RECENT_GIFT_YEARS))
+    # ordered rules, first match wins; an unknown condition falls through
     selectable = (
-        F.when(c("trustees") == 1, "FALSE")
-        .when(c("afrctyp_sol_org") == K.TOP_PROSPECT_ORG, "FALSE")
-        .when(c("deceased_ind") == K.DECEASED, "FALSE")
-        .when(c("no_n25") == 1, "FALSE")
-        .when(c("no_solc_parent") == K.EXCLUSION_ALL_SOLICIT_COUNT, "FALSE")
+        F.when(c("trustees") == 1, "FALSE")                                    # trustee or trustee spouse
+        .when(c("afrctyp_sol_org") == K.TOP_PROSPECT_ORG, "FALSE")             # top prospect
+        .when(c("deceased_ind") == K.DECEASED, "FALSE")                        # deceased
+        .when(c("no_n25") == 1, "FALSE")                                       # no contact / not solicitable
+        .when(c("no_solc_parent") == K.EXCLUSION_ALL_SOLICIT_COUNT, "FALSE")   # all three solicit exclusions
         .when((c("primary_donor_code") == K.ALUMNI) & (c("scy") > K.NON_GRADUATE_AFTER_YEAR)
-              & c("apradeg_degc_code").isNull() & no_recent_gift, "FALSE")
-        .when((c("primary_donor_code") == K.PARENT) & (c("afrctyp_ask_amount") >= K.PARENT_ASK_LIMIT), "FALSE")
-        .when(c("ss_key").isNotNull(), "FALSE")
+              & c("apradeg_degc_code").isNull() & no_recent_gift, "FALSE")     # recent non-graduate, no gift
+        .when((c("primary_donor_code") == K.PARENT)
+              & (c("afrctyp_ask_amount") >= K.PARENT_ASK_LIMIT), "FALSE")      # parent with a large ask
+        .when(c("ss_key").isNotNull(), "FALSE")                                # has a staff solicitor
         .otherwise("TRUE"))
     segment = (F.when(c("scy").between(p.class_segment_from, p.class_segment_to), F.lit(p.class_segment_label))
                .otherwise(decode("afrctyp_sol_org", p.org_segment_labels)))
