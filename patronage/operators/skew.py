@@ -49,12 +49,15 @@ def row_number_split(df: DataFrame, partition_col: str, order_cols: list[str], o
     rows / ``hot_rows`` of them, a bound that holds by construction.
     Same numbers as the plain window, since o1 leads the order.
     """
+    # a separate flag, so that a hot NULL group is recognized as hot too
     hot = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("__rows"))
-           .where(F.col("__rows") > hot_rows).select(F.col(partition_col).alias("__hot")))
-    tagged = df.join(F.broadcast(hot), F.col(partition_col).eqNullSafe(F.col("__hot")), "left")
+           .where(F.col("__rows") > hot_rows)
+           .select(F.col(partition_col).alias("__hot"), F.lit(True).alias("__is_hot")))
+    tagged = (df.join(F.broadcast(hot), F.col(partition_col).eqNullSafe(F.col("__hot")), "left")
+              .drop("__hot"))
     order = [F.col(c).asc_nulls_last() for c in order_cols]
-    cold = (tagged.where(F.col("__hot").isNull()).drop("__hot")
+    cold = (tagged.where(F.col("__is_hot").isNull()).drop("__is_hot")
             .withColumn(out, F.row_number().over(Window.partitionBy(partition_col).orderBy(*order))))
-    split = _numbered_by_person(tagged.where(F.col("__hot").isNotNull()).drop("__hot"),
+    split = _numbered_by_person(tagged.where(F.col("__is_hot")).drop("__is_hot"),
                                 partition_col, order_cols, out)
     return cold.unionByName(split)

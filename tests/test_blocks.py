@@ -178,7 +178,8 @@ def test_row_number_split_equals_window(spark):
     from pyspark.sql import Window
     from patronage.operators.skew import row_number_split
     rows = [("hot", k % 7 if k % 11 else None, k, k % 3) for k in range(400)] + \
-           [("cold", 1, 5, 0), ("cold", None, 1, 0), (None, 2, 3, 1), (None, 2, 1, 1)]
+           [("cold", 1, 5, 0), ("cold", None, 1, 0)] + \
+           [(None, k % 5, k, 1) for k in range(30)]  # a hot NULL group
     df = spark.createDataFrame(rows, "g string, a int, b int, c int").repartition(5)
     order = ["a", "b", "c"]
     want = df.withColumn("rn", F.row_number().over(
