@@ -31,7 +31,8 @@ def last_gift(t: Tables, p: Params) -> DataFrame:
     first collapses gifts to (household, day, designation) map-side, the
     second picks the lexicographic maximum with ``max_by`` (NULL dates and
     designations order lowest, so a household whose latest day has only a
-    NULL designation yields no row, as the window form does).
+    NULL designation yields no row, as the window form does; gifts without a
+    household form one group of their own, as a window partition would).
     """
     hhg = (t.adv_hh_giving_f
            .join(dims.countable_gift_types(t), "gift_description_key")
