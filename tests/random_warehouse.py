@@ -109,6 +109,6 @@ def warehouse(seed: int) -> dict[str, list[tuple]]:
                      pick("Acme", None)) for _ in range(r.randint(0, 10))]
     t["aprmail"] = [(pidm[r.choice(people)], pick("SIO", "SIB", "XX")) for _ in range(r.randint(0, 6))]
     t["adv_staff_d"] = [(1, 1, "Y"), (2, 2, "Y"), (3, 5, "N"), (4, 77, "Y")]
-    t["adv_assignments_f"] = [(r.choice(people), pick(1, 2, 3, 4, 9), pick("Y", "N"), pick("STAF", "VOL"))
-                              for _ in range(r.randint(0, 15))]
+    t["adv_assignments_f"] = [(r.choice(people[:8]), pick(1, 1, 2, 2, 3, 4, 9), pick("Y", "Y", "N"),
+                               pick("STAF", "STAF", "VOL")) for _ in range(r.randint(5, 25))]
     return t

@@ -2,9 +2,9 @@
 'n/a', duplicate rows, shared ids, multi-person households, tied gifts),
 Spark against the specification-style DuckDB statements.
 
-The random data is checked to be sensitive: replacing the empty-string rule
-or the numeric parent-year test with a plausible wrong variant makes seeds
-of this range fail. ``python tests/differential_sweep.py 0 100`` runs more.
+The random data is checked to be sensitive: replacing the empty-string rule,
+the numeric parent-year test or the staff-assignment fan-out with a plausible
+wrong variant makes seeds fail. ``python tests/differential_sweep.py 0 100`` runs more.
 """
 
 import pytest
