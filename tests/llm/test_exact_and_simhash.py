@@ -1,0 +1,126 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from patronage.llm.components import connected_components
+from patronage.llm.exact_dedup import cuts, exact_duplicates, normalised
+from patronage.llm.simhash import block_masks, fingerprint, group_links, simhash_groups
+from tests.llm.conftest import EDGE_ROWS
+
+
+def brute_exact(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i is None, i))
+    out = []
+    for i, t in rows:
+        key = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        keep = min(groups[key], key=lambda x: (x[0], x[1], x[2] or 0))[2]
+        out.append((i, keep, len(groups[key]), i == keep, hashlib.sha256(key.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("hash_bytes", [16, 1])
+def test_exact_groups_equal_brute_force_even_when_chunk_hashes_collide(make_docs, hash_bytes):
+    rng = random.Random(1)
+    passages = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(99)) for _ in range(300)) for _ in range(8)]
+    rows = EDGE_ROWS + [(100 + k, " ".join(rng.choices(passages, k=rng.randrange(1, 6)))) for k in range(60)]
+    rows += [(300 + k, t.replace(" ", "\n ") if t else t) for k, (_, t) in enumerate(rows[::3])]
+    got = exact_duplicates(make_docs(rows), hash_bytes=hash_bytes).collect()
+    assert sorted(map(tuple, got), key=str) == brute_exact(rows)
+
+
+def test_cuts_are_bounded_and_content_defined():
+    rng = random.Random(2)
+    data = bytes(rng.randrange(97, 123) for _ in range(200_000))
+    ends = cuts(data)
+    assert ends[-1] == len(data) and max(np.diff([0, *ends])) <= 8192 and min(np.diff([0, *ends])[:-1]) >= 512
+    moved = {e - 100 for e in cuts(data[:50] + b"!" * 100 + data[50:])}
+    assert len(moved & set(ends)) > 0.8 * len(ends)
+    assert normalised(" a\x0b\x0c\r\n\tb ") == "ab ".encode()
+
+
+def test_empty_tables(make_docs):
+    assert exact_duplicates(make_docs([])).count() == 0
+    assert simhash_groups(make_docs([])).count() == 0
+
+
+def slow_fingerprint(text, n=3):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    sh = [" ".join(w[i:i + n]) for i in range(max(1, len(w) - n + 1))] if w else []
+    hs = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in sh]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
+
+
+def slow_components(items, linked):
+    parent = list(range(len(items)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(items)):
+        for j in range(i):
+            if linked(items[i], items[j]):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(items))]
+
+
+def test_simhash_equals_brute_force(make_docs):
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(500)}" for _ in range(rng.randrange(5, 200))] for _ in range(60)]
+    rows = [r for r in EDGE_ROWS if r[0] is not None]
+    for k in range(300):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(len(w))] = "Zed"
+        rows.append((1000 - k, " ".join(w)))
+    fps = [slow_fingerprint(t) for _, t in rows]
+    roots = slow_components(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+    least = defaultdict(lambda: 10**9)
+    for r, (i, _) in zip(roots, rows):
+        least[r] = min(least[r], i)
+    want = sorted((i, f"{f:016x}", least[r]) for (i, _), f, r in zip(rows, fps, roots))
+    assert sorted(map(tuple, simhash_groups(make_docs(rows)).collect())) == want
+
+
+def test_long_text_fingerprint():
+    assert fingerprint("A b c d " * 9000) == slow_fingerprint("A b c d " * 9000)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 5])
+def test_bit_sliced_links_equal_popcount(radius):
+    rng = random.Random(radius)
+    seeds = [rng.getrandbits(64) for _ in range(5)]
+    runs = [[rng.choice(seeds) ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(6))) for _ in range(n)] for n in (1, 2, 63, 64, 65, 300)]
+    fps = np.array([x for r in runs for x in r], np.uint64)
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+    hi, lo = group_links(fps, starts, radius)
+    low = dict(zip(hi.tolist(), lo.tolist()))
+    at = 0
+    for r in runs:
+        want = slow_components(r, lambda a, b: (a ^ b).bit_count() <= radius)
+        assert [low.get(at + i, at + i) - at for i in range(len(r))] == want
+        at += len(r)
+
+
+def test_block_pairs_meet_every_near_pair():
+    rng = random.Random(5)
+    masks = block_masks(3)
+    assert len(masks) == 10
+    for _ in range(500):
+        d = sum(1 << b for b in rng.sample(range(64), 3))
+        assert any((d & m) == 0 for m in [x % (1 << 64) for x in masks])
+
+
+def test_components_of_chains_hubs_and_rings(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(1000, 1400)] + [(5, 6), (6, 5), (6, 6), (None, 3), (900, 901), (901, 902), (902, 900)]
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u long, v long")).collect()))
+    want = {i: 100 for i in range(100, 161)} | {x: 7 for x in [7, *range(1000, 1400)]} | {5: 5, 6: 5, 900: 900, 901: 900, 902: 900}
+    assert got == want
