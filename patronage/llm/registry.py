@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from patronage.llm.bpe import op2_bpe
 from patronage.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from patronage.llm.packing import op1_packing
 from patronage.llm.simhash import op7_simhash
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_bpe": op2_bpe,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
