@@ -71,7 +71,8 @@ def planes_of(lanes: np.ndarray) -> np.ndarray:
     """(blocks, 64) fingerprints -> (64 bit planes, blocks) words whose bit i
     belongs to lane i."""
     bits = np.unpackbits(lanes.view(np.uint8).reshape(len(lanes), 64, 8), axis=2, bitorder="little")
-    return np.ascontiguousarray(np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").view(np.uint64)[:, :, 0].T)
+    words = np.packbits(np.ascontiguousarray(bits.transpose(0, 2, 1)), axis=2, bitorder="little")
+    return np.ascontiguousarray(np.ascontiguousarray(words).view(np.uint64)[:, :, 0].T)
 
 
 def within(planes: np.ndarray, query: np.ndarray, block: np.ndarray, lanes: np.ndarray, radius: int):

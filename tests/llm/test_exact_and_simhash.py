@@ -9,7 +9,7 @@ import xxhash
 
 from patronage.llm.components import connected_components
 from patronage.llm.exact_dedup import cuts, exact_duplicates, normalised
-from patronage.llm.simhash import block_masks, fingerprint, group_links, simhash_groups
+from patronage.llm.simhash import block_masks, fingerprint, group_links, planes_of, simhash_groups
 from tests.llm.conftest import EDGE_ROWS
 
 
@@ -110,6 +110,16 @@ def test_bit_sliced_links_equal_popcount(radius):
         at += len(r)
 
 
+@pytest.mark.parametrize("blocks", [1, 2, 7])
+def test_bit_planes(blocks):
+    rng = random.Random(blocks)
+    lanes = np.array([[rng.getrandbits(64) for _ in range(64)] for _ in range(blocks)], np.uint64)
+    planes = planes_of(lanes)
+    for b in range(blocks):
+        for p in (0, 5, 63):
+            assert int(planes[p][b]) == sum((int(lanes[b][i]) >> p & 1) << i for i in range(64))
+
+
 def test_block_pairs_meet_every_near_pair():
     rng = random.Random(5)
     masks = block_masks(3)
