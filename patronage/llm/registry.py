@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from patronage.llm.bpe import op2_bpe
 from patronage.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from patronage.llm.lm_score import op9_lm_score
 from patronage.llm.packing import op1_packing
 from patronage.llm.simhash import op7_simhash
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_lm_score": op9_lm_score,
 }
 
 ORACLE_SQL = {

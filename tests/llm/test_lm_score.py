@@ -1,0 +1,91 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from patronage.llm import lm_score
+from patronage.llm.lm_score import gram_log10, lm_scores, op9_lm_score
+from tests.llm.conftest import EDGE_ROWS, TESTDATA
+
+
+def words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", low)]
+
+
+class SlowPPM:
+    def __init__(self, texts, order):
+        self.order, self.table = order, defaultdict(Counter)
+        for t in texts:
+            line = b"\n" * order + b" ".join(words(t)) + b"\n"
+            for i in range(order, len(line)):
+                for k in range(order + 1):
+                    self.table[line[i - k:i]][line[i]] += 1
+
+    def p(self, ctx, s):
+        prob, gone = 1.0, set()
+        for k in range(self.order, -1, -1):
+            seen = self.table.get(ctx[len(ctx) - k:], {})
+            left = {a: c for a, c in seen.items() if a not in gone}
+            total = sum(left.values()) + len(left)
+            if s in left:
+                return prob * left[s] / total
+            if left:
+                prob *= len(left) / total
+            gone |= set(seen)
+        return prob / (256 - len(gone))
+
+    def score(self, text):
+        line = b"\n" * self.order + b" ".join(words(text)) + b"\n"
+        return sum(math.log10(self.p(line[i - self.order:i], line[i])) for i in range(self.order, len(line)))
+
+
+def check(rows, got, train, order):
+    model = SlowPPM([t for i, t in rows if train(i)], order)
+    c = Counter(w for i, t in rows if train(i) for w in [*words(t), b""])
+    n, v = sum(c.values()), len(c)
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    for i, t in rows:
+        r, w = by[i], [*words(t), b""]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (not train(i), len(w), sum(c[x] > 0 for x in w), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w))
+        if len(t or "") < 3000:
+            assert r.score == pytest.approx(model.score(t))
+
+
+@pytest.mark.parametrize("order", [2, 5])
+def test_scores_equal_a_plain_ppm(make_docs, order):
+    rows = [(i, t) for i, t in EDGE_ROWS if i] + [(20 + k, f"the cat sat on the mat {k} times. The end") for k in range(40)]
+    rows = list(dict(rows).items())
+    check(rows, lm_scores(make_docs(rows), "doc_id % 3 <> 0", order=order).collect(), lambda i: i % 3, order)
+
+
+def test_without_training_documents_and_empty(make_docs):
+    rows = [(1, "some text"), (2, None)]
+    check(rows, lm_scores(make_docs(rows), "false").collect(), lambda i: False, lm_score.ORDER)
+    assert lm_scores(make_docs([]), "true").count() == 0
+
+
+def test_probabilities_of_all_symbols_add_up_to_one():
+    rng = np.random.default_rng(1)
+    tail = 0x6162  # "ab"
+    codes = np.unique((rng.integers(97, 101, 300).astype(np.uint64) << np.uint64(24)) | np.uint64(tail << 8) | rng.integers(0, 40, 300).astype(np.uint64))
+    ctxs = np.unique(codes >> np.uint64(8))
+    every = (np.repeat(ctxs, 256) << np.uint64(8)) | np.tile(np.arange(256, dtype=np.uint64), len(ctxs))
+    counts = np.where(np.isin(every, codes), rng.integers(1, 9, len(every)), 0)
+    pairs = rng.integers(0, 3, (256, 256))
+    pairs[0x62] = 0
+    np.add.at(pairs[0x62], (every & np.uint64(255)).astype(int), counts)
+    p = 10 ** gram_log10(every, counts, 3, pairs)
+    assert np.allclose(p.reshape(len(ctxs), 256).sum(axis=1), 1)
+
+
+def test_op9_on_the_table(spark):
+    sf = f"{TESTDATA}/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = op9_lm_score(spark, sf).collect()
+    check(rows, got, lambda i: zlib.crc32(str(i).encode()) % 10, lm_score.ORDER)
