@@ -1,0 +1,75 @@
+import random
+import zlib
+
+import numpy as np
+
+from patronage.llm import language_id as li
+from tests.llm.conftest import TESTDATA
+
+
+def longest_match_phrases(text, sample):
+    n, i = 0, 0
+    while i < len(text):
+        j = i + 1
+        while j <= len(text) and bytes(text[i:j]) in sample:
+            j += 1
+        i, n = max(i + 1, j - 1), n + 1
+    return n
+
+
+def test_phrases_are_greedy_longest_matches():
+    rng = random.Random(1)
+    samples = {k: ["".join(rng.choices(a, k=300))] for k, a in {"x": "abc ", "y": "abcd"}.items()}
+    model = li.Model(samples)
+    texts = ["".join(rng.choices("abcd ", k=n)).strip() or "a" for n in (1, 5, 40, 400, 900)]
+    symbols = [model.alphabet.symbols(t) for t in texts]
+    got = model.phrases(symbols)
+    for k, name in enumerate(model.names):
+        sample = np.append(model.alphabet.symbols(samples[name][0]), 1).astype(np.uint8).tobytes()
+        assert got[:, k].tolist() == [longest_match_phrases(s, sample) for s in symbols]
+
+
+def test_long_texts_are_parsed_by_segment():
+    model = li.Model({"x": ["abcabcab"], "y": ["zzzz"]})
+    s = model.alphabet.symbols("abcabcz" * 1000)
+    assert model.phrases([s]).tolist() == np.sum([model.phrases([s[i:i + li.SEGMENT]]) for i in range(0, len(s), li.SEGMENT)], axis=0).tolist()
+
+
+def test_automaton_accepts_substrings_only():
+    s = np.array([2, 3, 2, 2, 3, 4, 2], np.uint8)
+    go = li.suffix_automaton(s)
+    def accepts(w):
+        at = 0
+        for c in w:
+            at = go[at, c]
+            if at < 0:
+                return False
+        return True
+    subs = {tuple(s[i:j]) for i in range(7) for j in range(i, 8)}
+    rng = random.Random(2)
+    for _ in range(2000):
+        w = tuple(rng.choices([2, 3, 4], k=rng.randrange(6)))
+        assert accepts(w) == (w in subs)
+
+
+def test_undefined_and_edges(spark):
+    rows = [(1, "the cat and the dog", "en"), (5, "the end of the day", "en"), (2, "der hund und die katze", "de"), (3, None, "de"), (4, "1234 !!", "de"),
+            (6, "", None), (7, "the dog " * 20000, None), (8, "和", None), (None, "der und die", None), (2, "der hund und die katze", "de")]
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, lang string, score string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.predict(docs, li.learn(docs, "true")).collect()}
+    assert got[3] == got[4] == got[6] == ("und", 0.0)
+    assert got[7][0] == "en" and got[2][0] == "de" and got[None][0] == "de" and got[8][0] in ("de", "en")
+    assert all(0 <= s <= 1 for _, s in got.values())
+    none = li.learn(docs, "false")
+    assert {r.lang_pred for r in li.predict(docs, none).collect()} == {"und"}
+    assert li.predict(docs.limit(0), none).count() == 0
+
+
+def test_op3_held_out_accuracy(spark):
+    sf = f"{TESTDATA}/sf0.1"
+    want = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    got = li.op3_language_id(spark, sf).collect()
+    assert len(got) == len(want)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang_pred == want[r.doc_id] for r in held) > 0.97 * len(held)
