@@ -6,6 +6,7 @@ from patronage.llm.bpe import op2_bpe
 from patronage.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from patronage.llm.language_id import op3_language_id
 from patronage.llm.lm_score import op9_lm_score
+from patronage.llm.nn_descent import op4_nn_descent
 from patronage.llm.packing import op1_packing
 from patronage.llm.quality import op5_quality
 from patronage.llm.simhash import op7_simhash
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op3_language_id": op3_language_id,
+    "op4_nn_descent": op4_nn_descent,
     "op5_quality": op5_quality,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
