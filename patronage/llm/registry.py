@@ -10,6 +10,7 @@ from patronage.llm.nn_descent import op4_nn_descent
 from patronage.llm.packing import op1_packing
 from patronage.llm.quality import op5_quality
 from patronage.llm.simhash import op7_simhash
+from patronage.llm.warc import op6_warc
 
 QUERIES = {
     "op1_packing": op1_packing,
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_nn_descent": op4_nn_descent,
     "op5_quality": op5_quality,
+    "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_score": op9_lm_score,
