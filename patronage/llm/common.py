@@ -53,6 +53,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rows_with(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is among ``ids``
+    (one column); rows that repeat id and text are left once."""
+    chosen = ids.toDF("chosen_id").distinct()
+    row = docs.select(F.struct("*").alias("row")).join(chosen, F.col(f"row.{id_col}").cast("long").eqNullSafe(F.col("chosen_id")), "left_semi")
+    row = row.select("row", F.col(f"row.{id_col}").alias("i"), F.col(f"row.{text_col}").alias("t")).dropDuplicates(["i", "t"])
+    return row.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.common import binary_array, cut, ids_and_text, parallelism, slices, table
+from patronage.llm.common import binary_array, cut, ids_and_text, parallelism, rows_with, slices, table
 
 BLANKS = b" \t\n\x0b\x0c\r"
 LEAST, MOST, CUT_BITS = 512, 8192, 11
@@ -168,6 +168,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, that stay; rows without doc_id share
+    one fate."""
+    return rows_with(docs, exact_duplicates(docs).where("kept").select("doc_id"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 

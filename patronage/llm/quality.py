@@ -13,9 +13,8 @@ features and get the score of the bias. With fewer than two classes in the
 sample the score is the smoothed share of class 1.
 """
 
-from __future__ import annotations
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -195,6 +194,16 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         "predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose text scores at least ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.score(t or "") for t in texts], dtype="float64")
+    return docs.where(score(F.coalesce(F.col(text_col), F.lit(""))) >= threshold)
+
+
 TRAIN = "crc32(coalesce(cast(doc_id as string), '')) % 5 <> 0"
 
 

@@ -10,6 +10,7 @@ from patronage.llm.nn_descent import op4_nn_descent
 from patronage.llm.packing import op1_packing
 from patronage.llm.quality import op5_quality
 from patronage.llm.simhash import op7_simhash
+from patronage.llm.substring import op10_substring
 from patronage.llm.warc import op6_warc
 
 QUERIES = {
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_score": op9_lm_score,
+    "op10_substring": op10_substring,
 }
 
 ORACLE_SQL = {

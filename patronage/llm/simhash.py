@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.common import cut, ids_and_text, parallelism, sorted_runs, table, words_of
+from patronage.llm.common import cut, ids_and_text, parallelism, rows_with, sorted_runs, table, words_of
 from patronage.llm.components import connected_components
 
 SEED = 42
@@ -207,5 +207,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, of each group's smallest doc_id."""
+    return rows_with(docs, simhash_groups(docs).where("doc_id <=> component_id").select("doc_id"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
