@@ -298,11 +298,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans")))
 
     @F.udf("string")
-    def rest(text, spans):
-        return without_words(text, [tuple(s) for s in spans])
+    def rest(text, spans):  # also called, with nulls, for rows without spans
+        return None if text is None or spans is None else without_words(text, [tuple(s) for s in spans])
     row = docs.select(F.struct("*").alias("row"))
     joined = row.join(spans, F.col(f"row.{id_col}").cast("long") == F.col("span_id"), "left")
-    text = F.when(F.col("spans").isNull(), F.col(f"row.{text_col}")).otherwise(rest(F.col(f"row.{text_col}"), F.col("spans")))
+    text = F.when(F.col("spans").isNull(), F.col(f"row.{text_col}")).otherwise(
+        rest(F.when(F.col("spans").isNotNull(), F.col(f"row.{text_col}")), F.col("spans")))
     joined = joined.withColumn("text", text).where("spans is null or text rlike '[^\\x20\\x09-\\x0D]'")
     renewed = {text_col: F.col("text"), "n_chars": F.when(F.col("spans").isNull(), F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else None}
     return joined.select(*[(renewed.get(c) if renewed.get(c) is not None else F.col("row").getField(c)).alias(c) for c in docs.columns])
