@@ -15,17 +15,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from patronage import constants as K
 from patronage.functions import money_sum
+from patronage.functions.money import MEASURE
 from patronage.operators import dims
 from patronage.operators.population import population_standard
 from patronage.params import Params
 from patronage.tables import Tables
 
-MONEY = "decimal(24,4)"
 
 
-def last_gift(t: Tables, p: Params) -> DataFrame:
+def last_gift(t: Tables, p: Params, households: DataFrame | None = None) -> DataFrame:
     """Per household, the gifts on its latest gift date with the highest
-    designation key of that date, summed.
+    designation key of that date, summed; of the given households only, if any
+    are given.
 
     Written as two aggregations instead of two whole-household windows: the
     first collapses gifts to (household, day, designation) map-side, the
@@ -37,6 +38,8 @@ def last_gift(t: Tables, p: Params) -> DataFrame:
     hhg = (t.adv_hh_giving_f
            .join(dims.countable_gift_types(t), "gift_description_key")
            .join(dims.annual_fund_campaigns(t), "campaign_key"))
+    if households is not None:
+        hhg = hhg.join(households, "household_key", "left_semi")
     per_day = (hhg.groupBy("household_key", "date_key_gift", "designation_key")
                .agg(money_sum("credit_amount").alias("gift_amount")))
     order = F.struct("date_key_gift", "designation_key")
@@ -86,7 +89,7 @@ def _summary_rows(joined: DataFrame, label: str) -> DataFrame:
     return (joined.groupBy("cons_id", "campaign_fy")
             .agg(money_sum("amount").alias("GiftSummary_Amount"))
             .select(F.col("cons_id").alias("Constituent_Externalid"),
-                    F.col("GiftSummary_Amount").cast(MONEY).alias("GiftSummary_Amount"),
+                    F.col("GiftSummary_Amount").cast(MEASURE).alias("GiftSummary_Amount"),
                     F.lit(label).alias("GiftSummary_Type"),
                     F.col("campaign_fy").alias("GiftSummary_Year")))
 
@@ -109,7 +112,8 @@ def summary_household_cash(t: Tables, p: Params, pop: DataFrame | None = None) -
 
 def summary_pledges_wide(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """FY annual-fund pledge balance and amount for people who are spouse
-    one of their household, plain and divided by (alumni spouses + 1)."""
+    one of their household, plain and divided by (alumni spouses + 1). The
+    shares are rounded half up to ``p.share_places``, at most ten, places."""
     pop = population_standard(t, p) if pop is None else pop
     pledges = (t.adv_pledge_install_f
                .join(dims.countable_pledge_types(t, K.PLEDGE_STATUSES_SUMMARY), "pledge_description_key")
@@ -128,13 +132,15 @@ def summary_pledges_wide(t: Tables, p: Params, pop: DataFrame | None = None) ->
     agg = (joined.groupBy("cons_id", "campaign_fy")
            .agg(money_sum("balance").alias("bal"), money_sum("amount").alias("amt"),
                 F.countDistinct("sps_key").alias("n_spouses")))
-    share = F.col("n_spouses") + 1
+    def share(total: str):
+        parts = (F.col("n_spouses") + 1).cast("decimal(10,0)")
+        return (F.col(total).cast("decimal(28,10)") / parts).cast(f"decimal(38,{p.share_places})").cast(MEASURE)
     return agg.select(
         F.col("cons_id").alias("Constituent_Externalid"),
-        F.col("bal").cast(MONEY).alias("Pledge Balance"),
-        F.col("amt").cast(MONEY).alias("Pledge Amount"),
-        (F.col("bal") / share).cast(MONEY).alias("Pledge Balance - Summary"),
-        (F.col("amt") / share).cast(MONEY).alias("Pledge Amount - Summary"),
+        F.col("bal").cast(MEASURE).alias("Pledge Balance"),
+        F.col("amt").cast(MEASURE).alias("Pledge Amount"),
+        share("bal").alias("Pledge Balance - Summary"),
+        share("amt").alias("Pledge Amount - Summary"),
         F.col("campaign_fy").alias("GiftSummary_Year"))
 
 

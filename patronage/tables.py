@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from patronage.functions.money import require_exact
+
 # The 32 warehouse tables the extracts read.
 TABLE_NAMES = (
     "adv_reportvars_d", "adv_constituent_d", "adv_household_b", "adv_contact_info_d",
@@ -18,6 +20,13 @@ TABLE_NAMES = (
 )
 
 
+# Columns that are summed: they must be exact numbers.
+MONEY_COLUMNS = {
+    "adv_hh_giving_f": ("credit_amount",), "adv_credit_f": ("credit_amount",),
+    "adv_pledge_install_f": ("expected_amt", "install_amt_paid"), "afrctyp": ("afrctyp_ask_amount",),
+}
+
+
 class Tables:
     """Maps table name -> DataFrame, building each one on first use."""
 
@@ -34,7 +43,8 @@ class Tables:
         if name not in self._cache:
             if name not in self._builders:
                 raise KeyError(f"unknown table {name!r}")
-            self._cache[name] = self._builders[name]()
+            df = self._builders[name]()
+            self._cache[name] = require_exact(df, name, MONEY_COLUMNS.get(name, ()))
         return self._cache[name]
 
     def names(self) -> list[str]:
