@@ -1,4 +1,4 @@
-"""A skew-tolerant ``row_number``: exact results, bounded work per task.
+"""``row_number`` whose tasks stay bounded whatever group or key is hot.
 
 (Skewed joins are handled by adaptive execution's skew-join splitting, or,
 where the many side of a LEFT JOIN may be hot, by joining a per-key count and
@@ -9,55 +9,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from patronage.session import ensure_checkpoint_dir
 
-# A partition group above this many rows is numbered with the split method.
-HOT_GROUP_ROWS = 1_000_000
 
-
-def _numbered_by_person(df: DataFrame, partition_col: str, order_cols: list[str], out: str) -> DataFrame:
-    """Split numbering: rows numbered inside (p, o1) groups, shifted by the
-    count of rows of the same ``p`` with a smaller o1.
-
-    The (p, o1) group is one struct column: struct equality treats NULL fields
-    as equal, so the offsets join needs no null-safe rewrite and reuses the
-    window's hash partitioning.
-    """
-    first = order_cols[0]
-    key = F.struct(F.col(partition_col).alias("p"), F.col(first).alias("f"))
-    within = [F.col(c).asc_nulls_last() for c in order_cols[1:]] or [F.col(first).asc_nulls_last()]
-    local = (df.withColumn("__k", key)
-             .withColumn("__local", F.row_number().over(Window.partitionBy("__k").orderBy(*within))))
-    before = (Window.partitionBy(partition_col).orderBy(F.col(first).asc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (df.groupBy(partition_col, first).agg(F.count(F.lit(1)).alias("__n"))
-               .select(key.alias("__k"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
-    return (local.join(offsets, "__k")
-            .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
-            .drop("__k", "__local", "__off"))
-
-
-def row_number_split(df: DataFrame, partition_col: str, order_cols: list[str], out: str,
-                     hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def numbered(df: DataFrame, partition_col: str, order_cols: list[str], out: str) -> DataFrame:
     """``row_number() OVER (PARTITION BY p ORDER BY o1, o2, ...)`` (ascending,
-    NULLs last) without putting a hot ``p`` group into one task.
-
-    Rows per ``p`` are counted first (map-side partial aggregation). Groups of
-    at most ``hot_rows`` rows take the plain window, which keeps each task
-    bounded by ``hot_rows``. Larger groups are numbered inside (p, o1) and
-    shifted by per-(p, o1) counts, so a hot ``p`` is spread over its o1
-    values. The hot keys are broadcast: there are at most
-    rows / ``hot_rows`` of them, a bound that holds by construction.
-    Same numbers as the plain window, since o1 leads the order.
+    NULLs last), one path at every size.
+
+    The rows are computed once (reliable checkpoint) and dealt by range of
+    (p, o1, o2, ..., row), so a hot ``p``, a hot (p, o1) pair and even tied
+    rows are spread over as many ranges as their size asks for. Each range
+    numbers its own rows per ``p``; the counts per (p, range), at most one row
+    per ``p`` and range, give the offsets. A window over the counts of one
+    ``p`` holds at most as many rows as there are ranges. Ranges are kept in a
+    second checkpoint, so that a repeated task sees the same ones.
     """
-    # a separate flag, so that a hot NULL group is recognized as hot too
-    hot = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("__rows"))
-           .where(F.col("__rows") > hot_rows)
-           .select(F.col(partition_col).alias("__hot"), F.lit(True).alias("__is_hot")))
-    tagged = (df.join(F.broadcast(hot), F.col(partition_col).eqNullSafe(F.col("__hot")), "left")
-              .drop("__hot"))
-    order = [F.col(c).asc_nulls_last() for c in order_cols]
-    cold = (tagged.where(F.col("__is_hot").isNull()).drop("__is_hot")
-            .withColumn(out, F.row_number().over(Window.partitionBy(partition_col).orderBy(*order))))
-    split = _numbered_by_person(tagged.where(F.col("__is_hot")).drop("__is_hot"),
-                                partition_col, order_cols, out)
-    return cold.unionByName(split)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    rows = df.checkpoint(eager=True).withColumn("__row", F.monotonically_increasing_id())
+    order = [F.col(c).asc_nulls_last() for c in (partition_col, *order_cols, "__row")]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = (rows.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
+            .withColumn("__k", F.struct(F.col(partition_col).alias("p"), F.col("__range").alias("r")))
+            .checkpoint(eager=True))
+    local = F.row_number().over(Window.partitionBy("__k").orderBy(*order[1:]))
+    before = Window.partitionBy(partition_col).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy("__k", partition_col, "__range").agg(F.count(F.lit(1)).alias("__n"))
+               .select("__k", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    return (rows.withColumn("__local", local).join(offsets, "__k")
+            .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
+            .drop("__k", "__row", "__range", "__local", "__off"))

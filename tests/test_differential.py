@@ -15,14 +15,3 @@ from tests.differential import differences
 @pytest.mark.parametrize("seed", range(3))
 def test_random_warehouse_matches_oracle(spark, schemas, seed):
     assert differences(spark, schemas, seed) == {}
-
-
-@pytest.mark.parametrize("seed", range(3))
-def test_gift_numbering_split_path_matches_oracle(spark, schemas, seed, monkeypatch):
-    """Every gift number forced onto the split path (threshold 1 row)."""
-    import functools
-
-    from patronage.operators import skew
-    from patronage.plans import extracts
-    monkeypatch.setattr(extracts, "row_number_split", functools.partial(skew.row_number_split, hot_rows=1))
-    assert differences(spark, schemas, seed, {"gift_extract": extracts.gift_extract}) == {}

@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from patronage.operators.skew import row_number_split
+from patronage.operators.skew import numbered
 
 small = st.one_of(st.none(), st.integers(min_value=0, max_value=3))
 rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["g1", "g2", "g3"])), small, small,
@@ -12,7 +12,7 @@ rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["g1", "g2", "g3"
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows)
-def test_row_number_split_matches_window(spark, data):
+def test_numbering_matches_window(spark, data):
     # a unique last key makes the numbering deterministic, so both forms must agree exactly
     data = [(g, a, b, i) for i, (g, a, b, _) in enumerate(data)]
     df = spark.createDataFrame(data, "g string, a int, b int, u int").repartition(3)
@@ -20,9 +20,8 @@ def test_row_number_split_matches_window(spark, data):
     want = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("g").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
     expected = sorted(want.collect(), key=repr)
-    for hot_rows in (2, 1_000_000):  # groups above 2 rows take the split path; none do
-        got = row_number_split(df, "g", order, "rn", hot_rows=hot_rows).select(*df.columns, "rn")
-        assert sorted(got.collect(), key=repr) == expected
+    got = numbered(df, "g", order, "rn").select(*df.columns, "rn")
+    assert sorted(got.collect(), key=repr) == expected
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -42,7 +41,7 @@ def test_last_gift_matches_the_window_form(make_tables, data):
                     adv_campaign_d=[(20001, "AF", 19990701)],
                     adv_designation_d=[(k, f"D{k}") for k in range(1, 5)],
                     adv_calendar_dv=[(20000101 + d, dt.date(2000, 1, 1 + d), 2000) for d in range(6)])
-    got = giving.last_gift(t, Params(fiscal_year=2000, school_code="x"))
+    got = giving.last_gift(t, Params(fiscal_year=2000, school_code="x", class_segment=None, org_segment_labels=(), mail_labels=()))
     hhg = t.adv_hh_giving_f
     w1, w2 = Window.partitionBy("household_key"), Window.partitionBy("household_key", "date_key_gift")
     want = (hhg.withColumn("md", F.max("date_key_gift").over(w1))

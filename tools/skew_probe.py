@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession, Window, functions as F  # noqa: E402
 
-from patronage.operators.skew import row_number_split  # noqa: E402
+from patronage.operators.skew import numbered  # noqa: E402
 
 
 def main(rows: int) -> None:
@@ -70,7 +70,7 @@ def main(rows: int) -> None:
         return gifts.withColumn("seq", F.row_number().over(w))
 
     def our_numbering():
-        return row_number_split(gifts, "gift_number", order, "seq")
+        return numbered(gifts, "gift_number", order, "seq")
 
     # inner join where one key holds a third of the left rows (the "n/a" spouse
     # sentinel of the constituent file); the right side has one row per key
