@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def write_extract(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
@@ -12,9 +12,16 @@ def write_extract(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overw
     NULL is written as an empty field, which is how the source system's
     export represents its empty strings.
     """
+    if fmt == "csv":
+        # decimals in plain digits (the writer would give a zero as 0E-10)
+        df = df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                         else F.col(f"`{f.name}`") for f in df.schema.fields])
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+        (writer.option("header", True).option("nullValue", "").option("emptyValue", "")
+         # values as they are: blanks kept, quotes doubled
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .option("quote", '"').option("escape", '"').csv(path))
     elif fmt == "parquet":
         writer.parquet(path)
     else:
