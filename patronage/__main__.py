@@ -3,11 +3,14 @@
     python -m patronage --database dw --out /shared/extracts --params params.json
     python -m patronage --location /data/warehouse --out /data/out --format parquet
 
-``params.json`` holds the institution's values: ``school_code`` (required),
-optional ``class_segment_from``/``class_segment_to``/``class_segment_label``,
-``org_segment_labels`` and ``mail_labels`` (lists of [code, label]) and
-``staff_exceptions`` (lists of [staff_cons_id, scy_from, scy_to]). The fiscal
-year is read from the warehouse's parameter table.
+``params.json`` holds the institution's values: ``school_code``,
+``class_segment`` ([first year, last year, label] or null),
+``org_segment_labels`` and ``mail_labels`` (lists of [code, label], which may
+be empty), all required, and optionally ``share_places`` and
+``staff_exceptions``: objects with ``staff_cons_id`` and either ``years``
+(exact texts) or ``scy_from`` and ``scy_to`` (numbers; offsets from the fiscal
+year with ``"fiscal_year_relative": true``). The fiscal year is read from the
+warehouse's parameter table.
 """
 
 from __future__ import annotations
@@ -25,14 +28,15 @@ from patronage.sources.warehouse import warehouse_tables
 def load_params(path: str, fiscal_year: int) -> Params:
     with open(path) as fh:
         raw = json.load(fh)
-    kw = {k: v for k, v in raw.items() if k in ("school_code", "class_segment_from", "class_segment_to",
-                                                 "class_segment_label")}
-    for key in ("org_segment_labels", "mail_labels"):
-        if key in raw:
-            kw[key] = tuple(tuple(pair) for pair in raw[key])
-    if "staff_exceptions" in raw:
-        kw["staff_exceptions"] = tuple(StaffException(str(a), int(b), int(c)) for a, b, c in raw["staff_exceptions"])
-    return Params(fiscal_year=fiscal_year, **kw)
+    missing = [k for k in ("school_code", "class_segment", "org_segment_labels", "mail_labels") if k not in raw]
+    if missing:
+        raise ValueError(f"{path}: missing {', '.join(missing)}")
+    rules = tuple(StaffException(**{**r, "years": tuple(r.get("years", ()))}) for r in raw.get("staff_exceptions", ()))
+    return Params(fiscal_year=fiscal_year, school_code=raw["school_code"],
+                  class_segment=tuple(raw["class_segment"]) if raw["class_segment"] else None,
+                  org_segment_labels=tuple(map(tuple, raw["org_segment_labels"])),
+                  mail_labels=tuple(map(tuple, raw["mail_labels"])), staff_exceptions=rules,
+                  share_places=raw.get("share_places", 4))
 
 
 def main(argv: list[str] | None = None) -> None:

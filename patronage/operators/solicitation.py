@@ -12,13 +12,16 @@ from patronage.params import Params, StaffException
 from patronage.tables import Tables
 
 
-def _excepted(e: StaffException) -> Column:
-    """``sol.cons_id = staff AND class year in range`` with SQL three-valued
-    logic. A class year that is not a number (such as 'n/a') is outside every
-    range; a NULL class year stays unknown."""
-    in_range = (F.when(F.col("scy").isNull(), F.lit(None).cast("boolean"))
-                .otherwise(F.coalesce(text_int("scy").between(e.scy_from, e.scy_to), F.lit(False))))
-    return (F.col("sol_cons_id") == F.lit(e.staff_cons_id)) & in_range
+def _excepted(e: StaffException, fiscal_year: int) -> Column:
+    """``sol.cons_id = staff AND class year matches`` with SQL three-valued
+    logic. Exact years compare as text. A class year that is not a number
+    (such as 'n/a') is outside every range; a NULL class year stays unknown."""
+    if e.years:
+        matches = F.col("scy").isin(*e.years)
+    else:
+        inside = F.coalesce(text_int("scy").between(*e.bounds(fiscal_year)), F.lit(False))
+        matches = F.when(F.col("scy").isNull(), F.lit(None).cast("boolean")).otherwise(inside)
+    return (F.col("sol_cons_id") == F.lit(e.staff_cons_id)) & matches
 
 
 def staff_solicited(t: Tables, p: Params) -> DataFrame:
@@ -37,6 +40,6 @@ def staff_solicited(t: Tables, p: Params) -> DataFrame:
                                             F.col("cons_id").alias("sol_cons_id"))
     rows = (asn.join(prospects, "constituent_key").join(staff, "staff_key").join(solicitors, "sol_key"))
     if p.staff_exceptions:
-        keep = reduce(lambda a, b: a & b, [~_excepted(e) for e in p.staff_exceptions])
+        keep = reduce(lambda a, b: a & b, [~_excepted(e, p.fiscal_year) for e in p.staff_exceptions])
         rows = rows.where(keep)
     return rows.select("constituent_key")

@@ -18,38 +18,44 @@ from patronage import constants as K
 
 @dataclass(frozen=True)
 class StaffException:
-    """Prospects of ``staff_cons_id`` whose class year lies in
-    [scy_from, scy_to] are not counted as staff-solicited."""
+    """Prospects of ``staff_cons_id`` with certain class years are not counted
+    as staff-solicited. The years are exact texts (``years``) or a range
+    [scy_from, scy_to] of numbers, fixed or, with ``fiscal_year_relative``,
+    offsets from the fiscal year (-10, -1: the ten years before it)."""
 
     staff_cons_id: str
-    scy_from: int
-    scy_to: int
+    scy_from: int | None = None
+    scy_to: int | None = None
+    years: tuple[str, ...] = ()
+    fiscal_year_relative: bool = False
+
+    def __post_init__(self) -> None:
+        if bool(self.years) == (self.scy_from is not None and self.scy_to is not None):
+            raise ValueError("a staff exception has either exact years or both ends of a range")
+
+    def bounds(self, fiscal_year: int) -> tuple[int, int]:
+        base = fiscal_year if self.fiscal_year_relative else 0
+        return base + self.scy_from, base + self.scy_to
 
 
 @dataclass(frozen=True)
 class Params:
     fiscal_year: int
     school_code: str
-    # class-year segment: scy between these texts gets ``class_segment_label``
-    class_segment_from: str = "2002"
-    class_segment_to: str = "2017"
-    class_segment_label: str = "Scholars"
-    # solicitation org code -> segment label
-    org_segment_labels: tuple[tuple[str, str], ...] = (
-        ("TP", "Top Prospects"),
-        ("PA", "Leaders' Circle"),
-        ("MDS", "Society Members"),
-        ("MDSP", "Society Prospects"),
-        ("BFP", "Annual Fund Pipeline"),
-        ("GG", "General Giving"),
-        ("PAR", "Parents"),
-    )
+    # class-year segment: scy between the first two texts gets the third as
+    # its label; none: no such segment
+    class_segment: tuple[str, str, str] | None
+    # solicitation org code -> segment label; codes not listed have no label
+    org_segment_labels: tuple[tuple[str, str], ...]
     # mail code -> scholarship status label
-    mail_labels: tuple[tuple[str, str], ...] = (
-        ("SIO", "Scholarship Opportunity"),
-        ("SIB", "Scholarship Base"),
-    )
+    mail_labels: tuple[tuple[str, str], ...]
     staff_exceptions: tuple[StaffException, ...] = field(default_factory=tuple)
+    # decimal places of the pledge shares, rounded half up (0 to 10)
+    share_places: int = 4
+
+    def __post_init__(self) -> None:
+        if not 0 <= self.share_places <= 10:
+            raise ValueError("share_places must be 0 to 10")
 
     def with_fiscal_year(self, fy: int) -> "Params":
         return replace(self, fiscal_year=fy)
