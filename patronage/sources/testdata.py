@@ -164,11 +164,13 @@ def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
     t["adv_designation_d"] = lambda: lit_df(
         [(1, "Annual Fund"), (2, "Scholarship"), (3, "Library"), (4, "Athletics"), (5, "Unrestricted")],
         "designation_key int, designation_ld string")
-    t["adv_hh_giving_f"] = lambda: tables.gift_base.where("(o_custkey - o_custkey % 2) % 22 <> 0").selectExpr(
+    t["adv_hh_giving_f"] = lambda: tables.gift_base.selectExpr(
         "o_custkey - o_custkey % 2 AS household_key",
         "concat('G', CAST(o_orderkey - o_orderkey % 3 AS STRING)) AS gift_number",
         "date_key AS date_key_gift", "CAST(substring(o_orderpriority, 1, 1) AS INT) AS designation_key",
-        CAMPAIGN_KEY.format(open="o_orderstatus = 'O'"), "o_orderkey % 7 AS gift_description_key",
+        CAMPAIGN_KEY.format(open="o_orderstatus = 'O'"),
+        # households of every eleventh pair have soft credits only
+        "CASE WHEN (o_custkey - o_custkey % 2) % 22 = 0 THEN 5 ELSE o_orderkey % 7 END AS gift_description_key",
         "CASE WHEN o_orderkey % 4 = 0 THEN CAST(NULL AS BIGINT) ELSE o_orderkey END AS pledge_number",
         "amt AS credit_amount")
     t["adv_credit_f"] = lambda: tables.gift_base.selectExpr(
@@ -237,8 +239,10 @@ def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
         "CASE WHEN constituent_key % 2 = 0 THEN 'FAN' ELSE 'OTH' END AS aprpros_prcd_code")
     t["apracty"] = lambda: raw("events").selectExpr(
         "100000 + user_id AS apracty_pidm", "event_type AS apracty_actc_code").distinct()
-    t["apracyr"] = lambda: raw("events").where("event_type <> 'view'").selectExpr(
-        "100000 + user_id AS apracyr_pidm", "event_type AS apracyr_actc_code",
+    t["apracyr"] = lambda: raw("events").selectExpr(
+        "100000 + user_id AS apracyr_pidm",
+        # 'view' years are kept under a code that no activity has
+        "CASE WHEN event_type = 'view' THEN 'view-none' ELSE event_type END AS apracyr_actc_code",
         "CAST(1990 + day(ts) AS STRING) AS apracyr_year").distinct()
     t["stvactc"] = lambda: lit_df(
         [("click", "Debate", "SOORG"), ("view", "Rowing", "SPRTS"), ("purchase", "Reunion", "ALUMN"),
@@ -303,11 +307,10 @@ def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
         "CASE WHEN s_suppkey % 4 = 3 THEN 'N' ELSE 'Y' END AS wh_current_row")
 
     def assignments() -> DataFrame:
-        # The supplier of the first line of each urgent order is a staff member
-        # assigned to the ordering customer: a few staff per prospect, linear
-        # in the data (one candidate row per order).
-        li = raw("lineitem").where("l_linenumber = 1").select("l_orderkey", "l_suppkey")
-        od = raw("orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
+        # Every supplier of an order's lines is a staff member assigned to the
+        # ordering customer: linear in the data.
+        li = raw("lineitem").select("l_orderkey", "l_suppkey")
+        od = raw("orders").select("o_orderkey", "o_custkey")
         return (li.join(od, li.l_orderkey == od.o_orderkey)
                 .selectExpr("o_custkey AS constituent_key_prospect", "l_suppkey AS staff_key",
                             "'Y' AS wh_current_row",
