@@ -6,12 +6,12 @@ from patronage.functions.text import (
     decode,
     mmddyyyy,
     ordered_listagg,
-    pad2,
+    sequence_suffix,
     strip_token,
     text_int,
     true_false,
     yyyy,
 )
 
-__all__ = ["money_sum", "cat", "decode", "mmddyyyy", "ordered_listagg", "pad2", "strip_token",
+__all__ = ["money_sum", "cat", "decode", "mmddyyyy", "ordered_listagg", "sequence_suffix", "strip_token",
            "text_int", "true_false", "yyyy"]

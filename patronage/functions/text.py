@@ -61,9 +61,12 @@ def yyyy(c: Column | str) -> Column:
     return F.date_format(_c(c), "yyyy")
 
 
-def pad2(c: Column | str) -> Column:
-    """At least two digits, zero padded (``7`` -> ``'07'``, ``100`` -> ``'100'``)."""
-    return F.format_string("%02d", _c(c))
+def sequence_suffix(c: Column | str) -> Column:
+    """Two digits up to 99; from 100 on, where two digits overflow, the number
+    between ``#`` signs. Read from its right end a suffix is unambiguous after
+    any text, so different (text, number) pairs never give one id."""
+    n = _c(c)
+    return F.when(n < 100, F.format_string("%02d", n)).otherwise(F.format_string("#%d#", n))
 
 
 def ordered_listagg(value_col: str, sep: str, *order_cols: str) -> Column:

@@ -68,8 +68,9 @@ def student_activities(t: Tables, p: Params | None = None) -> DataFrame:
             .agg(ordered_listagg("stvactc_desc", ", ", "stvactc_code", "stvactc_desc").alias("activities")))
 
 
-def student_info(t: Tables, p: Params | None = None) -> DataFrame:
-    """Per parent pidm, the students' names, genders and activity lists,
+def student_info(t: Tables, p: Params | None = None, parents: DataFrame | None = None) -> DataFrame:
+    """Per parent pidm (of ``parents`` only, if given, so that a sentinel
+    or NULL parent outside the population builds no list), the students' names, genders and activity lists,
     each ordered by student pidm (NULL entries skipped, so lists need not align).
     Every list takes its value as the second order key, so ties in the
     specified key (SURVEY 1.5.8) cannot reorder it between runs."""
@@ -77,6 +78,8 @@ def student_info(t: Tables, p: Params | None = None) -> DataFrame:
                 .select(F.col("pidm").alias("chl_pidm"), "pref_first_name", "last_name", "gender"))
     edges = (t.aprxref.where(F.col("aprxref_xref_code") == K.PARENT_EDGE)
              .select(F.col("aprxref_pidm").alias("chl_pidm"), F.col("aprxref_xref_pidm").alias("par_pidm")))
+    if parents is not None:
+        edges = edges.join(parents, "par_pidm", "left_semi")
     acts = student_activities(t).select(F.col("pidm").alias("chl_pidm"), "activities")
     rows = (edges.join(students, "chl_pidm").join(acts, "chl_pidm", "left")
             .select("par_pidm", "chl_pidm", "activities",

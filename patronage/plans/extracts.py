@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from patronage import constants as K
-from patronage.functions import (cat, decode, mmddyyyy, ordered_listagg, pad2, strip_token,
+from patronage.functions import (cat, decode, mmddyyyy, ordered_listagg, sequence_suffix, strip_token,
                                  text_int, true_false, yyyy)
 from patronage.operators import dims
 from patronage.operators.giving import (last_gift, non_annual_fund_givers, summary_household_cash,
@@ -18,9 +18,10 @@ from patronage.operators.population import (population_constituent, population_f
                                             population_standard)
 from patronage.operators.rollups import (affiliation_group_rollup, exclusion_group_rollup,
                                          student_info)
-from patronage.operators.skew import row_number_split
+from patronage.operators.skew import numbered
 from patronage.operators.solicitation import staff_solicited
 from patronage.params import Params
+from patronage.session import ensure_checkpoint_dir
 from patronage.tables import Tables
 
 
@@ -102,35 +103,36 @@ def gift_rows(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Population members x their household's countable annual-fund gifts of
     campaigns established in FY-4..FY (before numbering)."""
     lo, hi = dims.gift_window(p)
-    cal = t.adv_calendar_dv.select(F.col("date_key").alias("date_key_gift"), "calendar_date")
     gifts = (t.adv_hh_giving_f
              .join(dims.countable_gift_types(t), "gift_description_key")
              .join(t.adv_designation_d.select("designation_key", "designation_ld"), "designation_key")
              .join(dims.annual_fund_campaign_years(t, lo, hi), "campaign_key")
-             .join(cal, "date_key_gift"))
+             .join(t.adv_calendar_dv.select(F.col("date_key").alias("date_key_gift"), "calendar_date"), "date_key_gift"))
     pop = _standard(t, p, pop).select("constituent_key", "household_key", "cons_id")
     return pop.join(gifts, "household_key")
 
 
 def gift_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
-    """Gift transactions; the id is the gift number plus a two-digit sequence
-    within the gift number."""
-    # numbering within a gift number, split by person so one huge gift number
-    # is not a single task
-    rows = row_number_split(gift_rows(t, p, pop), "gift_number", list(GIFT_ORDER), "seq")
+    """Gift transactions; the id is the gift number (empty when NULL) plus the
+    sequence within the gift number. The joined rows are computed once."""
+    rows = numbered(gift_rows(t, p, pop), "gift_number", list(GIFT_ORDER), "seq")
     return rows.select(F.col("cons_id").alias("Constituent_Externalid"),
                        F.col("credit_amount").alias("Gift_Amount"),
                        F.lit(K.GIFT_TYPE_CASH).alias("Gift_Type"),
                        F.col("designation_ld").alias("Gift_Allocation"),
                        F.col("campaign_fy").alias("Gift_Year"),
-                       F.concat(F.col("gift_number"), pad2("seq")).alias("Gift_TransactionId"),
+                       cat("gift_number", sequence_suffix("seq")).alias("Gift_TransactionId"),
                        mmddyyyy("calendar_date").alias("Gift_Date"))
 
 
 # --------------------------------------------------------------------- E6
 def gift_summary_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
-    """Person credit, household cash and pledge measures, stacked long."""
-    pop = _standard(t, p, pop)
+    """Person credit, household cash and pledge measures, stacked long. The
+    population is computed once, narrow, into the shared folder."""
+    if pop is None:
+        pop = population_standard(t, p).select("constituent_key", "household_key", "cons_id")
+        ensure_checkpoint_dir(pop.sparkSession)
+        pop = pop.checkpoint(eager=True)
     return (summary_person_credit(t, p, pop)
             .unionByName(summary_household_cash(t, p, pop))
             .unionByName(summary_pledges_long(t, p, pop)))
@@ -159,6 +161,8 @@ def relative_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> Data
 # --------------------------------------------------------------------- E1
 NAME_COLUMNS = ("prefix", "first_name", "middle_name", "last_name", "suffix", "pref_first_name",
                 "college_last_name", "gender", "marital_desc")
+# Staff assignments of one person are expanded in blocks of this many.
+ASSIGNMENT_BLOCK = 1024
 BEHAVIOR_COLUMNS = ("og_consec_yrs_giving", "lyr_og_consec_yrs_giving",
                     "bf_consec_yrs_giving", "lyr_bf_consec_yrs_giving")
 
@@ -174,24 +178,29 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
 
     Join order is chosen for the shuffles, not copied from the
     specification (inner joins commute with these left joins): the row stays
-    narrow while it is re-partitioned by each key (person, household+person,
-    household, spouse, pidm, employer), joins sharing a key are adjacent so
-    one exchange serves them, the wide contact and name columns are attached
-    last, and staff assignments are joined as a per-person count and
-    re-expanded at the very end.
+    in the order of its keys (person, household, spouse, pidm, employer), joins
+    sharing a key are adjacent so one exchange serves them, the wide contact
+    columns are attached last, and staff assignments are joined as a
+    per-person count and re-expanded at the very end. The population is
+    computed once into the shared folder; last gifts and student lists are
+    built for its households and parents only.
     """
     fy = p.fiscal_year
     core = population_constituent(t, p, ("contact_info_key", "exclusion_group_key", "primary_donor_code",
-                                         "deceased_ind"), BEHAVIOR_COLUMNS)
+                                         "deceased_ind", *NAME_COLUMNS), BEHAVIOR_COLUMNS)
+    ensure_checkpoint_dir(core.sparkSession)
+    core = core.checkpoint(eager=True)
+    households = core.select("household_key").distinct()
+    parents = core.select(F.col("pidm").alias("par_pidm")).distinct()
 
     nonbf = non_annual_fund_givers(t, p)
     # one row per person; a prospect with a huge number of assignments is
     # collapsed by partial aggregation instead of sitting in one join task
     ss = (staff_solicited(t, p).groupBy(F.col("constituent_key").alias("ss_key"))
-          .agg(F.count(F.lit(1)).cast("int").alias("ss_n")))
-    hhb = t.adv_household_b.select("household_key", F.col("cons_key_sps1").alias("constituent_key"),
+          .agg(F.count(F.lit(1)).alias("ss_n")))
+    hhb = t.adv_household_b.select(F.col("household_key").alias("hh_key"), F.col("cons_key_sps1").alias("sps1_key"),
                                    "cons_key_sps2", "spouse_name")
-    lg = _prefixed(last_gift(t, p), "lg_", ["household_key", "calendar_date", "designation_ld", "gift_amount"])
+    lg = _prefixed(last_gift(t, p, households), "lg_", ["household_key", "calendar_date", "designation_ld", "gift_amount"])
     spouse = _prefixed(t.adv_constituent_d, "sps_", ["constituent_key", "cons_id", "scy"])
     affil = affiliation_group_rollup(t)
     excl = exclusion_group_rollup(t)
@@ -205,16 +214,18 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
            .select("apradeg_pidm", "apradeg_degc_code"))
     sch = (t.aprmail.where(F.col("aprmail_mail_code").isin(*K.MAIL_CODES))
            .select("aprmail_pidm", "aprmail_mail_code"))
-    stu = student_info(t, p)
+    stu = student_info(t, p, parents)
     atv = t.atvsicc.select("atvsicc_code", "atvsicc_desc")
     emp = _prefixed(t.adv_constituent_d, "emp_", ["pidm", "last_name", "is_mg_company"])
     contact = t.adv_contact_info_d
-    names = t.adv_constituent_d.select(F.col("constituent_key").alias("nm_constituent_key"), *NAME_COLUMNS)
 
     rows = (core                                                               # by person
             .join(nonbf, F.col("constituent_key") == F.col("con_key"), "left")
             .join(ss, F.col("constituent_key") == F.col("ss_key"), "left")
-            .join(hhb, ["household_key", "constituent_key"])                   # by household+person
+            # still by person: with the household as a plain condition the row
+            # keeps the partitioning it has
+            .join(hhb, (F.col("constituent_key") == F.col("sps1_key"))
+                  & (F.col("household_key") >= F.col("hh_key")) & (F.col("household_key") <= F.col("hh_key")))
             .join(lg, F.col("household_key") == F.col("lg_household_key"), "left")  # by household
             .join(spouse, F.col("cons_key_sps2") == F.col("sps_constituent_key"))  # by spouse
             .join(affil, "donor_group_key")                                    # small group roll-ups
@@ -226,10 +237,13 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
             .join(stu, F.col("pidm") == F.col("par_pidm"), "left")
             .join(atv, F.col("aprehis_sicc_code") == F.col("atvsicc_code"), "left")
             .join(emp, F.col("aprehis_empr_pidm") == F.col("emp_pidm"), "left")   # by employer
-            .join(contact, "contact_info_key")                                 # wide columns last
-            .join(names, F.col("constituent_key") == F.col("nm_constituent_key"))
-            # one row per staff assignment (none: one row with no assignment)
-            .withColumn("ss_key", F.explode_outer(F.array_repeat(F.col("constituent_key"), F.col("ss_n")))))
+            .join(contact, "contact_info_key"))                                # wide columns last
+    # one row per staff assignment (none: one row with no assignment), in two
+    # steps so that no row carries an entry per assignment
+    last_block = F.col("ss_n") - 1 - F.col("ss_block") * ASSIGNMENT_BLOCK
+    rows = (rows.withColumn("ss_block", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("ss_n") - 1) / ASSIGNMENT_BLOCK))))
+            .withColumn("ss_key", F.explode_outer(F.when(F.col("ss_block").isNotNull(), F.sequence(
+                F.lit(0).cast("bigint"), F.least(last_block, F.lit(ASSIGNMENT_BLOCK - 1).cast("bigint")))))))
 
     c = F.col
     na = K.NOT_APPLICABLE
@@ -249,8 +263,10 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
               & (c("afrctyp_ask_amount") >= K.PARENT_ASK_LIMIT), "FALSE")      # parent with a large ask
         .when(c("ss_key").isNotNull(), "FALSE")                                # has a staff solicitor
         .otherwise("TRUE"))
-    segment = (F.when(c("scy").between(p.class_segment_from, p.class_segment_to), F.lit(p.class_segment_label))
-               .otherwise(decode("afrctyp_sol_org", p.org_segment_labels)))
+    segment = decode("afrctyp_sol_org", p.org_segment_labels)
+    if p.class_segment:
+        first, last, label = p.class_segment
+        segment = F.when(c("scy").between(first, last), F.lit(label)).otherwise(segment)
     null_text = F.lit(None).cast("string")
 
     def streak(cur: str, last_year: str):
@@ -281,8 +297,7 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
         strip_token("pref_mail_nation_desc", na).alias("Constituent_AddressCountry"),
         F.when(masked, null_text).otherwise(mmddyyyy("lg_calendar_date")).alias("Constituent_LastGiftDate"),
         F.when(masked, null_text).otherwise(c("lg_designation_ld")).alias("LastGiftDesignation"),
-        F.when(masked, F.lit(None).cast("decimal(24,2)"))
-         .otherwise(c("lg_gift_amount").cast("decimal(24,2)")).alias("Constituent_LastGiftAmount"),
+        F.when(~F.coalesce(masked, F.lit(False)), c("lg_gift_amount")).alias("Constituent_LastGiftAmount"),
         streak("og_consec_yrs_giving", "lyr_og_consec_yrs_giving").alias("ConsecutiveGivingYears"),
         null_text.alias("Constituent_DonorStatus"),
         c("afrctyp_ask_amount").alias("Constituent_AskAmount"),

@@ -47,13 +47,21 @@ FIXTURE_SCHOOL_CODE = "000100"
 FIXTURE_STAFF_EXCEPTIONS = (
     StaffException("000000001", 1920, 1960),
     StaffException("000000002", 1961, 2005),
-    StaffException("000000005", 1990, 1999),
+    StaffException("000000005", -10, -1, fiscal_year_relative=True),
+    StaffException("000000006", years=("1970", "1985", "n/a")),
 )
+# Neutral labels; one holds a quote, and one code that occurs has none.
+FIXTURE_CLASS_SEGMENT = ("1960", "1969", "Class segment")
+FIXTURE_ORG_LABELS = (("TP", "Org 1"), ("GG", "Org '2'"), ("XX", "Org 3"))
+FIXTURE_MAIL_LABELS = (("SIO", "Mail 1"), ("SIB", "Mail 2"))
 
 
 def fixture_params(t: Tables) -> Params:
     return Params(fiscal_year=read_fiscal_year(t.adv_reportvars_d),
                   school_code=FIXTURE_SCHOOL_CODE,
+                  class_segment=FIXTURE_CLASS_SEGMENT,
+                  org_segment_labels=FIXTURE_ORG_LABELS,
+                  mail_labels=FIXTURE_MAIL_LABELS,
                   staff_exceptions=FIXTURE_STAFF_EXCEPTIONS)
 
 
