@@ -1,6 +1,7 @@
 """Blocks and extracts on hand-made rows; expected values are written by hand."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
@@ -11,7 +12,8 @@ from patronage.params import Params, StaffException, read_fiscal_year
 from patronage.plans import extracts
 
 FY = 2000
-P = Params(fiscal_year=FY, school_code="000100")
+P = Params(fiscal_year=FY, school_code="000100", class_segment=None, org_segment_labels=(("GG", "Org 2"),),
+           mail_labels=())
 RV = [("VOLUNTR_FY", FY)]
 
 
@@ -83,10 +85,10 @@ def test_gift_transaction_ids_and_null_pledge_last(make_tables):
     out = extracts.gift_extract(t, P).collect()
     ids = sorted(r.Gift_TransactionId for r in out)
     assert len(ids) == 100 and len(set(ids)) == 100
-    assert {"G01", "G09", "G99", "G100"} <= set(ids)
+    assert {"G01", "G09", "G99", "G#100#"} <= set(ids)
     assert all(r.Gift_Date == "01/05/2000" and r.Gift_Year == 2000 for r in out)
     # pledge numbers 2..100 take ids 01..99; the NULL pledge number sorts last
-    assert [r.Gift_TransactionId for r in out if r.Gift_Amount == D("0.01")] == ["G100"]
+    assert [r.Gift_TransactionId for r in out if r.Gift_Amount == D("0.01")] == ["G#100#"]
 
 
 # ------------------------------------------------------------------ summaries
@@ -135,9 +137,22 @@ def test_staff_exception_rules(make_tables):
               person(21, scy="1980"), person(22, scy="n/a")]
     t = make_tables(adv_constituent_d=people, adv_staff_d=[(1, 1, "Y")],
                     adv_assignments_f=[(k, 1, "Y", "STAF") for k in (20, 21, 22)] + [(20, 1, "Y", "STAF")])
-    p = Params(fiscal_year=FY, school_code="x", staff_exceptions=(StaffException("000000001", 1990, 1999),))
-    kept = sorted(r.constituent_key for r in solicitation.staff_solicited(t, p).collect())
-    assert kept == [21, 22]  # 1995 dropped (both assignments); 1980 and 'n/a' kept
+
+    def kept(*rules, fy=FY):
+        p = replace(P, fiscal_year=fy, staff_exceptions=rules)
+        return sorted(r.constituent_key for r in solicitation.staff_solicited(t, p).collect())
+    one = "000000001"
+    assert kept(StaffException(one, 1990, 1999)) == [21, 22]  # 1995 dropped (both assignments); 1980 and 'n/a' kept
+    # one rule, two fiscal years: FY-10..FY-1
+    ten_years = StaffException(one, -10, -1, fiscal_year_relative=True)
+    assert kept(ten_years) == [21, 22] and kept(ten_years, fy=1990) == [20, 20, 22]
+    # exact years are texts
+    assert kept(StaffException(one, years=("1980", "n/a"))) == [20, 20]
+    assert kept(StaffException("000000009", years=("1980",))) == [20, 20, 21, 22]
+    with pytest.raises(ValueError):
+        StaffException(one)
+    with pytest.raises(ValueError):
+        StaffException(one, 1990, 1999, years=("1990",))
     assert sorted(r.constituent_key for r in solicitation.staff_solicited(t, P).collect()) == [20, 20, 21, 22]
 
 
@@ -168,28 +183,97 @@ def test_constituent_fan_out_streaks_and_masking(make_tables):
     assert a.ConsecutiveGivingYears == 7 and b.ConsecutiveGivingYears == 3
     assert a.Constituent_Restrictions == "No Mail" and a.Constituent_Selectable == "FALSE"  # N25 -> no contact
     assert b.Constituent_Affiliation == "Alumni;Trustee" and b.Constituent_Selectable == "FALSE"
-    assert b.Constituent_AskAmount == D("1000.00") and b.Constituent_Segments == "General Giving"
+    assert b.Constituent_AskAmount == D("1000.00") and b.Constituent_Segments == "Org 2"
     assert a.Spouse_Externalid is None and a.Spouse_Name is None and a.Constituent_Email is None
     assert a.NonBFGiving == "FALSE" and a.Constituent_DonorStatus is None
     assert len(rows[0]) == 50
 
 
-def test_row_number_split_equals_window(spark):
+def test_numbering_equals_the_window(spark):
     from pyspark.sql import Window
-    from patronage.operators.skew import row_number_split
+    from patronage.operators.skew import numbered
     rows = [("hot", k % 7 if k % 11 else None, k, k % 3) for k in range(400)] + \
+           [("pair", 1, k // 2, 0) for k in range(200)] + \
            [("cold", 1, 5, 0), ("cold", None, 1, 0)] + \
-           [(None, k % 5, k, 1) for k in range(30)]  # a hot NULL group
+           [(None, k % 5, k, 1) for k in range(30)]  # a NULL group
     df = spark.createDataFrame(rows, "g string, a int, b int, c int").repartition(5)
     order = ["a", "b", "c"]
     want = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("g").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
-    got = row_number_split(df, "g", order, "rn", hot_rows=10)  # "hot" takes the split path
-    key = lambda r: (str(r.g), r.rn)
+    got = numbered(df, "g", order, "rn")
     assert sorted(map(tuple, got.select(*df.columns, "rn").collect()), key=repr) == \
         sorted(map(tuple, want.collect()), key=repr)
 
 
+def test_numbering_spreads_a_hot_group_and_a_hot_pair(spark):
+    """The window's partitions are (group, range): a group or a (group, person)
+    pair with nearly all rows is numbered in several ranges."""
+    from patronage.operators.skew import numbered
+    df = spark.range(8000).select(F.lit("G").alias("g"), F.lit(1).alias("person"), "id")
+    out = numbered(df, "g", ["person", "id"], "rn")
+    assert out.where("rn <> id + 1").count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(__k" in plan
+
+
+def test_a_null_gift_number_and_ids_beyond_99(make_tables):
+    people = [person(k, hh=10) for k in range(1, 103)]
+    gifts = [(10, g, 20000105, 1, 20001, 0, 1, D("5.00")) for g in ("G1", "G11", None)]
+    t = make_tables(adv_constituent_d=people, adv_donor_behavior_ps=[behavior(k) for k in range(1, 103)],
+                    adv_hh_giving_f=gifts, **gift_dims())
+    ids = [r.Gift_TransactionId for r in extracts.gift_extract(t, P).collect()]
+    assert len(ids) == len(set(ids)) == 3 * 102
+    assert {"01", "99", "#100#", "G101", "G199", "G1#101#", "G1101", "G11#102#"} <= set(ids)
+
+
+def test_many_staff_assignments_expand_to_as_many_rows(make_tables, monkeypatch):
+    monkeypatch.setattr(extracts, "ASSIGNMENT_BLOCK", 4)
+    t = make_tables(
+        adv_reportvars_d=RV, adv_constituent_d=[person(k, scy="1960") for k in (1, 10, 12)] + [SENTINEL],
+        adv_contact_info_d=[(k,) + ("x",) * 12 for k in (10, 12)],
+        adv_donor_behavior_ps=[behavior(10), behavior(12)],
+        adv_household_b=[(k, k, -1, "n/a") for k in (10, 12)],
+        adv_donor_codes_d=[(1, "A", "Alumni")], adv_donor_group_b=[(1, 1)],
+        adv_staff_d=[(k, 1, "Y") for k in range(9)], adv_assignments_f=[(10, k, "Y", "STAF") for k in range(9)])
+    rows = extracts.constituent_extract(t, P).collect()
+    assert sorted(r.Constituent_Selectable for r in rows) == ["FALSE"] * 9 + ["TRUE"]
+
+
+@pytest.mark.parametrize("places", [4, 10])
+def test_sums_keep_every_place(spark, places):
+    from patronage.functions import money_sum
+    df = spark.createDataFrame([(D("0.0050"),), (D("0.0099"),)], f"a decimal({places + 10},{places})")
+    assert df.agg(money_sum("a")).first()[0] == D("0.0149")
+
+
+def test_summaries_keep_every_place_and_round_shares_as_told(make_tables, schemas, spark):
+    from pyspark.sql import types as T
+
+    from patronage.tables import Tables
+    people = [person(7, hh=7), person(8, hh=8), person(9, hh=7)]
+    t = make_tables(adv_constituent_d=people, adv_donor_behavior_ps=[behavior(k) for k in (7, 8)],
+                    adv_household_b=[(7, 7, 9, "x")], adv_pldg_description_d=[(0, "A", "N", "N")], **gift_dims())
+    fine = {}
+    for name, rows in (("adv_credit_f", [(7, 0, 20001, FY, D("0.0050")), (7, 0, 20001, FY, D("0.0099"))]),
+                       ("adv_pledge_install_f", [(7, 0, 20001, FY, D("0.0003"), D("0.0000"))])):
+        kind = T.StructType([T.StructField(f.name, T.DecimalType(18, 4) if isinstance(f.dataType, T.DecimalType) else f.dataType)
+                             for f in schemas[name].fields])
+        fine[name] = spark.createDataFrame(rows, kind)
+    tables = Tables({n: (lambda n=n: fine.get(n, t[n])) for n in t.names()})
+    assert [r.GiftSummary_Amount for r in giving.summary_person_credit(tables, P).collect()] == [D("0.0149")]
+    wide = giving.summary_pledges_wide(tables, P).first()
+    assert wide["Pledge Amount"] == D("0.0003") and wide["Pledge Amount - Summary"] == D("0.0002")  # half up
+    wide = giving.summary_pledges_wide(tables, replace(P, share_places=6)).first()
+    assert wide["Pledge Amount - Summary"] == D("0.000150")
+
+
+def test_money_that_is_not_exact_is_refused_at_load(spark, schemas):
+    from patronage.tables import Tables
+    bad = spark.createDataFrame([], schemas["adv_credit_f"]).withColumn("credit_amount", F.lit(0.29))
+    with pytest.raises(TypeError, match="adv_credit_f.credit_amount is double"):
+        Tables({"adv_credit_f": lambda: bad})["adv_credit_f"]
+
+
 # ------------------------------------------------------------------ populations
 def test_parent_year_is_numeric_and_alumni_year_textual(make_tables):
     from patronage.operators.population import population_constituent, population_standard

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from patronage.functions import cat, decode, ordered_listagg, pad2, strip_token, text_int, true_false
+from patronage.functions import cat, decode, ordered_listagg, sequence_suffix, strip_token, text_int, true_false
 
 
 def one(spark, rows, schema, expr):
@@ -29,9 +29,15 @@ def test_ordered_listagg_nulls_last_and_skipped(spark):
     assert out == {1: "a;b;z", 2: None}
 
 
-def test_pad2_keeps_ids_unique_past_99(spark):
-    out = one(spark, [(1,), (9,), (99,), (100,)], "n int", F.concat(F.lit("G"), pad2("n")))
-    assert out == ["G01", "G09", "G99", "G100"]
+def test_sequence_suffix_cannot_collide(spark):
+    out = one(spark, [(1,), (9,), (99,), (100,), (1101,)], "n int", F.concat(F.lit("G1"), sequence_suffix("n")))
+    assert out == ["G101", "G109", "G199", "G1#100#", "G1#1101#"]
+    # every (text, number) can be read back from its id
+    import re
+    pairs = [(g, n) for g in ("", "G1", "G11", "G1#1", "G#101#", "#") for n in (1, 10, 99, 100, 101, 1101)]
+    ids = one(spark, pairs, "g string, n int", F.concat("g", sequence_suffix("n")))
+    back = [(m[1], int(m[2])) if (m := re.fullmatch(r"(.*)#(\d+)#", i)) else (i[:-2], int(i[-2:])) for i in ids]
+    assert back == pairs
 
 
 def test_text_int_is_null_for_sentinel(spark):
