@@ -9,10 +9,11 @@ one's counts. A probability depends on the last ORDER bytes only, so it is
 computed once per gram, in groups that share the last two context bytes; the
 two shortest orders are at most 65,536 rows and are the only thing broadcast.
 
-Documents are dealt to buckets. A bucket lists the grams and words it holds,
-gets their values back by a join, and scores its documents with them: what
-moves is each bucket's distinct grams, not its bytes, and no task ever holds
-the whole model. A word-unigram score is computed the same way.
+Documents are dealt to buckets, parts of one input file where there are files.
+A first pass lists each bucket's distinct grams and words with their training
+counts; these are summed over all buckets, and every value goes back to the
+buckets that listed its key, packed into blocks. The documents then meet the
+values of their bucket: they move once, and no task ever holds the whole model.
 
 A text is coded as its lower-cased words with single blanks between and one
 end; a null or blank text is the end alone. Without training documents every
@@ -31,10 +32,12 @@ from pyspark.sql import functions as F
 from patronage.llm.common import binary_array, ids_and_text, parallelism, slices, sorted_runs, table, words_of, written
 
 ORDER = 5
-#: Text of a bucket, in bytes.
+#: Text of a bucket, in bytes, where a file holds more.
 BUCKET_BYTES = 32 << 20
 END = b"\n"
 NO_WORD = b""
+#: Characters coded at a time; keys a task lists before it passes them on; rows of a block; rows scored at a time.
+SLICE, HELD_KEYS, BLOCK_ROWS, LEAST_ROWS = 1 << 20, 1_500_000, 1 << 19, 1 << 17
 
 
 def coded(text: str) -> tuple[list[bytes], bytes]:
@@ -70,32 +73,45 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _inventory(order: int):
     """Per bucket: each gram and each word with its count in training documents
     (0 where only other documents have it)."""
-    def run(key, docs):
-        grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        words: Counter = Counter()
-        texts, train = docs.column("text").to_pylist(), np.array(docs.column("train").to_pylist(), bool)
-        for i, j in slices(texts):
-            pairs = [coded(t) for t in texts[i:j]]
-            for on in (True, False):
-                some = [p for p, k in zip(pairs, train[i:j].tolist(), strict=True) if k == on]
-                if not some:
-                    continue
-                u, c = np.unique(grams_of([x[1] for x in some], order)[0], return_counts=True)
-                grams, counts = merged(np.concatenate([grams, u]), np.concatenate([counts, c if on else np.zeros_like(c)]))
-                if on:
-                    for w, _ in some:
-                        words.update(w)
-                    words[NO_WORD] += len(some)
-                else:
-                    for w, _ in some:
-                        for x in {NO_WORD, *w}:
-                            words.setdefault(x, 0)
+    def rows(b, grams, counts, words):
         n, m = len(grams), len(words)
-        return pa.table({
-            "b": pa.array(np.full(n + m, key[0].as_py(), np.int64)),
-            "gram": pa.concat_arrays([pa.array(grams.view(np.int64)), pa.nulls(m, pa.int64())]),
-            "word": pa.concat_arrays([pa.nulls(n, pa.binary()), binary_array(list(words))]),
-            "n": pa.concat_arrays([pa.array(counts), pa.array(list(words.values()), pa.int64())])})
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(n + m, b, np.int32)), pa.concat_arrays([pa.array(grams.view(np.int64)), pa.nulls(m, pa.int64())]),
+            pa.concat_arrays([pa.nulls(n, pa.binary()), binary_array(list(words))]),
+            pa.concat_arrays([pa.array(counts), pa.array(list(words.values()), pa.int64())])], ["b", "gram", "word", "n"])
+
+    def run(batches):
+        held: dict[int, list] = {}
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            train = batch.column(2).to_numpy(zero_copy_only=False)
+            bucket = batch.column(3).to_numpy()
+            for b in np.unique(bucket).tolist():
+                mine = np.flatnonzero(bucket == b).tolist()
+                some = [texts[k] for k in mine]
+                for i, j in slices(some, SLICE):
+                    pairs = [coded(t) for t in some[i:j]]
+                    grams, counts, words = held.setdefault(b, [np.zeros(0, np.uint64), np.zeros(0, np.int64), Counter()])
+                    for on in (True, False):
+                        group = [p for p, k in zip(pairs, mine[i:j], strict=True) if train[k] == on]
+                        if not group:
+                            continue
+                        u, c = np.unique(grams_of([x[1] for x in group], order)[0], return_counts=True)
+                        grams, counts = merged(np.concatenate([grams, u]), np.concatenate([counts, c if on else np.zeros_like(c)]))
+                        for w, _ in group:
+                            if on:
+                                words.update(w)
+                            else:
+                                for x in w:
+                                    words.setdefault(x, 0)
+                        words[NO_WORD] += len(group) if on else 0
+                    held[b] = [grams, counts, words]
+                    if sum(len(x[0]) + len(x[2]) for x in held.values()) > HELD_KEYS:
+                        for k, x in held.items():
+                            yield rows(k, *x)
+                        held = {}
+        for k, x in held.items():
+            yield rows(k, *x)
     return run
 
 
@@ -149,46 +165,88 @@ def gram_log10(codes: np.ndarray, counts: np.ndarray, order: int, pairs: np.ndar
     return logp
 
 
-def _gram_scores(order: int, pairs):
-    """Runs of grams with the same last two context bytes, sorted by them."""
-    def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def _blocks(b: np.ndarray, keys: pa.Array, values: np.ndarray) -> pa.RecordBatch:
+    """Rows grouped by bucket into (b, Arrow stream of keys and values)."""
+    by = np.argsort(b, kind="stable")
+    bounds = sorted_runs(b[by])
+    packed = []
+    for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        part = pa.RecordBatch.from_arrays([keys.take(pa.array(by[i:j])), pa.array(values[by[i:j]])], ["key", "value"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(part)
+        packed.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(b[by][bounds[:-1]] if len(b) else [], pa.int32()), binary_array(packed)], ["b", "block"])
+
+
+def _unpacked(blocks: list[bytes], kind: pa.DataType) -> tuple[pa.Array, np.ndarray]:
+    parts = [pa.ipc.open_stream(x).read_all() for x in blocks]
+    parts = [t for t in parts if t.schema.field("key").type == kind]
+    if not parts:
+        return pa.array([], kind), np.zeros(0)
+    whole = pa.concat_tables(parts).combine_chunks()
+    return whole.column("key").chunk(0), whole.column("value").to_numpy()
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column and the row that each belongs to."""
+    lengths = np.diff(lists.offsets.to_numpy())
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lengths)
 
-        def scored(rows):
-            tail, codes, counts = (np.concatenate(x) for x in zip(*rows, strict=True))
-            bounds = sorted_runs(tail)
-            logp = np.concatenate([gram_log10(codes[a:b].view(np.uint64), counts[a:b], order, pairs.value) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(logp)], ["gram", "value"])
 
+def _gram_scores(order: int, pairs):
+    """Runs of grams with the same last two context bytes, sorted by them, with
+    the buckets that hold each -> blocks of values."""
+    def scored(t: pa.Table):
+        tail, codes, counts = (t.column(k).to_numpy() for k in range(3))
+        bounds = sorted_runs(tail)
+        logp = np.concatenate([gram_log10(codes[a:b].view(np.uint64), counts[a:b], order, pairs.value) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+        b, row = _flat(t.column(3).combine_chunks())
+        for i in range(0, len(b), BLOCK_ROWS):
+            part = row[i:i + BLOCK_ROWS]
+            yield _blocks(b[i:i + BLOCK_ROWS], pa.array(codes[part]), logp[part])
+
+    def run(batches):
+        held = None
         for b in batches:
             if not len(b):
                 continue
-            tail, codes, counts = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            t = pa.Table.from_batches([b])
+            held = t if held is None else pa.concat_tables([held, t])
+            tail = held.column(0).to_numpy()
             last = int(np.searchsorted(tail, tail[-1]))
-            if held and (last or held[-1][0][-1] != tail[0]):
-                yield scored([*held, (tail[:last], codes[:last], counts[:last])])
-                held = []
-            elif last:
-                yield scored([(tail[:last], codes[:last], counts[:last])])
-            held.append((tail[last:], codes[last:], counts[last:]))
-        if held:
-            yield scored(held)
+            if last and len(held) >= LEAST_ROWS:
+                yield from scored(held.slice(0, last).combine_chunks())
+                held = held.slice(last).combine_chunks()
+        if held is not None:
+            yield from scored(held.combine_chunks())
     return run
 
 
+def _word_counts(batches):
+    """(word, n, buckets) -> blocks of counts."""
+    for batch in batches:
+        b, row = _flat(batch.column(2))
+        words, n = batch.column(0), batch.column(1).to_numpy().astype(np.float64)
+        for i in range(0, len(b), BLOCK_ROWS):
+            part = row[i:i + BLOCK_ROWS]
+            yield _blocks(b[i:i + BLOCK_ROWS], words.take(pa.array(part)), n[part])
+
+
 def _scores(order: int, n: int, v: int):
-    """Scores of a bucket's documents from the values of its grams and words."""
+    """Scores of a bucket's documents from the blocks of its grams and words."""
     def run(docs, values):
-        texts = docs.column("text").to_pylist()
-        is_gram = values.column("gram").is_valid()
-        grams = values.column("gram").filter(is_gram).to_numpy().view(np.uint64)
-        value = values.column("value").to_numpy()
-        gram_value = value[is_gram.to_numpy()]
+        blocks = values.column("block").to_pylist()
+        keys, gram_value = _unpacked(blocks, pa.int64())
+        grams = keys.to_numpy().view(np.uint64)
         by = np.argsort(grams)
         grams, gram_value = grams[by], gram_value[by]
-        words = dict(zip(values.column("word").filter(values.column("word").is_valid()).to_pylist(), value[~is_gram.to_numpy()].tolist(), strict=True))
+        keys, count = _unpacked(blocks, pa.binary())
+        words = dict(zip(keys.to_pylist(), count.tolist(), strict=True))
+        del blocks, keys, count, by
+        texts = docs.column("text").to_pylist()
         tokens, known, base, score = [], [], [], []
-        for i, j in slices(texts):
+        for i, j in slices(texts, SLICE):
             pairs = [coded(t) for t in texts[i:j]]
             code, starts = grams_of([x[1] for x in pairs], order)
             score.append(np.add.reduceat(gram_value[np.searchsorted(grams, code)], starts))
@@ -212,22 +270,23 @@ def lm_scores(docs: DataFrame, train: str = "true", id_col: str = "doc_id", text
         raise ValueError("order must be 2 to 7")
     spark = docs.sparkSession
     d = ids_and_text(docs, id_col, text_col).withColumn("train", F.coalesce(F.expr(train), F.lit(False)))
-    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES), min(parallelism(spark), -(-size // (BUCKET_BYTES // 4))))
-    d = d.withColumn("b", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
-    held = written(d.groupBy("b").applyInArrow(_inventory(order), "b long, gram long, word binary, n long"))
-    grams = written(held.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")))
-    words = written(held.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")))
+    d = d.withColumn("file", F.input_file_name())
+    largest = d.groupBy("file").agg(F.sum(F.octet_length("text")).alias("size")).agg(F.max("size")).first()[0] or 0
+    parts = max(1, -(-largest // BUCKET_BYTES))
+    d = d.withColumn("b", F.hash("file", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))).select("doc_id", "text", "train", "b")
+    listed = d.mapInArrow(_inventory(order), "b int, gram long, word binary, n long")
+    keys = written(listed.repartition(parallelism(spark), "gram", "word").groupBy("gram", "word")
+                   .agg(F.sum("n").alias("n"), F.collect_set("b").alias("at")))
+    grams, words = keys.where("gram is not null"), keys.where("word is not null")
     pairs = np.zeros((256, 256), np.int64)
     for r in grams.groupBy(F.expr("gram & 65535").cast("int").alias("p")).agg(F.sum("n").alias("n")).collect():  # at most 65,536 rows
         pairs[r.p >> 8, r.p & 255] = r.n
     shared = spark.sparkContext.broadcast(pairs)
-    scored = (grams.select(F.expr("shiftright(gram, 8) & 65535").alias("tail"), "gram", "n")
-              .repartition(parallelism(spark), "tail").sortWithinPartitions("tail")
-              .mapInArrow(_gram_scores(order, shared), "gram long, value double"))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    values = (held.where("gram is not null").select("b", "gram").join(scored, "gram").select("b", "gram", F.lit(None).cast("binary").alias("word"), "value")
-              .unionByName(held.where("word is not null").select("b", "word").join(words, "word").select("b", F.lit(None).cast("long").alias("gram"), "word", F.col("n").cast("double").alias("value"))))
+    values = (grams.select(F.expr("shiftright(gram, 8) & 65535").alias("tail"), "gram", "n", "at")
+              .repartition(parallelism(spark), "tail").sortWithinPartitions("tail")
+              .mapInArrow(_gram_scores(order, shared), "b int, block binary")
+              .unionByName(words.select("word", "n", "at").mapInArrow(_word_counts, "b int, block binary")))
     out = d.groupBy("b").cogroup(values.groupBy("b")).applyInArrow(
         _scores(order, *total), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(total[0]).cast("long"))
