@@ -56,6 +56,15 @@ def test_fiscal_year_prunes_partitions(both):
     assert len(cols.split(",")) == 8 and "first_name" not in cols, cols
 
 
+def test_campaign_list_prunes_all_three_facts(both):
+    _, stored = both
+    p = fixture_params(stored)
+    plan = scan_filters(extracts.gift_summary_extract(stored, p))
+    for fact in ("adv_credit_f", "adv_hh_giving_f", "adv_pledge_install_f"):
+        scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and fact in ln]
+        assert scans and all(re.search(r"PartitionFilters: \[[^\]]*campaign_key[^\]]*dynamicpruning", ln) for ln in scans), scans
+
+
 def test_catalog_database_path(spark, both):
     """``warehouse_tables(database=...)`` reads ``{database}.{name}`` from the
     catalog (global temporary views here, so no files are written)."""
