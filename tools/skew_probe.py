@@ -1,19 +1,15 @@
-"""Skew probe: how much of a hot key lands in one task.
+"""Skew probe: how much of a hot key lands in one task of the shipped code.
 
-Builds a synthetic household-gift fact where one household and one gift
-number hold a third of all rows, runs the last-gift block and the gift
-numbering both in their naive window form and in the form used here, joins a
-hot key to a one-row-per-key side with and without AQE skew splitting, and
-reads per-task shuffle records from Spark's event log (written to a fresh
-scratch folder). Prints one JSON line per variant: the largest number of
-shuffle records a single task read, and the total.
+Builds gift and credit facts in which one key holds a third of all rows, runs
+the shipped gift file, last gift and credit summary on them, and, for
+comparison, the plain window forms; per-task shuffle records come from Spark's
+event log (in a fresh scratch folder). Prints one JSON line per variant.
 
     python tools/skew_probe.py [rows]
 """
 
 from __future__ import annotations
 
-import glob
 import json
 import os
 import sys
@@ -24,7 +20,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession, Window, functions as F  # noqa: E402
 
-from patronage.operators.skew import numbered  # noqa: E402
+from patronage.operators import giving  # noqa: E402
+from patronage.plans import extracts  # noqa: E402
+from patronage.plans.registry import fixture_params  # noqa: E402
+from patronage.sources.testdata import testdata_tables  # noqa: E402
+from patronage.tables import Tables  # noqa: E402
+from tools.event_log import by_group  # noqa: E402
 
 
 def main(rows: int) -> None:
@@ -35,111 +36,60 @@ def main(rows: int) -> None:
              .config("spark.eventLog.compress", "false")
              .config("spark.sql.shuffle.partitions", "32")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+             # joins of persons and facts shuffle, as at scale; AQE's skew thresholds fit the probe's size
+             .config("spark.sql.autoBroadcastJoinThreshold", "64k")
+             .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64k")
+             .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1m")
+             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    hot = rows // 3
-    gifts = spark.range(rows).select(
-        F.when(F.col("id") < hot, F.lit(0)).otherwise(F.col("id") % 100000 + 1).alias("household_key"),
-        F.when(F.col("id") < hot, F.lit("G0")).otherwise(F.concat(F.lit("G"), (F.col("id") % 50000 + 1)
-                                                                 .cast("string"))).alias("gift_number"),
-        (F.lit(19950101) + F.col("id") % 2000).cast("int").alias("date_key_gift"),
-        (F.col("id") % 5 + 1).cast("int").alias("designation_key"),
-        (F.col("id") % 7919).alias("constituent_key"),
-        F.col("id").alias("pledge_number"),
-        (F.col("id") % 1000).cast("decimal(14,2)").alias("credit_amount"))
-
-    def naive_last_gift():
-        w1 = Window.partitionBy("household_key")
-        w2 = Window.partitionBy("household_key", "date_key_gift")
-        g = (gifts.withColumn("max_date", F.max("date_key_gift").over(w1))
-             .withColumn("max_desg", F.max("designation_key").over(w2))
-             .where((F.col("date_key_gift") == F.col("max_date")) & (F.col("designation_key") == F.col("max_desg"))))
-        return g.groupBy("household_key", "date_key_gift", "designation_key").agg(F.sum("credit_amount"))
-
-    def our_last_gift():
-        per_day = (gifts.groupBy("household_key", "date_key_gift", "designation_key")
-                   .agg(F.sum("credit_amount").alias("a")))
-        return per_day.groupBy("household_key").agg(
-            F.max_by(F.struct("date_key_gift", "designation_key", "a"),
-                     F.struct("date_key_gift", "designation_key")).alias("g"))
-
-    order = ["constituent_key", "date_key_gift", "designation_key", "pledge_number"]
-
-    def naive_numbering():
+    base = testdata_tables(spark, "/root/testdata/sf0.001")
+    p = fixture_params(base)
+    hot, i = rows // 3, F.col("id")
+    day = F.element_at(F.array(*[F.lit((y - 1) * 10000 + 701) for y in range(1996, 2001)]), (i % 5 + 1).cast("int"))
+
+    def gifts(household, number):
+        return spark.range(rows).select(
+            household.alias("household_key"), number.alias("gift_number"), day.alias("date_key_gift"),
+            (i % 5 + 1).cast("int").alias("designation_key"), ((i % 5 + 1996) * 10 + 1).cast("int").alias("campaign_key"),
+            F.lit(0).alias("gift_description_key"), i.alias("pledge_number"),
+            (i % 1000).cast("decimal(14,2)").alias("credit_amount"))
+
+    def number(k):
+        return F.concat(F.lit("G"), k.cast("string"))
+    spread = i % 100_000 + 1
+    in_hot = i < hot
+    people = spark.range(rows).select(i.alias("constituent_key"), i.alias("household_key"), i.cast("string").alias("cons_id"))
+
+    def with_gifts(fact):
+        credit = fact.select(F.col("household_key").alias("constituent_key_credit"), "gift_description_key", "campaign_key",
+                             F.lit(2000).alias("fiscal_year"), "credit_amount")
+        own = {"adv_hh_giving_f": fact, "adv_credit_f": credit}
+        return Tables({n: (lambda n=n: own.get(n, base[n] if n not in own else None)) for n in base.names()})
+    hot_number = with_gifts(gifts(i, F.when(in_hot, F.lit("G0")).otherwise(number(spread))))
+    hot_pair = with_gifts(gifts(F.when(in_hot, F.lit(0)).otherwise(i), F.when(in_hot, F.lit("G0")).otherwise(number(spread))))
+    order = [F.col(c).asc_nulls_last() for c in extracts.GIFT_ORDER]
+
+    def window(t):
         w = Window.partitionBy("gift_number").orderBy(*order)
-        return gifts.withColumn("seq", F.row_number().over(w))
-
-    def our_numbering():
-        return numbered(gifts, "gift_number", order, "seq")
-
-    # inner join where one key holds a third of the left rows (the "n/a" spouse
-    # sentinel of the constituent file); the right side has one row per key
-    people = spark.range(100001).select((F.col("id") - 1).alias("sps_key"), F.col("id").alias("sps_id"))
-
-    def spouse_join():
-        left = gifts.select(F.when(F.col("household_key") == 0, F.lit(-1)).otherwise(F.col("household_key"))
-                            .alias("k"), "credit_amount")
-        return left.join(people, F.col("k") == F.col("sps_key"))
-
-    # person-year credit totals where one person holds a third of the credits
-    credits = gifts.select(F.col("household_key").alias("ck"), (F.col("date_key_gift") / 10000).cast("int")
-                           .alias("fy"), "credit_amount")
-
-    def summary_join_then_sum():
-        return (credits.join(people.withColumnRenamed("sps_key", "ck"), "ck")
-                .groupBy("sps_id", "fy").agg(F.sum("credit_amount")))
-
-    def summary_sum_then_join():
-        pre = credits.groupBy("ck", "fy").agg(F.sum("credit_amount").alias("a"))
-        return (pre.join(people.withColumnRenamed("sps_key", "ck"), "ck")
-                .groupBy("sps_id", "fy").agg(F.sum("a")))
-
-    variants = [("last_gift_window", naive_last_gift, {}), ("last_gift_aggregates", our_last_gift, {}),
-                ("summary_join_then_sum", summary_join_then_sum, {}),
-                ("summary_sum_then_join", summary_sum_then_join, {}),
-                ("numbering_window", naive_numbering, {}), ("numbering_split", our_numbering, {}),
-                ("hot_key_join_no_skew_split", spouse_join, {"spark.sql.adaptive.skewJoin.enabled": "false"}),
-                ("hot_key_join_aqe_skew_split", spouse_join, {"spark.sql.adaptive.skewJoin.enabled": "true"})]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force shuffled joins, as at scale
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    # the probe's data is small; scale AQE's skew thresholds down with it
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1m")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
-    results = {}
-    for name, build, conf in variants:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
+        return extracts.gift_rows(t, p, people).withColumn("seq", F.row_number().over(w))
+    variants = [("gift_extract, hot gift number, all persons distinct", lambda: extracts.gift_extract(hot_number, p, people)),
+                ("the same by one window per gift number", lambda: window(hot_number)),
+                ("gift_extract, hot (gift number, person) pair", lambda: extracts.gift_extract(hot_pair, p, people)),
+                ("last_gift, hot household", lambda: giving.last_gift(hot_pair, p)),
+                ("summary_person_credit, hot person", lambda: giving.summary_person_credit(hot_pair, p, people))]
+    seconds = {}
+    for name, build in variants:
         spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         build().write.format("noop").mode("overwrite").save()
-        results[name] = {"seconds": round(time.perf_counter() - t0, 2)}
+        seconds[name] = round(time.perf_counter() - t0, 2)
     app_id = spark.sparkContext.applicationId
     spark.stop()
-
-    # job group -> stages -> per-task shuffle records read
-    found = glob.glob(os.path.join(scratch, f"*{app_id}*"))[0]
-    files = sorted(glob.glob(os.path.join(found, "events_*"))) if os.path.isdir(found) else [found]
-    lines = (line for f in files for line in open(f))
-    stage_group, per_stage = {}, {}
-    if True:
-        for line in lines:
-            ev = json.loads(line)
-            kind = ev.get("Event")
-            if kind == "SparkListenerJobStart":
-                group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
-                for sid in ev.get("Stage IDs", []):
-                    stage_group[sid] = group
-            elif kind == "SparkListenerTaskEnd":
-                m = ev.get("Task Metrics") or {}
-                rec = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
-                per_stage.setdefault(ev["Stage ID"], []).append(rec)
-    for name in results:
-        stages = [s for s, g in stage_group.items() if g == name]
-        recs = [r for s in stages for r in per_stage.get(s, [])]
-        results[name].update(max_task_shuffle_records=max(recs or [0]), total_shuffle_records=sum(recs))
-    for name, r in results.items():
-        print(json.dumps({"variant": name, "rows": rows, "hot_rows": hot, **r}))
+    figures = by_group(scratch, app_id)
+    for name in seconds:
+        print(json.dumps({"variant": name, "rows": rows, "hot_rows": hot, "seconds": seconds[name], **figures[name]}))
 
 
 if __name__ == "__main__":
-    main(int(sys.argv[1]) if len(sys.argv) > 1 else 3_000_000)
+    main(int(sys.argv[1]) if len(sys.argv) > 1 else 3_300_000)
