@@ -27,13 +27,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.common import cut, ids_and_text, parallelism, slices, table, words_of, written
+from patronage.llm.common import cut, ids_and_text, parallelism, slices, table, words_of
 
 SHINGLE, LEAST_WORDS, SIMILAR = 5, 50, 0.8
 LEAST = LEAST_WORDS - SHINGLE + 1
-HASHES = 4
+HASHES = 3
 #: Windows of one pair of documents belong to one region if their offsets differ by at most this.
 DRIFT = 16
+#: A window travels with at most this reach to either side. It exceeds LEAST,
+#: and every LEAST shingles of a passage hold a window's place, so the windows
+#: of a passage still cover it.
+REACH = 255
 MIX = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -115,8 +119,8 @@ def _windows(batches):
             docs = [d if len(d) >= LEAST else d[:0] for d in docs]
             for which in range(HASHES):
                 d, left, place, right, h = compact_windows(docs, which)
-                sig = h ^ np.int64(which)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), ids.take(pa.array(d + i)), *(pa.array(v.astype(np.int32)) for v in (left, place, right))], ["sig", "doc", "l", "m", "r"])
+                packed = place << 16 | np.minimum(place - left, REACH) << 8 | np.minimum(right - place, REACH)
+                yield pa.RecordBatch.from_arrays([pa.array(h ^ np.int64(which)), ids.take(pa.array(d + i)), pa.array(packed)], ["sig", "doc", "w"])
 
 
 def _regions(batches):
@@ -125,11 +129,13 @@ def _regions(batches):
     pair, open_ = None, []
     for batch in batches:
         out = []
-        for b, a, bm, bl, br, am, al, ar in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for b, a, w, aw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            bm, am = w >> 16, aw >> 16
+            bl = bm - (w >> 8 & 255)
             if (b, a) != pair:
                 out += open_
                 pair, open_ = (b, a), []
-            before, after = min(bm - bl, am - al), min(br - bm, ar - am)
+            before, after = min(w >> 8 & 255, aw >> 8 & 255), min(w & 255, aw & 255)
             lo, hi, off = bm - before, bm + after, bm - am
             for k in range(len(open_) - 1, -1, -1):
                 g = open_[k]
@@ -196,20 +202,20 @@ def similar_stretches(x: np.ndarray, y: np.ndarray, least: int = LEAST, similar:
 
 
 def _with_source(batches):
-    """Regions with the text of a -> regions with a's shingles."""
-    last, x = None, None
+    """Regions with the text of a -> regions with a's words."""
+    last, x = None, []
     for b in batches:
         out = []
         cols = [c.to_pylist() for c in b.columns]
         for k, text in enumerate(cols[6]):
             if text is not last and text != last:
-                last, x = text, shingles(words_of(text))
-            out.append(x[max(0, cols[4][k]):cols[5][k] + 1].tobytes())
+                last, x = text, words_of(text)
+            out.append(b" ".join(x[max(0, cols[4][k]):cols[5][k] + SHINGLE]))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), b.column(4), pa.array(out, pa.binary())], ["b", "a", "b_from", "b_to", "a_from", "source"])
 
 
 def _verified(batches):
-    """Regions with a's shingles and the text of b -> passages of b and of a."""
+    """Regions with a's words and the text of b -> passages of b and of a."""
     last, x = None, None
     for batch in batches:
         out = []
@@ -218,7 +224,7 @@ def _verified(batches):
             if text is not last and text != last:
                 last, x = text, shingles(words_of(text))
             b_from, a_from = max(0, b_from), max(0, a_from)
-            mine, other = x[b_from:b_to + 1], np.frombuffer(source, np.uint64)
+            mine, other = x[b_from:b_to + 1], shingles(source.split())
             if not len(mine) or not len(other):
                 continue
             for s, e, s2, e2 in similar_stretches(mine, other):
@@ -259,13 +265,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     n = parallelism(spark)
     d = ids_and_text(docs, id_col, text_col).where("doc_id is not null")
-    windows = d.mapInArrow(_windows, "sig long, doc long, l int, m int, r int")
-    reps = windows.groupBy("sig").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a < z").select(F.col("sig").alias("rep_sig"), "a")
-    shared = written(windows.join(reps, F.col("sig") == F.col("rep_sig")).select("sig", "a", "doc", "l", "m", "r"))
-    first = shared.where("doc = a").groupBy(F.col("sig").alias("rep_sig")).agg(F.min(F.struct("m", "l", "r")).alias("w"))
-    met = (shared.where("doc <> a").join(first, F.col("sig") == F.col("rep_sig"))
-           .select(F.col("doc").alias("b"), "a", F.col("m").alias("bm"), F.col("l").alias("bl"), F.col("r").alias("br"), F.col("w.m").alias("am"), F.col("w.l").alias("al"), F.col("w.r").alias("ar")))
-    regions = cut(met.repartition(n, "b").sortWithinPartitions("b", "a", "bm", "am").mapInArrow(
+    windows = d.mapInArrow(_windows, "sig long, doc long, w long")
+    reps = (windows.groupBy("sig").agg(F.min("doc").alias("a"), F.min_by("w", "doc").alias("aw"), F.max("doc").alias("z"))
+            .where("a < z").select(F.col("sig").alias("rep_sig"), "a", "aw"))
+    met = windows.join(reps, F.col("sig") == F.col("rep_sig")).where("doc <> a").select(F.col("doc").alias("b"), "a", "w", "aw")
+    regions = cut(met.repartition(n, "b").sortWithinPartitions("b", "a", "w", "aw").mapInArrow(
         _regions, "b long, a long, b_from long, b_to long, a_from long, a_to long").where(F.col("b_to") - F.col("b_from") + 1 >= LEAST))
     texts = d.withColumnRenamed("doc_id", "id")
     sourced = regions.join(texts, F.col("a") == F.col("id")).select("b", "a", "b_from", "b_to", "a_from", "a_to", "text").mapInArrow(
