@@ -16,6 +16,7 @@ import base64
 from array import array
 from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from patronage.llm.units import UNIT, UnitIds
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Pairs of tokens whose verdict a worker keeps.
-KEPT_PAIRS = 2_000_000
+KEPT_PAIRS = 200_000
 
 
 class Vocabulary:
@@ -35,9 +36,16 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
+        self.sizes = {r: len(t) for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._follows: dict[tuple[int, int], bool] = {}
+        self._follows: dict[int, bool] = {}
+        #: Finds all reachable tokens that end at each byte.
+        self.automaton = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            if self.reachable(rank):
+                self.automaton.add_word(token.decode("latin-1"), rank)
+        self.automaton.make_automaton()
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -66,11 +74,9 @@ class Vocabulary:
 
     def follows(self, a: int, b: int) -> bool:
         """Whether the encoding of a's and b's bytes together is [a, b]."""
-        known = self._follows.get((a, b))
-        if known is None:
-            if len(self._follows) >= KEPT_PAIRS:
-                self._follows.clear()
-            known = self._follows[a, b] = self._check(a, b)
+        if len(self._follows) >= KEPT_PAIRS:
+            self._follows.clear()
+        known = self._follows[a << 32 | b] = self._check(a, b)
         return known
 
     def _check(self, a: int, b: int) -> bool:
@@ -89,15 +95,24 @@ class Vocabulary:
     def extend(self, data: bytes | bytearray, last: list[int]) -> None:
         """Append to ``last``, which holds the last token of the first prefixes
         (one per byte), those of the remaining prefixes of ``data``."""
-        get, longest, follows = self.ranks.get, self.longest, self.follows
-        for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = get(bytes(data[start:end]))
-                if token is not None and self.reachable(token) and (start == 0 or follows(last[start - 1], token)):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a single byte")
+        sizes, known = self.sizes, self._follows
+        start = max(0, len(last) + 1 - self.longest)
+        for at, token in self.automaton.iter(data[start:].decode("latin-1")):
+            end, have = start + at + 1, len(last)
+            if have >= end:
+                continue  # this prefix has its token
+            if have + 1 < end:
+                break
+            before = end - sizes[token]
+            if before > 0:
+                ok = known.get(last[before - 1] << 32 | token)
+                if ok is None:
+                    ok = self.follows(last[before - 1], token)
+                if not ok:
+                    continue
+            last.append(token)
+        if len(last) < len(data):
+            raise ValueError("the vocabulary lacks a single byte")
 
     def walk(self, last: list[int]) -> list[int]:
         ids, end = [], len(last)
@@ -176,30 +191,44 @@ def unit_ids(path: str) -> UnitIds:
     return known
 
 
-def _encode(path: str):
+@lru_cache(maxsize=2)
+def tokens_of(path: str) -> dict[int, bytes]:
+    with open(path, "rb") as f:
+        return {int(r): base64.b64decode(t) for t, r in (line.split() for line in f if line.strip())}
+
+
+def decoded(ids: bytes, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, array("I", ids)))
+
+
+def _encode(path: str, back: bool):
     def run(batches):
         known = unit_ids(path)
         for b in batches:
             texts = b.column(1).to_pylist()
             for i, j in slices(texts):
                 ids = [known.text_ids(t) for t in texts[i:j]]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), binary_array(ids), pa.array([len(x) // 4 for x in ids], pa.int64())], ["doc_id", "ids", "n_tokens"])
+                cols = [b.column(0).slice(i, j - i), binary_array(ids), pa.array([len(x) // 4 for x in ids], pa.int64())]
+                if back:
+                    cols.append(binary_array([decoded(x, known.vocabulary.tokens) for x in ids]))
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "ids", "n_tokens", "decoded"][:len(cols)])
     return run
 
 
 def _decode(path: str):
     def run(batches):
-        tokens = unit_ids(path).vocabulary.tokens
+        tokens = tokens_of(path)
         for b in batches:
             cols = [b.column(b.schema.get_field_index(n)) for n in ("doc_id", "ids", "n_tokens")]
-            texts = [b"".join(map(tokens.__getitem__, array("I", x))) for x in cols[1].to_pylist()]
+            texts = [decoded(x, tokens) for x in cols[1].to_pylist()]
             yield pa.RecordBatch.from_arrays([*cols, binary_array(texts)], ["doc_id", "ids", "n_tokens", "decoded"])
     return run
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit), n_tokens: one row per document."""
-    return ids_and_text(docs, id_col, text_col).mapInArrow(_encode(path or public_tokenizers.path(RANKS)), "doc_id long, ids binary, n_tokens long")
+    return ids_and_text(docs, id_col, text_col).mapInArrow(
+        _encode(path or public_tokenizers.path(RANKS), False), "doc_id long, ids binary, n_tokens long")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -208,6 +237,13 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         _decode(path or public_tokenizers.path(RANKS)), "doc_id long, ids binary, n_tokens long, decoded binary")
 
 
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that a task needs one Python
+    worker and one vocabulary."""
+    return ids_and_text(docs, id_col, text_col).mapInArrow(
+        _encode(path or public_tokenizers.path(RANKS), True), "doc_id long, ids binary, n_tokens long, decoded binary")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode(encode(table(spark, sf_dir, "documents"))).select(
+    return round_trip(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -17,7 +17,7 @@ import regex
 WHITE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Longest unit kept, and how many a worker keeps before it starts anew.
-KEPT_CHARS, KEPT_UNITS = 64, 1_000_000
+KEPT_CHARS, KEPT_UNITS = 64, 400_000
 
 
 class UnitIds(dict):

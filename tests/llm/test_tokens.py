@@ -87,6 +87,7 @@ def test_appends_equal_whole_encodings(tik):
 
 def test_op2_rows(spark, edge_docs, tik):
     got = bpe.decode(bpe.encode(edge_docs)).collect()
+    assert sorted(map(str, bpe.round_trip(edge_docs).collect())) == sorted(map(str, got))
     want = sorted((str(i), tik.encode_ordinary(t or ""), (t or "").encode()) for i, t in EDGE_ROWS)
     assert sorted((str(r.doc_id), array("I", bytes(r.ids)).tolist(), bytes(r.decoded)) for r in got) == want
 
