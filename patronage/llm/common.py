@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from patronage.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,7 +28,7 @@ SAMPLE_ROWS = 3000
 THRESHOLD = 0.3
 #: Part of the sample whose margins fit the curve: one row in so many.
 CURVE_PART = 4
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 PUNCTUATION = ".,!?;:|"
 
 
