@@ -6,10 +6,13 @@ probability 0.999, and is refined by neighbours-of-neighbours joins: a node
 sends its vector to the nodes it is listed with, and each of these compares
 the vectors it got. A list keeps its best ``LIST`` neighbours and, while they
 are links, is enlarged up to ``FULL``. Rounds end when one adds no link. Nodes
-still saturated at ``FULL`` links are dense: within a component their links to
-each other are counted exactly, tile by tile, and no pair is written. An audit
-compares a bounded set of queries with all rows; more trees follow until its
-recall is reached.
+still saturated at ``FULL`` links are dense: their links to each other are
+counted exactly, tile by tile, and no pair is written. A tile holds rows of one
+component; tiles of one label meet, also across components, unless the angle
+between their centres exceeds their reaches and the threshold's angle, and
+links between components unite them. An audit compares a bounded set of queries
+with all rows; more trees follow until its recall is reached, and the run fails
+if it is not.
 
 Exact copies are one node with a multiplicity. Vectors that are null, zero or
 hold null or non-finite components, and those without label, link with
@@ -151,26 +154,74 @@ def _hub_edges(kind: str):
     return run
 
 
-def _tile_counts(kind: str, threshold: float):
-    """Rows (tile, own, other, rid, mult, v): for one pair of tiles, the
-    number of vectors each row of the first links to in the second."""
+def _centres(kind: str):
+    """Rows (tile, g, v) of whole tiles -> (tile, g, centre, reach): the reach
+    is the widest angle between the centre and a row."""
     def run(batches):
-        for t in _runs(batches, 6):
-            ids, counts = [], []
+        for t in _runs(batches, 3):
             bounds = sorted_runs(t.column("tile").to_numpy())
+            tile, group, vs = t.column("tile").to_numpy(), t.column("g").to_numpy(), t.column("v").to_pylist()
+            out = []
+            for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                x = unit(vs[i:j], kind)
+                c = x.mean(axis=0)
+                c = c / np.linalg.norm(c) if np.linalg.norm(c) > 1e-6 else x[0]
+                out.append((tile[i], group[i], c.tobytes(), float(np.arccos(np.clip(x @ c, -1, 1)).max())))
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.float64()), strict=True)], ["tile", "g", "centre", "reach"])
+    return run
+
+
+def _near_tiles(threshold: float):
+    """Rows (block, mine, tile, centre, reach): the tiles of the first block
+    with those of the second that may hold a link, each with itself too."""
+    def run(batches):
+        for t in _runs(batches, 5):
+            bounds = sorted_runs(t.column("block").to_numpy())
+            mine, tile, reach, cs = t.column("mine").to_numpy(), t.column("tile").to_numpy(), t.column("reach").to_numpy(), t.column("centre").to_pylist()
+            for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                a, b = i + np.flatnonzero(mine[i:j] <= 1), i + np.flatnonzero(mine[i:j] >= 1)
+                if not len(a) or not len(b):
+                    continue
+                y = unit([cs[k] for k in b], "<f8")
+                for lo in range(0, len(a), 256):
+                    part = a[lo:lo + 256]
+                    angle = np.arccos(np.clip(unit([cs[k] for k in part], "<f8") @ y.T, -1, 1))
+                    near = angle <= reach[part][:, None] + reach[b][None, :] + math.acos(threshold) + 1e-6  # rounding
+                    near |= tile[part][:, None] == tile[b][None, :]
+                    p, q = np.nonzero(near)
+                    yield pa.RecordBatch.from_arrays([pa.array(tile[part][p]), pa.array(tile[b][q])], ["a", "b"])
+    return run
+
+
+def _tile_counts(kind: str, threshold: float):
+    """Rows (pair, mine, rid, mult, v): for one pair of tiles, the number of
+    vectors each row of the first links to in the second; ``other`` is one of
+    these, on one row of the pair."""
+    def run(batches):
+        for t in _runs(batches, 5):
+            ids, counts, others = [], [], []
+            bounds = sorted_runs(t.column("pair").to_numpy())
             mine, rid, mult, vs = t.column("mine").to_numpy(), t.column("rid").to_numpy(), t.column("mult").to_numpy(), t.column("v").to_pylist()
             for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 a, b = i + np.flatnonzero(mine[i:j] <= 1), i + np.flatnonzero(mine[i:j] >= 1)  # 0 first, 2 second, 1 both
                 if not len(a) or not len(b):
                     continue
                 y = unit([vs[k] for k in b], kind)
+                told = False
                 for lo in range(0, len(a), 256):
                     part = a[lo:lo + 256]
                     s = unit([vs[k] for k in part], kind) @ y.T >= threshold
                     s[rid[part][:, None] == rid[b][None, :]] = False
                     ids.append(rid[part])
                     counts.append(s @ mult[b])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids) if ids else [], pa.int64()), pa.array(np.concatenate(counts) if counts else [], pa.int64())], ["rid", "n"])
+                    other = np.full(len(part), -1, np.int64)
+                    if not told and s.any():
+                        k = int(s.any(axis=1).argmax())
+                        other[k], told = rid[b][s[k].argmax()], True
+                    others.append(other)
+            cols = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids, counts, others)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["rid", "n", "other"])
     return run
 
 
@@ -224,9 +275,19 @@ def _links(graph: DataFrame, threshold: float) -> DataFrame:
     return graph.where(F.col("sim") >= threshold).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
-def _counts(graph: DataFrame, links: DataFrame, comp: DataFrame, nodes: DataFrame, kind: str, threshold: float) -> DataFrame:
-    """(rid, n): vectors that each node links to, copies of its own aside."""
+def _pairs(rows: DataFrame, key: str, own: str, parts: str) -> DataFrame:
+    """The rows once for each part k of their key: ``mine`` is 0 in the run
+    ``pair`` (own, k), 2 in (k, own), and 1 where own is k."""
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1)))
+    first = rows.withColumn("pair", F.xxhash64(key, own, "k")).withColumn("mine", F.when(F.col(own) == F.col("k"), 1).otherwise(0))
+    return first.unionByName(rows.where(F.col(own) != F.col("k")).withColumn("pair", F.xxhash64(key, "k", own)).withColumn("mine", F.lit(2)))
+
+
+def _counts(graph: DataFrame, links: DataFrame, comp: DataFrame, nodes: DataFrame, kind: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(rid, n): vectors that each node links to, copies of its own aside; and
+    (u, v): links between dense nodes that unite all components they connect."""
     spark = graph.sparkSession
+    n = parallelism(spark)
     dense = graph.where(F.col("sim") >= threshold).groupBy("a").count().where(F.col("count") >= FULL).select(F.col("a").alias("rid"))
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     mark = dense.withColumn("dense", F.lit(True))
@@ -234,13 +295,18 @@ def _counts(graph: DataFrame, links: DataFrame, comp: DataFrame, nodes: DataFram
              .join(mark.withColumnRenamed("rid", "v").withColumnRenamed("dense", "dv"), "v", "left")
              .where("du is null or dv is null").join(nodes.select(F.col("rid").alias("v"), "mult"), "v")
              .groupBy("u").agg(F.sum("mult").alias("n")).withColumnRenamed("u", "rid"))
-    rows = dense.join(comp.withColumnRenamed("node", "rid"), "rid").join(nodes.select("rid", "mult", "v"), "rid")
+    rows = dense.join(comp.withColumnRenamed("node", "rid"), "rid").join(nodes.select("rid", "g", "mult", "v"), "rid")
     tiles = rows.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
-    rows = rows.join(tiles, "component").withColumn("own", F.pmod(F.xxhash64("rid"), "tiles")).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    first = rows.select(F.xxhash64("component", "own", "k").alias("tile"), F.when(F.col("own") == F.col("k"), 1).otherwise(0).alias("mine"), "rid", "mult", "v")
-    second = rows.where("own <> k").select(F.xxhash64("component", "k", "own").alias("tile"), F.lit(2).alias("mine"), "rid", "mult", "v")
-    exact = first.unionByName(second).repartition(parallelism(spark), "tile").sortWithinPartitions("tile").mapInArrow(_tile_counts(kind, threshold), "rid long, n long")
-    return plain.unionByName(exact).groupBy("rid").agg(F.sum("n").alias("n"))
+    rows = cut(rows.join(tiles, "component").select(F.xxhash64("component", F.pmod(F.xxhash64("rid"), "tiles")).alias("tile"), "g", "rid", "mult", "v"))
+    centres = cut(rows.select("tile", "g", "v").repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(_centres(kind), "tile long, g long, centre binary, reach double"))
+    blocks = centres.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks"))
+    near = _pairs(centres.join(blocks, "g").withColumn("own", F.pmod(F.xxhash64("tile"), "blocks")), "g", "own", "blocks").select(F.col("pair").alias("block"), "mine", "tile", "centre", "reach")
+    near = cut(near.repartition(n, "block").sortWithinPartitions("block").mapInArrow(_near_tiles(threshold), "a long, b long").withColumn("pair", F.xxhash64("a", "b")))
+    first = near.join(rows, near.a == rows.tile).select("pair", F.when(F.col("a") == F.col("b"), 1).otherwise(0).alias("mine"), "rid", "mult", "v")
+    second = near.where("a <> b").join(rows, F.col("b") == rows.tile).select("pair", F.lit(2).alias("mine"), "rid", "mult", "v")
+    exact = cut(first.unionByName(second).repartition(n, "pair").sortWithinPartitions("pair").mapInArrow(_tile_counts(kind, threshold), "rid long, n long, other long"))
+    uniting = exact.where("other >= 0").select(F.least("rid", "other").alias("u"), F.greatest("rid", "other").alias("v"))
+    return plain.unionByName(exact.select("rid", "n")).groupBy("rid").agg(F.sum("n").alias("n")), uniting
 
 
 def embedding_groups(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -280,13 +346,21 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.98, id_col: str =
             seen = now
         links = cut(_links(graph, threshold))
         comp = connected_components(links)
-        counts = cut(_counts(graph, links, comp, nodes, kind, threshold))
+        counts, uniting = _counts(graph, links, comp, nodes, kind, threshold)
+        counts = cut(counts)
         got = {r.rid: r.n for r in counts.where(F.col("rid").isin([q[0] for q in asked])).collect()}
         recall = sum(min(n, got.get(r, 0)) for r, n in truth.items()) / max(1, sum(truth.values())) if any(truth.values()) else 1.0
         if audit is not None:
             audit.append(recall)
         if recall >= AUDIT_RECALL:
             break
+    else:
+        raise RuntimeError(f"op4: {FORESTS} forests found {recall:.4f} of the audited links, {AUDIT_RECALL} are asked for")
+    of = comp.withColumnRenamed("node", "u").withColumnRenamed("component", "cu")
+    across = cut(uniting.join(of, "u").join(of.toDF("v", "cv"), "v").where("cu <> cv").select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct())
+    if not across.isEmpty():
+        united = connected_components(across).toDF("component", "whole")
+        comp = comp.join(united, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
     least = comp.join(nodes.select(F.col("rid").alias("node"), "least"), "node").groupBy("component").agg(F.min("least").alias("group_least"))
     named = comp.join(least, "component").select(F.col("node").alias("rid"), "group_least")
     full = (nodes.join(counts, "rid", "left").join(named, "rid", "left")

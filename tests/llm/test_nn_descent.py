@@ -59,6 +59,25 @@ def test_equals_brute_force(spark, full, monkeypatch):
     assert audit[-1] >= 0.995
 
 
+def test_links_between_dense_clusters_of_one_label(spark):
+    rng = np.random.default_rng(7)
+    first, aside = np.linalg.qr(rng.normal(size=(32, 2)))[0].T
+    second = 0.984 * first + math.sqrt(1 - 0.984 ** 2) * aside
+    rows = [(1000 * c + k, (x + rng.normal(size=32) * 0.0056).astype(np.float32).tolist(), 1) for c, x in enumerate((first, second)) for k in range(100)]
+    rows += [(5000 + k, rng.normal(size=32).astype(np.float32).tolist(), 1) for k in range(50)]
+    audit, want = [], brute(rows)
+    assert sum(n > 150 for _, n, _, _ in want) > 150 and {c for i, _, c, _ in want if i < 5000} == {0}
+    assert sorted(map(tuple, embedding_groups(frame(spark, rows), audit=audit).collect())) == want
+    assert len(audit) == 1
+
+
+def test_a_recall_that_stays_low_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "_lists", lambda edges, threshold: edges.limit(0).withColumn("rank", nn_descent.F.lit(1)))
+    v = [1.0, 0.5]
+    with pytest.raises(RuntimeError, match="audited"):
+        embedding_groups(frame(spark, [(1, v, 1), (2, [1.0, 0.51], 1)]))
+
+
 def test_empty_and_linkless(spark):
     assert embedding_groups(frame(spark, [])).count() == 0
     rows = [(1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (3, None, None)]
