@@ -31,7 +31,7 @@ from patronage.llm.common import cut, ids_and_text, parallelism, slices, table,
 
 SHINGLE, LEAST_WORDS, SIMILAR = 5, 50, 0.8
 LEAST = LEAST_WORDS - SHINGLE + 1
-HASHES = 3
+HASHES = 4
 #: Windows of one pair of documents belong to one region if their offsets differ by at most this.
 DRIFT = 16
 #: A window travels with at most this reach to either side. It exceeds LEAST,

@@ -87,6 +87,22 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(make_docs):
                 assert abs(r.start_word - s) <= 5 and abs(r.end_word - e) <= 5 and r.source_doc_id == min(where)
 
 
+def test_near_copies_of_short_passages_are_found(make_docs):
+    rng = random.Random(5)
+    rows, want = [], set()
+    for k in range(1500):
+        p = words(rng, 51)
+        q = list(p)
+        q[rng.randrange(5, 46)] = "edited"
+        x, y = (set(shingles([w.encode() for w in v]).tolist()) for v in (p, q))
+        if len(x & y) >= 0.8 * len(x | y):
+            want.add(2 * k + 1)
+        rows += [(2 * k + i, " ".join(words(rng, rng.randrange(40)) + v + words(rng, rng.randrange(40)))) for i, v in enumerate((p, q))]
+    _, _, later = flagged(make_docs(rows))
+    assert len(want) > 1400 and later <= want
+    assert len(want - later) <= 2
+
+
 def test_no_copy_is_lost_and_removal_leaves_the_rest(make_docs):
     rng = random.Random(3)
     p = words(rng, 70)
