@@ -7,12 +7,18 @@ that contains it, and all of them share its min-hash. Nodes of enough width
 are the minima of some run of LEAST, so the tree is built on those alone,
 about two of every LEAST positions.
 
-Windows of equal min-hash in different documents meet with the one of the
-smallest document (a partial minimum and a join, linear in the windows). Per
-pair of documents the windows of all hashes are joined by overlap and offset
-into regions, and each region is verified on the shingles themselves: stretches
-of at least LEAST shingles whose sets have Jaccard similarity of at least
-``SIMILAR`` are reported.
+Windows of equal min-hash in different documents meet with the first of the
+smallest document (sorted rows, linear in the windows). Per pair of documents
+the windows of all hashes are joined by overlap and offset into regions, and
+each region is verified on the shingles themselves: stretches of at least LEAST
+shingles whose sets have Jaccard similarity of at least ``SIMILAR`` are reported.
+
+The smallest document may hold only a few words around the min-hash, or hold
+them at several places. Where a window with more to meet is not wholly in a
+passage afterwards, all windows of its min-hash are open and meet again: by
+every run of LEAST shingles whose minimum they are, so that each repeated run
+is found with the smallest document that has it, and by the min-hash with the
+minimum to its left and to its right, so that near copies meet in like contexts.
 
 A passage of the smaller doc_id stays; so of every repeated passage one copy
 is left. Null and short texts, and rows without doc_id, have no passages; rows
@@ -27,11 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.common import cut, ids_and_text, parallelism, slices, table, words_of
+from patronage.llm.common import cut, ids_and_text, parallelism, slices, sorted_runs, table, words_of, written
 
 SHINGLE, LEAST_WORDS, SIMILAR = 5, 50, 0.8
 LEAST = LEAST_WORDS - SHINGLE + 1
 HASHES = 4
+#: Shingles of the context to one side; one of the two sides lies in the passage.
+SIDE = LEAST // 2
 #: Windows of one pair of documents belong to one region if their offsets differ by at most this.
 DRIFT = 16
 #: A window travels with at most this reach to either side. It exceeds LEAST,
@@ -120,7 +128,67 @@ def _windows(batches):
             for which in range(HASHES):
                 d, left, place, right, h = compact_windows(docs, which)
                 packed = place << 16 | np.minimum(place - left, REACH) << 8 | np.minimum(right - place, REACH)
-                yield pa.RecordBatch.from_arrays([pa.array(h ^ np.int64(which)), ids.take(pa.array(d + i)), pa.array(packed)], ["sig", "doc", "w"])
+                yield pa.RecordBatch.from_arrays([pa.array(h & np.int64(-HASHES) | which), ids.take(pa.array(d + i)), pa.array(packed)], ["sig", "doc", "w"])
+
+
+def _first_holders(batches):
+    """Rows (sig, doc, w), sorted -> (sig, b, a, w, aw, rank, more): all but
+    the first of each sig with that first one, and their number from it;
+    ``more`` is false only where a sig is known to have just two rows."""
+    held = None  # sig, doc, w and rows so far of the last sig
+    for t in batches:
+        if not len(t):
+            continue
+        sig, doc, w = (c.to_numpy() for c in t.columns)
+        bounds = sorted_runs(sig)
+        sizes = np.diff(bounds)
+        a, aw = np.repeat(doc[bounds[:-1]], sizes), np.repeat(w[bounds[:-1]], sizes)
+        rank = np.arange(len(sig)) - np.repeat(bounds[:-1], sizes)
+        if held and held[0] == sig[0]:
+            a[:sizes[0]], aw[:sizes[0]] = held[1], held[2]
+            rank[:sizes[0]] += held[3]
+        more = np.repeat(rank[bounds[1:] - 1] > 1, sizes)
+        more[bounds[-2]:] = True  # the next batch may go on with it
+        held = sig[-1], a[-1], aw[-1], rank[-1] + 1
+        k = np.flatnonzero(rank > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(x[k]) for x in (sig, doc, a, w, aw, rank, more)], ["sig", "b", "a", "w", "aw", "rank", "more"])
+
+
+def run_hashes(x: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Hashes of the runs of ``least`` shingles, by the place of their first."""
+    out = np.zeros(len(x) - least + 1, np.uint64)
+    for k in range(least):
+        out = out * STEP + x[k:len(out) + k]
+    return out ^ out >> np.uint64(29)
+
+
+def open_keys(x: np.ndarray, sigs: np.ndarray, ws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, w) by which the open windows of one document meet again."""
+    place, left, right = ws >> 16, ws >> 8 & 255, ws & 255
+    own = sigs % HASHES == 0  # every run has its minimum in a window of the first hash
+    lo, hi = place - np.minimum(left, LEAST - 1), np.minimum(place, place + right - LEAST + 1)
+    sizes = np.maximum(hi - lo + 1, 0)[own]
+    start = (np.repeat(lo[own], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+    start = np.unique(start[(start >= 0) & (start <= len(x) - LEAST)])
+    keys, out = [run_hashes(x)[start]], [start << 16 | LEAST - 1]
+    low = minima(min_hash(x, 0), SIDE)
+    for at, salt in ((place - SIDE, 1), (place + 1, 2)):
+        k = np.flatnonzero((at >= 0) & (at < len(low)))
+        keys.append(min_hash(sigs[k].view(np.uint64) * STEP + low[at[k]], salt))
+        out.append(ws[k])
+    return np.concatenate(keys).view(np.int64), np.concatenate(out)
+
+
+def _open_keys(batches):
+    """Rows (doc, windows, text) -> (sig, doc, w) of the second meeting."""
+    for b in batches:
+        for doc, windows, text in zip(*(c for c in b.columns), strict=True):
+            x = shingles(words_of(text.as_py()))
+            if len(x) < LEAST:  # of another row with this doc_id
+                continue
+            at = windows.values
+            key, w = open_keys(x, at.field("sig").to_numpy(), at.field("w").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), doc.as_py())), pa.array(w)], ["sig", "doc", "w"])
 
 
 def _regions(batches):
@@ -262,20 +330,41 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stretches of words that repeat across documents. ``kept`` is false where a
     smaller doc_id, such as source_doc_id, has the passage, and true where
     larger ones repeat it; overlapping stretches of a kind are united."""
-    spark = docs.sparkSession
-    n = parallelism(spark)
     d = ids_and_text(docs, id_col, text_col).where("doc_id is not null")
-    windows = d.mapInArrow(_windows, "sig long, doc long, w long")
-    reps = (windows.groupBy("sig").agg(F.min("doc").alias("a"), F.min_by("w", "doc").alias("aw"), F.max("doc").alias("z"))
-            .where("a < z").select(F.col("sig").alias("rep_sig"), "a", "aw"))
-    met = windows.join(reps, F.col("sig") == F.col("rep_sig")).where("doc <> a").select(F.col("doc").alias("b"), "a", "w", "aw")
+    met = written(_met(d.mapInArrow(_windows, "sig long, doc long, w long")))
+    passages = _passages(met, d)
+    spans = _unions(passages.where("not kept")).groupBy(F.col("doc_id").alias("b")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
+    some = met.where("more")
+    covered = F.expr(f"exists(spans, s -> s.start_word <= shiftright(w, 16) - least(shiftright(w, 8) & 255, {LEAST - 1})"
+                     f" and s.end_word >= shiftright(w, 16) + least(w & 255, {LEAST - 1}) + {SHINGLE})")
+    open_ = some.where("a <> b").join(spans, "b", "left").where(F.col("spans").isNull() | ~covered).select(F.col("sig").alias("open_sig")).distinct()
+    again = some.join(open_, F.col("sig") == F.col("open_sig"))
+    again = again.select("sig", F.col("b").alias("id"), "w").unionByName(again.where("rank = 1").select("sig", F.col("a").alias("id"), F.col("aw").alias("w")))
+    again = again.groupBy("id").agg(F.collect_list(F.struct("sig", "w")).alias("windows")).join(d, F.col("doc_id") == F.col("id"))
+    keyed = again.select("doc_id", "windows", "text").mapInArrow(_open_keys, "sig long, doc long, w long")
+    return _unions(passages.unionByName(_passages(_met(keyed), d)))
+
+
+def _met(windows: DataFrame) -> DataFrame:
+    return windows.repartition(parallelism(windows.sparkSession), "sig").sortWithinPartitions("sig", "doc", "w").mapInArrow(
+        _first_holders, "sig long, b long, a long, w long, aw long, rank long, more boolean")
+
+
+def _passages(met: DataFrame, d: DataFrame) -> DataFrame:
+    """The verified passages of the documents whose windows met."""
+    n = parallelism(met.sparkSession)
+    met = met.where("a <> b").select("b", "a", "w", "aw")
     regions = cut(met.repartition(n, "b").sortWithinPartitions("b", "a", "w", "aw").mapInArrow(
         _regions, "b long, a long, b_from long, b_to long, a_from long, a_to long").where(F.col("b_to") - F.col("b_from") + 1 >= LEAST))
     texts = d.withColumnRenamed("doc_id", "id")
     sourced = regions.join(texts, F.col("a") == F.col("id")).select("b", "a", "b_from", "b_to", "a_from", "a_to", "text").mapInArrow(
         _with_source, "b long, a long, b_from long, b_to long, a_from long, source binary")
-    passages = cut(sourced.join(texts, F.col("b") == F.col("id")).select("b", "a", "b_from", "b_to", "a_from", "source", "text").mapInArrow(
+    return cut(sourced.join(texts, F.col("b") == F.col("id")).select("b", "a", "b_from", "b_to", "a_from", "source", "text").mapInArrow(
         _verified, "doc_id long, start_word long, end_word long, source_doc_id long, kept boolean").distinct())
+
+
+def _unions(passages: DataFrame) -> DataFrame:
+    n = parallelism(passages.sparkSession)
     return (passages.select("doc_id", "kept", "start_word", "end_word", "source_doc_id").repartition(n, "doc_id")
             .sortWithinPartitions("doc_id", "kept", "start_word").mapInArrow(_united, "doc_id long, kept boolean, start_word long, end_word long, source_doc_id long"))
 

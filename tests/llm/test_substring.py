@@ -87,6 +87,40 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(make_docs):
                 assert abs(r.start_word - s) <= 5 and abs(r.end_word - e) <= 5 and r.source_doc_id == min(where)
 
 
+def flagged_words(rows):
+    out = {}
+    for r in rows:
+        if not r.kept:
+            out.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    return out
+
+
+def lines_of(rng, total):
+    """A passage made of lines too short to be passages themselves."""
+    out = []
+    while sum(map(len, out)) < total:
+        out.append(words(rng, rng.randrange(15, 41)))
+    return out
+
+
+def test_passages_of_stock_lines_are_found(make_docs):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for k in range(300):
+        lines = lines_of(rng, rng.randrange(60, 91))
+        for line in lines:
+            for _ in range(rng.randrange(1, 6)):
+                rows.append((len(rows), " ".join(words(rng, rng.randrange(60)) + line + words(rng, rng.randrange(60)))))
+        p = sum(lines, [])
+        for i in range(2):
+            before = words(rng, rng.randrange(60))
+            rows.append((100000 + 2 * k + i, " ".join(before + p + words(rng, rng.randrange(60)))))
+        want[100000 + 2 * k + 1] = set(range(len(before), len(before) + len(p)))
+    got = flagged_words(repeated_passages(make_docs(rows)).collect())
+    assert [d for d, w in want.items() if not w <= got.get(d, set())] == []
+    assert set(got) == set(want)
+
+
 def test_near_copies_of_short_passages_are_found(make_docs):
     rng = random.Random(5)
     rows, want = [], set()
