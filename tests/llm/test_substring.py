@@ -121,6 +121,22 @@ def test_passages_of_stock_lines_are_found(make_docs):
     assert set(got) == set(want)
 
 
+def test_lines_that_stand_several_times_in_the_smaller_document(make_docs):
+    rng = random.Random(9)
+    rows, want = [], {}
+    for k in range(200):
+        lines = lines_of(rng, rng.randrange(60, 91))
+        p, single = sum(lines, []), [line for line in lines for _ in range(rng.randrange(1, 6))]
+        rng.shuffle(single)
+        half = len(single) // 2
+        alone = [sum((line + words(rng, 20) for line in part), []) for part in (single[:half], single[half:])]
+        rows.append((2 * k, " ".join(alone[0] + p + words(rng, 20) + alone[1])))
+        rows.append((2 * k + 1, " ".join(words(rng, 30) + p + words(rng, 30))))
+        want[2 * k + 1] = set(range(30, 30 + len(p)))
+    got = flagged_words(repeated_passages(make_docs(rows)).collect())
+    assert [d for d, w in want.items() if not w <= got.get(d, set())] == []
+
+
 def test_near_copies_of_short_passages_are_found(make_docs):
     rng = random.Random(5)
     rows, want = [], set()
