@@ -19,13 +19,14 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patronage.llm.common import fold, ids_and_text, slices, table
 
-#: The sample of a language: documents (smallest hashes), symbols of each, symbols in all.
-SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_SYMBOLS = 48, 512, 16384
+#: The sample of a language: documents (smallest hashes), characters of a piece, symbols in all.
+SAMPLE_ROWS, SAMPLE_PIECE, SAMPLE_SYMBOLS = 48, 256, 16384
 SEGMENT = 1024
 #: Symbols: 0 nothing, 1 blank, letters, and a few shared by rare letters.
 SYMBOLS, SHARED = 64, 4
@@ -138,18 +139,34 @@ class Model:
         return [self.names[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)], np.where(known, share, 0.0)
 
 
+def _sample_pieces(batches):
+    """Rows (lang, doc_id, text) -> pieces of each text, cut all over it and
+    put in order by hash, as many as could fill the sample."""
+    for b in batches:
+        out = []
+        for lang, doc, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            starts = sorted(range(0, len(text), SAMPLE_PIECE), key=lambda i: (xxhash.xxh64_intdigest(f"{doc} {i}"), i))
+            pieces = dict.fromkeys(p for i in starts if any(map(str.isalpha, p := text[i:i + SAMPLE_PIECE])))
+            out += [(lang, doc, k, p) for k, p in zip(range(SAMPLE_SYMBOLS // SAMPLE_PIECE), pieces)]
+        cols = list(zip(*out, strict=True)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["lang", "doc_id", "k", "piece"])
+
+
 def learn(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on at most SAMPLE_ROWS documents a language, chosen by hash of the id."""
+    """Fit on at most SAMPLE_ROWS documents a language, chosen by hash of the
+    id. They take turns giving a piece from anywhere in their text, equal
+    pieces once, until the sample is full."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     d = d.where(F.expr(train)).where("lang is not null and text rlike '\\\\p{L}'")
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = d.select("lang", "doc_id").withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS)
     ids = sorted({r.doc_id for r in chosen.select("doc_id").collect() if r.doc_id is not None})
-    rows = d.where(F.col("doc_id").isin(ids)).select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).distinct().collect() if ids else []
-    samples: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.doc_id, r.text)):
-        samples.setdefault(r.lang, []).append(r.text)
-    return Model(samples)
+    rows = d.where(F.col("doc_id").isin(ids)).select("lang", "doc_id", "text").mapInArrow(
+        _sample_pieces, "lang string, doc_id long, k long, piece string").distinct().collect() if ids else []
+    samples: dict[str, dict[str, None]] = {}
+    for r in sorted(rows, key=lambda r: (r.lang, r.k, r.doc_id, r.piece)):
+        samples.setdefault(r.lang, {})[r.piece] = None
+    return Model({lang: list(pieces) for lang, pieces in samples.items()})
 
 
 def _predict(shared):

@@ -65,6 +65,29 @@ def test_undefined_and_edges(spark):
     assert li.predict(docs.limit(0), none).count() == 0
 
 
+def test_the_sample_comes_from_the_whole_texts(spark):
+    rng = random.Random(4)
+    words = {lang: ["".join(rng.choices(letters, k=rng.randrange(3, 9))) for _ in range(80)] for lang, letters in {"aa": "abcdefgh", "bb": "efghijkl"}.items()}
+    banner = " ".join("".join(rng.choices("mnopqrs", k=6)) for _ in range(100))
+    rows = [(100 * n + k, banner + " " + " ".join(rng.choices(words[lang], k=500)), lang) for n, lang in enumerate(words) for k in range(48)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.learn(docs, "true")
+    fresh = [(lang, " ".join(rng.choices(words[lang], k=30))) for lang in words for _ in range(50)]
+    assert model.predict([t for _, t in fresh])[0] == [lang for lang, _ in fresh]
+
+
+def test_every_sampled_document_takes_its_turn(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(li, "Model", seen.update)
+    rng = random.Random(6)
+    rows = [(k, " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(400)), "aa") for k in range(48)]
+    li.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "true")
+    texts, used = {k: t for k, t, _ in rows}, "".join(seen["aa"])[:li.SAMPLE_SYMBOLS]
+    firsts = [p for p in seen["aa"] if p in used]
+    assert {k for k, t in texts.items() if any(p in t for p in firsts)} == set(texts)
+    assert len(set(seen["aa"])) == len(seen["aa"])
+
+
 def test_op3_held_out_accuracy(spark):
     sf = f"{TESTDATA}/sf0.1"
     want = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
