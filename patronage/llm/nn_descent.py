@@ -254,7 +254,10 @@ def _lists(edges: DataFrame, threshold: float) -> DataFrame:
     return one.withColumn("rank", rank).where((F.col("rank") <= LIST) | (F.col("rank") <= FULL) & (F.col("sim") >= threshold))
 
 
-def _join_round(graph: DataFrame, nodes: DataFrame, kind: str, threshold: float) -> DataFrame:
+def _join_round(graph: DataFrame, nodes: DataFrame, kind: str, threshold: float, salt: int) -> DataFrame:
+    """The lists with what the neighbours of each node find among themselves;
+    those of a large hub are dealt to parts anew under every ``salt``, and all
+    of a part compared."""
     spark = graph.sparkSession
     need = graph.groupBy("a").agg(
         F.sum((F.col("sim") >= threshold).cast("int")).alias("links"),
@@ -263,8 +266,8 @@ def _join_round(graph: DataFrame, nodes: DataFrame, kind: str, threshold: float)
         F.least(F.coalesce("last", F.lit(-1.5)), F.lit(float(np.nextafter(threshold, -2))))).alias("need"))
     members = graph.select(F.col("a").alias("hub"), F.col("b").alias("rid"), "fresh").unionByName(
         graph.select(F.col("b").alias("hub"), F.col("a").alias("rid"), "fresh")).groupBy("hub", "rid").agg(F.max("fresh").alias("fresh"))
-    hubs = members.groupBy("hub").agg(F.max("fresh").alias("any"), F.ceil(F.count(F.lit(1)) / HUB).alias("parts")).where("any").select("hub", "parts")
-    sent = (members.join(hubs, "hub").select(F.xxhash64("hub", F.pmod(F.xxhash64("rid"), "parts")).alias("hub"), "rid", "fresh")
+    hubs = members.groupBy("hub").agg(F.max("fresh").alias("any"), F.ceil(F.count(F.lit(1)) / HUB).alias("parts")).where("any or parts > 1").select("hub", "parts")
+    sent = (members.join(hubs, "hub").select(F.xxhash64("hub", F.pmod(F.xxhash64("rid", F.lit(salt)), "parts")).alias("hub"), "rid", F.expr("fresh or parts > 1").alias("fresh"))
             .join(nodes.select("rid", "v"), "rid").join(need, "rid", "left")
             .select("hub", "rid", "fresh", F.coalesce("need", F.lit(-1.5)).alias("need"), "v"))
     found = sent.repartition(parallelism(spark), "hub").sortWithinPartitions("hub").mapInArrow(_hub_edges(kind), "a long, b long, sim double")
@@ -333,13 +336,13 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.98, id_col: str =
     graph, seen = None, -1
     for forest in range(FORESTS):
         leaves = sized.mapInArrow(_signatures(kind, trees, forest), "leaf long, sign long, rid long, g long, v binary")
-        start = (leaves.repartition(parallelism(spark), "leaf").sortWithinPartitions("leaf", "sign")
+        start = (leaves.repartition(parallelism(spark), "leaf").sortWithinPartitions("leaf", "sign", F.xxhash64("rid", "leaf"))  # equal signatures are shuffled anew in every tree
                  .mapInArrow(_leaf_edges(kind, threshold), "a long, b long, sim double").withColumn("fresh", F.lit(True)))
         if graph is not None:
             start = start.unionByName(graph.select("a", "b", "sim", F.lit(False).alias("fresh")))
         graph = cut(_lists(start, threshold))
-        for _ in range(ROUNDS):
-            graph = cut(_lists(_join_round(graph, nodes, kind, threshold), threshold))
+        for k in range(ROUNDS):
+            graph = cut(_lists(_join_round(graph, nodes, kind, threshold, forest * ROUNDS + k), threshold))
             now = graph.where(F.col("sim") >= threshold).count()
             if now == seen:
                 break

@@ -71,6 +71,15 @@ def test_links_between_dense_clusters_of_one_label(spark):
     assert len(audit) == 1
 
 
+def test_parts_of_a_hub_are_dealt_anew(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "HUB", 4)
+    rng = np.random.default_rng(8)
+    nodes = spark.createDataFrame([(k, rng.normal(size=8).astype(np.float32).tobytes()) for k in range(13)], "rid long, v binary")
+    graph = spark.createDataFrame([(0, k, 0.5, False, k) for k in range(1, 13)], "a long, b long, sim double, fresh boolean, rank int")
+    met = [{(r.a, r.b) for r in nn_descent._join_round(graph, nodes, "<f4", 0.98, salt).where("fresh").collect() if r.a and r.b} for salt in range(2)]
+    assert met[0] != met[1] and all(met)
+
+
 def test_a_recall_that_stays_low_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(nn_descent, "_lists", lambda edges, threshold: edges.limit(0).withColumn("rank", nn_descent.F.lit(1)))
     v = [1.0, 0.5]
