@@ -121,7 +121,7 @@ def gift_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFram
                        F.lit(K.GIFT_TYPE_CASH).alias("Gift_Type"),
                        F.col("designation_ld").alias("Gift_Allocation"),
                        F.col("campaign_fy").alias("Gift_Year"),
-                       cat("gift_number", sequence_suffix("seq")).alias("Gift_TransactionId"),
+                       cat("gift_number", sequence_suffix(F.col("seq").cast("int"))).alias("Gift_TransactionId"),
                        mmddyyyy("calendar_date").alias("Gift_Date"))
 
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins from runtime sizes: a dimension is broadcast only when its
 # materialized size is under the threshold (a checked bound), otherwise it is
@@ -55,3 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="patronage-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as a Parquet table in the shared checkpoint
+    folder: later passes read the columns they need, and a lost executor's
+    work is read again instead of computed again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
