@@ -6,9 +6,11 @@ from patronage.llm.bpe import op2_bpe
 from patronage.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from patronage.llm.language_id import op3_language_id
 from patronage.llm.lm_score import op9_lm_score
+from patronage.llm.mixing import op13_mixing
 from patronage.llm.nn_descent import op4_nn_descent
 from patronage.llm.packing import op1_packing
 from patronage.llm.quality import op5_quality
+from patronage.llm.resampling import op11_resampling
 from patronage.llm.simhash import op7_simhash
 from patronage.llm.substring import op10_substring
 from patronage.llm.warc import op6_warc
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_substring": op10_substring,
+    "op11_resampling": op11_resampling,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLE_SQL = {
