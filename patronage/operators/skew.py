@@ -53,16 +53,21 @@ def numbered(df: DataFrame, partition_col: str | None, order_cols: list[str], ou
               .select(key.alias("__p"), _sortable(order_cols).alias("__o")))
     # of bounded size: a fixed number of sampled rows per range
     place = F.row_number().over(Window.orderBy(F.col("__p").asc_nulls_last(), "__o"))
-    cuts = (sample.withColumn("__at", place).where(F.col("__at") % SAMPLED_PER_CUT == 0)
-            .groupBy("__p").agg(F.sort_array(F.collect_list("__o")).alias("__cuts")))
-    split = _with_range(rows.join(F.broadcast(cuts), key.eqNullSafe(F.col("__p")), "left").drop("__p"), order_cols, 4 * ranges)
+    cuts = sample.withColumn("__at", place).where(F.col("__at") % SAMPLED_PER_CUT == 0)
+    listed = F.sort_array(F.collect_list("__o")).alias("__cuts")
+    if partition_col:
+        with_cuts = rows.join(F.broadcast(cuts.groupBy("__p").agg(listed)), key.eqNullSafe(F.col("__p")), "left").drop("__p")
+    else:
+        with_cuts = rows.withColumn("__cuts", cuts.agg(listed).scalar())
+    split = _with_range(with_cuts, order_cols, 4 * ranges)
     group = [F.col(partition_col)] if partition_col else []
     counts = (split.where(F.col("__cuts").isNotNull()).groupBy(key.alias("__p"), F.col("__range").alias("__r"))
               .agg(F.count(F.lit(1)).alias("__n")))
     before = Window.partitionBy("__p").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__p", "__r", F.sum("__n").over(before).alias("__off"))
     local = F.row_number().over(Window.partitionBy(*group, "__range").orderBy(*[F.col(c).asc_nulls_last() for c in order_cols]))
+    same = F.col("__range") == F.col("__r")
     return (split.drop("__cuts").withColumn("__local", local)
-            .join(F.broadcast(offsets), key.eqNullSafe(F.col("__p")) & (F.col("__range") == F.col("__r")), "left")
+            .join(F.broadcast(offsets), same & key.eqNullSafe(F.col("__p")) if partition_col else same, "left")
             .withColumn(out, F.col("__local") + F.coalesce("__off", F.lit(0)))
             .drop("__row", "__range", "__local", "__off", "__p", "__r"))
