@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from patronage.llm.alignment import op12_alignment
 from patronage.llm.bpe import op2_bpe
 from patronage.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from patronage.llm.language_id import op3_language_id
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_substring": op10_substring,
     "op11_resampling": op11_resampling,
+    "op12_alignment": op12_alignment,
     "op13_mixing": op13_mixing,
 }
 
