@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from patronage import constants as K
+from patronage.operators.lists import ordered_lists
 from patronage.functions import cat, decode, ordered_listagg
 from patronage.params import Params
 from patronage.tables import Tables
@@ -73,7 +74,8 @@ def student_info(t: Tables, p: Params | None = None, parents: DataFrame | None =
     or NULL parent outside the population builds no list), the students' names, genders and activity lists,
     each ordered by student pidm (NULL entries skipped, so lists need not align).
     Every list takes its value as the second order key, so ties in the
-    specified key (SURVEY 1.5.8) cannot reorder it between runs."""
+    specified key (SURVEY 1.5.8) cannot reorder it between runs. A parent with
+    very many students is gathered by ranges of student pidm."""
     students = (t.adv_constituent_d.where(F.col("primary_donor_code") == K.STUDENT)
                 .select(F.col("pidm").alias("chl_pidm"), "pref_first_name", "last_name", "gender"))
     edges = (t.aprxref.where(F.col("aprxref_xref_code") == K.PARENT_EDGE)
@@ -85,7 +87,7 @@ def student_info(t: Tables, p: Params | None = None, parents: DataFrame | None =
             .select("par_pidm", "chl_pidm", "activities",
                     cat("pref_first_name", F.lit(" "), "last_name").alias("student_name"),
                     decode("gender", K.GENDER_LABELS, F.col("gender")).alias("student_gender")))
-    return rows.groupBy("par_pidm").agg(
-        ordered_listagg("student_name", "; ", "chl_pidm", "student_name").alias("student_names"),
-        ordered_listagg("student_gender", "; ", "chl_pidm", "student_gender").alias("student_genders"),
-        ordered_listagg("activities", "; ", "chl_pidm", "activities").alias("student_activities"))
+    return ordered_lists(rows, "par_pidm", "chl_pidm", {
+        "student_names": ("student_name", "; "),
+        "student_genders": ("student_gender", "; "),
+        "student_activities": ("activities", "; ")})
