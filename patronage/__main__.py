@@ -47,12 +47,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--params", required=True)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--parts", action="store_true", help="folders of part files instead of one csv file per extract")
     ap.add_argument("--files", nargs="*", choices=sorted(FILES))
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("patronage").getOrCreate()
     t = warehouse_tables(spark, location=args.location, database=args.database)
     p = load_params(args.params, read_fiscal_year(t.adv_reportvars_d))
-    for name, path in write_extracts(spark, t, p, args.out, args.format, args.files).items():
+    for name, path in write_extracts(spark, t, p, args.out, args.format, args.files,
+                                     one_file=args.format == "csv" and not args.parts).items():
         print(f"{name}\t{path}")
 
 

@@ -1,6 +1,6 @@
 """Column expressions with the warehouse's text and NULL semantics, and money sums."""
 
-from patronage.functions.money import money_sum
+from patronage.functions.money import money_sum, share
 from patronage.functions.text import (
     cat,
     decode,
@@ -13,5 +13,5 @@ from patronage.functions.text import (
     yyyy,
 )
 
-__all__ = ["money_sum", "cat", "decode", "mmddyyyy", "ordered_listagg", "sequence_suffix", "strip_token",
+__all__ = ["money_sum", "cat", "decode", "mmddyyyy", "ordered_listagg", "sequence_suffix", "share", "strip_token",
            "text_int", "true_false", "yyyy"]

@@ -11,10 +11,10 @@ the join's multiplicities).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from patronage import constants as K
-from patronage.functions import money_sum
+from patronage.functions import money_sum, share
 from patronage.functions.money import MEASURE
 from patronage.operators import dims
 from patronage.operators.population import population_standard
@@ -110,38 +110,46 @@ def summary_household_cash(t: Tables, p: Params, pop: DataFrame | None = None) -
     return _summary_rows(joined, K.SUMMARY_HOUSEHOLD_CASH)
 
 
-def summary_pledges_wide(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
-    """FY annual-fund pledge balance and amount for people who are spouse
-    one of their household, plain and divided by (alumni spouses + 1). The
-    shares are rounded half up to ``p.share_places``, at most ten, places."""
-    pop = population_standard(t, p) if pop is None else pop
+def _pledges_by_spouse_one(t: Tables, p: Params) -> DataFrame:
+    """FY annual-fund pledges per person, for each household (``hh_key``) the
+    person is spouse one of, with its spouse two if that is an alumnus."""
     pledges = (t.adv_pledge_install_f
                .join(dims.countable_pledge_types(t, K.PLEDGE_STATUSES_SUMMARY), "pledge_description_key")
                .join(dims.annual_fund_campaign_years(t, p.fiscal_year, p.fiscal_year), "campaign_key")
                .groupBy(F.col("constituent_key_pledger").alias("constituent_key"), "campaign_fy")
                .agg(money_sum(F.col("expected_amt") - F.col("install_amt_paid")).alias("balance"),
                     money_sum("expected_amt").alias("amount")))
-    hhb = t.adv_household_b.select("household_key", F.col("cons_key_sps1").alias("constituent_key"),
+    hhb = t.adv_household_b.select(F.col("household_key").alias("hh_key"), F.col("cons_key_sps1").alias("constituent_key"),
                                    "cons_key_sps2")
     alumni_spouse = (t.adv_constituent_d.where(F.col("primary_donor_code") == K.ALUMNI)
                      .select(F.col("constituent_key").alias("sps_key")))
+    return (pledges.join(hhb, "constituent_key")
+            .join(alumni_spouse, F.col("cons_key_sps2") == F.col("sps_key"), "left")
+            .select("constituent_key", "hh_key", "campaign_fy", "balance", "amount", "sps_key"))
+
+
+def _pledge_measures(p: Params) -> dict[str, Column]:
+    """The four measures from a group's ``bal``, ``amt`` and ``n_spouses``, in
+    the order of ``K.PLEDGE_MEASURES``; the shares are rounded half up to
+    ``p.share_places``, at most ten, places."""
+    parts = F.col("n_spouses") + 1
+    columns = (F.col("bal").cast(MEASURE), F.col("amt").cast(MEASURE),
+               share(F.col("bal"), parts, p.share_places), share(F.col("amt"), parts, p.share_places))
+    return dict(zip(("Pledge Balance", "Pledge Amount", "Pledge Balance - Summary", "Pledge Amount - Summary"), columns))
+
+
+def summary_pledges_wide(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
+    """FY annual-fund pledge balance and amount for people who are spouse
+    one of their household, plain and divided by (alumni spouses + 1)."""
+    pop = population_standard(t, p) if pop is None else pop
     joined = (pop.select("constituent_key", "household_key", "cons_id")
-              .join(pledges, "constituent_key")
-              .join(hhb, ["household_key", "constituent_key"])
-              .join(alumni_spouse, F.col("cons_key_sps2") == F.col("sps_key"), "left"))
+              .join(_pledges_by_spouse_one(t, p), "constituent_key").where("household_key = hh_key"))
     agg = (joined.groupBy("cons_id", "campaign_fy")
            .agg(money_sum("balance").alias("bal"), money_sum("amount").alias("amt"),
                 F.countDistinct("sps_key").alias("n_spouses")))
-    def share(total: str):
-        parts = (F.col("n_spouses") + 1).cast("decimal(10,0)")
-        return (F.col(total).cast("decimal(28,10)") / parts).cast(f"decimal(38,{p.share_places})").cast(MEASURE)
-    return agg.select(
-        F.col("cons_id").alias("Constituent_Externalid"),
-        F.col("bal").cast(MEASURE).alias("Pledge Balance"),
-        F.col("amt").cast(MEASURE).alias("Pledge Amount"),
-        share("bal").alias("Pledge Balance - Summary"),
-        share("amt").alias("Pledge Amount - Summary"),
-        F.col("campaign_fy").alias("GiftSummary_Year"))
+    return agg.select(F.col("cons_id").alias("Constituent_Externalid"),
+                      *[c.alias(name) for name, c in _pledge_measures(p).items()],
+                      F.col("campaign_fy").alias("GiftSummary_Year"))
 
 
 def summary_pledges_long(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
@@ -151,3 +159,33 @@ def summary_pledges_long(t: Tables, p: Params, pop: DataFrame | None = None) ->
                          "GiftSummary_Type", "GiftSummary_Amount")
             .where(F.col("GiftSummary_Amount").isNotNull())
             .select("Constituent_Externalid", "GiftSummary_Amount", "GiftSummary_Type", "GiftSummary_Year"))
+
+
+def gift_summary(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
+    """B12, B13 and B15 in one pass: what lies by person (credits, pledges) is
+    stacked and meets the population once, what lies by household (cash) meets
+    it once more, and one aggregation makes all six measures. A kind without
+    rows in a (person, year) gives no row; a NULL pledge measure gives none
+    either, as UNPIVOT does."""
+    pop = (population_standard(t, p) if pop is None else pop).select("constituent_key", "household_key", "cons_id")
+    by_person = (_credits_by_person_year(t, p)
+                 .select("constituent_key", "campaign_fy", F.lit("credit").alias("kind"), F.col("amount").alias("credit"))
+                 .unionByName(_pledges_by_spouse_one(t, p).withColumn("kind", F.lit("pledge")), allowMissingColumns=True))
+    cash = _cash_by_household_year(t, p).select("household_key", "campaign_fy", F.lit("cash").alias("kind"), F.col("amount").alias("cash"))
+    of_person = (pop.join(by_person, "constituent_key")
+                 .where((F.col("kind") == "credit") | (F.col("household_key") == F.col("hh_key"))))
+    rows = (of_person.select("cons_id", "campaign_fy", "kind", "credit", "balance", "amount", "sps_key")
+            .unionByName(pop.join(cash, "household_key").select("cons_id", "campaign_fy", "kind", "cash"), allowMissingColumns=True))
+    agg = rows.groupBy("cons_id", "campaign_fy").agg(
+        F.count(F.when(F.col("kind") == "credit", 1)).alias("n_credit"), money_sum("credit").alias("credit"),
+        F.count(F.when(F.col("kind") == "cash", 1)).alias("n_cash"), money_sum("cash").alias("cash"),
+        money_sum("balance").alias("bal"), money_sum("amount").alias("amt"), F.countDistinct("sps_key").alias("n_spouses"))
+
+    def measure(name: str, present: Column, amount: Column) -> Column:
+        return F.struct(amount.cast(MEASURE).alias("GiftSummary_Amount"), F.lit(name).alias("GiftSummary_Type"), present.alias("present"))
+    pledges = [measure(name, c.isNotNull(), c) for name, c in _pledge_measures(p).items()]
+    return (agg.select("cons_id", "campaign_fy", F.inline(F.array(
+        measure(K.SUMMARY_PERSON_CREDIT, F.col("n_credit") > 0, F.col("credit")),
+        measure(K.SUMMARY_HOUSEHOLD_CASH, F.col("n_cash") > 0, F.col("cash")), *pledges)))
+        .where("present").select(F.col("cons_id").alias("Constituent_Externalid"), "GiftSummary_Amount", "GiftSummary_Type",
+                                 F.col("campaign_fy").alias("GiftSummary_Year")))

@@ -1,7 +1,10 @@
 """The seven extract files (E1-E7) as DataFrames.
 
 Each function takes the input tables and parameters and returns the file's
-rows with its published column names. Nothing here triggers a job.
+rows with its published column names. Three compute a part of their rows into
+the shared checkpoint folder while the plan is built (the population of the
+constituent and the gift summary file, the rows that the gift file numbers);
+the others trigger no job.
 """
 
 from __future__ import annotations
@@ -12,8 +15,7 @@ from patronage import constants as K
 from patronage.functions import (cat, decode, mmddyyyy, ordered_listagg, sequence_suffix, strip_token,
                                  text_int, true_false, yyyy)
 from patronage.operators import dims
-from patronage.operators.giving import (last_gift, non_annual_fund_givers, summary_household_cash,
-                                        summary_person_credit, summary_pledges_long)
+from patronage.operators.giving import gift_summary, last_gift, non_annual_fund_givers
 from patronage.operators.population import (population_constituent, population_first_year,
                                             population_standard)
 from patronage.operators.rollups import (affiliation_group_rollup, exclusion_group_rollup,
@@ -128,14 +130,13 @@ def gift_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFram
 # --------------------------------------------------------------------- E6
 def gift_summary_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> DataFrame:
     """Person credit, household cash and pledge measures, stacked long. The
-    population is computed once, narrow, into the shared folder."""
+    population, which meets the facts by person and by household, is computed
+    once, narrow, into the shared folder."""
     if pop is None:
         pop = population_standard(t, p).select("constituent_key", "household_key", "cons_id")
         ensure_checkpoint_dir(pop.sparkSession)
         pop = pop.checkpoint(eager=True)
-    return (summary_person_credit(t, p, pop)
-            .unionByName(summary_household_cash(t, p, pop))
-            .unionByName(summary_pledges_long(t, p, pop)))
+    return gift_summary(t, p, pop)
 
 
 # --------------------------------------------------------------------- E7

@@ -8,7 +8,7 @@ from patronage.operators.population import population_standard
 from patronage.params import Params
 from patronage.plans import extracts
 from patronage.session import ensure_checkpoint_dir
-from patronage.sources.sinks import write_extract
+from patronage.sources.sinks import write_extract, write_file
 from patronage.tables import Tables
 
 # file name -> extract; the ones taking ``pop`` share the standard population
@@ -35,8 +35,12 @@ def shared_population(spark: SparkSession, t: Tables, p: Params) -> DataFrame:
 
 
 def write_extracts(spark: SparkSession, t: Tables, p: Params, out_dir: str, fmt: str = "csv",
-                   files: list[str] | None = None) -> dict[str, str]:
-    """Write each extract to ``{out_dir}/{name}``; returns name -> path."""
+                   files: list[str] | None = None, one_file: bool = False) -> dict[str, str]:
+    """Write each extract to ``{out_dir}/{name}``, a folder of parts, or, if
+    ``one_file``, to the single file ``{out_dir}/{name}.csv`` with one header;
+    returns name -> path."""
+    if one_file and fmt != "csv":
+        raise ValueError("one file per extract is a csv file")
     names = list(FILES) if files is None else files
     unknown = set(names) - set(FILES)
     if unknown:
@@ -47,6 +51,10 @@ def write_extracts(spark: SparkSession, t: Tables, p: Params, out_dir: str, fmt:
         fn, uses_pop = FILES[name]
         df = fn(t, p, pop) if uses_pop else fn(t, p)
         path = f"{out_dir.rstrip('/')}/{name}"
-        write_extract(df, path, fmt)
+        if one_file:
+            path += ".csv"
+            write_file(df, path)
+        else:
+            write_extract(df, path, fmt)
         written[name] = path
     return written

@@ -27,7 +27,6 @@ def warehouse_tables(spark: SparkSession, location: str | None = None,
 # fiscal-year literal prunes the snapshot and the non-annual-fund tests; the
 # list of annual-fund campaigns of the wanted years, a small filtered
 # dimension, prunes the three facts when the query runs.
-FOLDER_TASKS = 4
 PARTITIONS: dict[str, tuple[str, ...]] = {
     "adv_donor_behavior_ps": ("fiscal_year",),
     "adv_hh_giving_f": ("campaign_key",),
@@ -40,14 +39,20 @@ def store_tables(tables: Tables, location: str, partition_by: dict[str, tuple[st
                  names: tuple[str, ...] = TABLE_NAMES) -> None:
     """Write tables as ``{location}/{name}`` parquet folders (the layout
     ``warehouse_tables`` reads), the partitioned ones gathered by folder first
-    so that a folder does not get a file from every task. A folder's rows are
-    spread over a few tasks, so a large year or campaign is not one task."""
+    so that a folder does not get a file from every task.
+
+    How many tasks write a folder follows from its measured volume: the rows
+    are rebalanced by folder, and adaptive execution cuts a folder's shuffled
+    bytes into as many tasks of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    as they fill and puts small folders together. A year or campaign with a
+    third of all rows is written by a third of the tasks."""
     parts = PARTITIONS if partition_by is None else partition_by
     for name in names:
         df = tables[name]
         if name not in parts:
             df.write.mode("overwrite").parquet(f"{location}/{name}")
             continue
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(FOLDER_TASKS))
-        (df.repartition(*parts[name], salt).write.mode("overwrite").partitionBy(*parts[name])
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+            raise ValueError("store_tables needs spark.sql.adaptive.enabled: a large folder would be one task")
+        (df.hint("rebalance", *[F.col(c) for c in parts[name]]).write.mode("overwrite").partitionBy(*parts[name])
          .parquet(f"{location}/{name}"))

@@ -93,6 +93,7 @@ def test_command_line_writes_every_file(spark, tmp_path, capsys):
           "--params", os.path.join(here, "..", "examples", "params.example.json")])
     printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
     assert set(printed) == set(FILES)
+    assert all(os.path.isfile(path) and path.endswith(f"{name}.csv") for name, path in printed.items())
     for name, path in printed.items():
         assert spark.read.option("header", True).csv(path).count() == FILES[name][0](
             t, fixture_params(t)).count(), name
