@@ -1,8 +1,8 @@
 """Money: plain sums on the column's own scale, and the check that allows them.
 
 Budget: a measure holds 28 digits before the point and ten behind it
-(``MEASURE``); sums and shares are exact up to there, and a larger one is an
-error of the cast to it, never a wrong or missing amount.
+(``MEASURE``), a share 27; sums and shares are exact up to there, and a larger
+one is an error of the cast to it, never a wrong or missing amount.
 
 Sums stay decimals of the input's scale, so no digit is dropped. Floating
 point cannot be summed exactly and in any order alike, so a table that
@@ -25,12 +25,14 @@ def money_sum(c: Column | str) -> Column:
 
 def share(total: Column, parts: Column, places: int) -> Column:
     """``total / parts`` rounded half up to ``places`` (at most ten), for any
-    total a measure can hold and fewer than 10^10 parts. A division of the
+    total of up to 27 digits before the point and fewer than 10^10 parts. A division of the
     whole total would keep 18 digits before the point only; so the part that
     divides evenly is divided apart from the remainder, which is small."""
     total, parts = total.cast(MEASURE), parts.cast("decimal(10,0)")
     rest = total % parts
-    return (((total - rest) / parts).cast(MEASURE) + (rest / parts).cast(f"decimal(38,{places})")).cast(MEASURE)
+    # one digit less than a measure, so that their sum keeps all ten places
+    whole = ((total - rest) / parts).cast("decimal(37,10)")
+    return (whole + (rest / parts).cast(f"decimal(20,{places})")).cast(MEASURE)
 
 
 def require_exact(df: DataFrame, table: str, columns: tuple[str, ...]) -> DataFrame:

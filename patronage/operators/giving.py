@@ -53,9 +53,9 @@ def last_gift(t: Tables, p: Params, households: DataFrame | None = None) -> Data
             .select("household_key", "calendar_date", "fiscal_year", "designation_ld", "gift_amount"))
 
 
-def non_annual_fund_givers(t: Tables, p: Params) -> DataFrame:
-    """People with a countable non-annual-fund credit or active pledge
-    installment in FY (``union`` = distinct)."""
+def non_annual_fund_gifts(t: Tables, p: Params) -> DataFrame:
+    """``con_key`` of every countable non-annual-fund credit and active pledge
+    installment in FY, one row each."""
     credits = (t.adv_credit_f.where(F.col("fiscal_year") == p.fiscal_year)
                .join(dims.countable_gift_types(t), "gift_description_key")
                .join(dims.other_campaigns(t), "campaign_key")
@@ -64,7 +64,13 @@ def non_annual_fund_givers(t: Tables, p: Params) -> DataFrame:
                .join(dims.countable_pledge_types(t, (K.PLEDGE_STATUS_ACTIVE,)), "pledge_description_key")
                .join(dims.other_campaigns(t), "campaign_key")
                .select(F.col("constituent_key_pledger").alias("con_key")))
-    return credits.unionByName(pledges).distinct()
+    return credits.unionByName(pledges)
+
+
+def non_annual_fund_givers(t: Tables, p: Params) -> DataFrame:
+    """People with a countable non-annual-fund credit or active pledge
+    installment in FY (``union`` = distinct)."""
+    return non_annual_fund_gifts(t, p).distinct()
 
 
 def _credits_by_person_year(t: Tables, p: Params) -> DataFrame:

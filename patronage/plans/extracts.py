@@ -9,13 +9,13 @@ the others trigger no job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from patronage import constants as K
 from patronage.functions import (cat, decode, mmddyyyy, ordered_listagg, sequence_suffix, strip_token,
                                  text_int, true_false, yyyy)
 from patronage.operators import dims
-from patronage.operators.giving import gift_summary, last_gift, non_annual_fund_givers
+from patronage.operators.giving import gift_summary, last_gift, non_annual_fund_gifts
 from patronage.operators.population import (population_constituent, population_first_year,
                                             population_standard)
 from patronage.operators.rollups import (affiliation_group_rollup, exclusion_group_rollup,
@@ -162,7 +162,7 @@ def relative_extract(t: Tables, p: Params, pop: DataFrame | None = None) -> Data
 # --------------------------------------------------------------------- E1
 NAME_COLUMNS = ("prefix", "first_name", "middle_name", "last_name", "suffix", "pref_first_name",
                 "college_last_name", "gender", "marital_desc")
-# Staff assignments of one person are expanded in blocks of this many.
+# Equal rows of one person are expanded in blocks of this many.
 ASSIGNMENT_BLOCK = 1024
 BEHAVIOR_COLUMNS = ("og_consec_yrs_giving", "lyr_og_consec_yrs_giving",
                     "bf_consec_yrs_giving", "lyr_bf_consec_yrs_giving")
@@ -172,6 +172,62 @@ def _prefixed(df: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in cols])
 
 
+def _by_person(t: Tables, p: Params) -> DataFrame:
+    """Per person with any: ``gives`` (a non-annual-fund gift) and ``ss_n``
+    staff assignments. Both tests are stacked and aggregated once, so a person
+    with a huge number of either is one row per task before the shuffle."""
+    gifts = non_annual_fund_gifts(t, p).select(F.col("con_key").alias("side_key"), F.lit(1).alias("gift"))
+    staff = staff_solicited(t, p).select(F.col("constituent_key").alias("side_key"), F.lit(1).alias("assignment"))
+    return (gifts.unionByName(staff, allowMissingColumns=True).groupBy("side_key")
+            .agg((F.count("gift") > 0).alias("gives"), F.count("assignment").alias("ss_n")))
+
+
+def _by_pidm(t: Tables, p: Params, pidms: DataFrame) -> DataFrame:
+    """Per pidm of ``pidms``, every combination of its different asks,
+    employments, degrees and mail codes, with the number of rows it stands for
+    (``side_n``, the product of the numbers of equal rows).
+
+    The four tables are stacked, so they meet the people in one join. Equal
+    rows are counted before anything is gathered (a pidm with a third of all
+    mail rows is one row a task), and rows of sentinels and of people outside
+    the population never reach a list."""
+    asks = (t.afrctyp.where(text_int("afrctyp_dcyr_code") == F.lit(p.fiscal_year))
+            .select(F.col("afrctyp_constituent_pidm").alias("side_pidm"), F.lit("ask").alias("kind"),
+                    F.struct("afrctyp_ask_amount", "afrctyp_sol_org").alias("ask")))
+    jobs = (t.aprehis.where((F.col("aprehis_primary_ind") == "Y") & F.col("aprehis_to_date").isNull())
+            .select(F.col("aprehis_pidm").alias("side_pidm"), F.lit("job").alias("kind"),
+                    F.struct("aprehis_sicc_code", "aprehis_empr_pidm", "aprehis_empl_position", "aprehis_empr_name").alias("job")))
+    degrees = (t.apradeg.where((F.col("apradeg_sbgi_code") == p.school_code)
+                               & F.col("apradeg_degc_code").isin(*K.DEGREE_CODES))
+               .select(F.col("apradeg_pidm").alias("side_pidm"), F.lit("degree").alias("kind"),
+                       F.struct("apradeg_degc_code").alias("degree")))
+    mail = (t.aprmail.where(F.col("aprmail_mail_code").isin(*K.MAIL_CODES))
+            .select(F.col("aprmail_pidm").alias("side_pidm"), F.lit("mail").alias("kind"),
+                    F.struct("aprmail_mail_code").alias("mail")))
+    stack = asks
+    for side in (jobs, degrees, mail):
+        stack = stack.unionByName(side, allowMissingColumns=True)
+    kinds = ("ask", "job", "degree", "mail")
+    counted = stack.groupBy("side_pidm", "kind", *kinds).agg(F.count(F.lit(1)).alias("m"))
+    sides = (counted.join(pidms.toDF("side_pidm"), "side_pidm", "left_semi").groupBy("side_pidm")
+             .agg(*[F.collect_list(F.when(F.col("kind") == k, F.struct(F.col(k), F.col("m")))).alias(k) for k in kinds]))
+    for k in kinds:
+        sides = sides.withColumn(k, F.explode_outer(k))
+    times = F.lit(1)
+    for k in kinds:
+        times = times * F.coalesce(f"{k}.m", F.lit(1))
+    return sides.select("side_pidm", *[f"{k}.{k}.*" for k in kinds], times.alias("side_n"))
+
+
+def _repeated(df: DataFrame, times: Column) -> DataFrame:
+    """Every row ``times`` (1 or more) times, in two steps so that no row
+    carries an entry per copy."""
+    zero, times = F.lit(0).cast("bigint"), times.cast("bigint")
+    blocks = df.select("*", F.explode(F.sequence(zero, F.floor((times - 1) / ASSIGNMENT_BLOCK))).alias("__block"))
+    last = F.least(times - 1 - F.col("__block") * ASSIGNMENT_BLOCK, F.lit(ASSIGNMENT_BLOCK - 1).cast("bigint"))
+    return blocks.select("*", F.explode(F.sequence(zero, last)).alias("__copy"))
+
+
 def constituent_extract(t: Tables, p: Params) -> DataFrame:
     """The 50-column constituent profile. Rows fan out exactly as the
     specification's joins do (two degrees, two mail codes, several staff
@@ -179,12 +235,13 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
 
     Join order is chosen for the shuffles, not copied from the
     specification (inner joins commute with these left joins): the row stays
-    in the order of its keys (person, household, spouse, pidm, employer), joins
-    sharing a key are adjacent so one exchange serves them, the wide contact
-    columns are attached last, and staff assignments are joined as a
-    per-person count and re-expanded at the very end. The population is
-    computed once into the shared folder; last gifts and student lists are
-    built for its households and parents only.
+    in the order of its keys (person, household, spouse, pidm, employer), what
+    is keyed by person and what is keyed by pidm is one stacked side table
+    each, and the wide contact columns are attached last. Different asks,
+    employments, degrees and mail codes of a person give a row where they are
+    joined; equal ones and staff assignments are counted, and the row is
+    repeated at the very end. The population is computed once into the shared folder; last gifts, student
+    and side lists are built for its households, parents and people only.
     """
     fy = p.fiscal_year
     core = population_constituent(t, p, ("contact_info_key", "exclusion_group_key", "primary_donor_code",
@@ -192,59 +249,33 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
     ensure_checkpoint_dir(core.sparkSession)
     core = core.checkpoint(eager=True)
     households = core.select("household_key").distinct()
-    parents = core.select(F.col("pidm").alias("par_pidm")).distinct()
+    pidms = core.select("pidm").distinct()
 
-    nonbf = non_annual_fund_givers(t, p)
-    # one row per person; a prospect with a huge number of assignments is
-    # collapsed by partial aggregation instead of sitting in one join task
-    ss = (staff_solicited(t, p).groupBy(F.col("constituent_key").alias("ss_key"))
-          .agg(F.count(F.lit(1)).alias("ss_n")))
     hhb = t.adv_household_b.select(F.col("household_key").alias("hh_key"), F.col("cons_key_sps1").alias("sps1_key"),
                                    "cons_key_sps2", "spouse_name")
     lg = _prefixed(last_gift(t, p, households), "lg_", ["household_key", "calendar_date", "designation_ld", "gift_amount"])
     spouse = _prefixed(t.adv_constituent_d, "sps_", ["constituent_key", "cons_id", "scy"])
     affil = affiliation_group_rollup(t)
     excl = exclusion_group_rollup(t)
-    afr = (t.afrctyp.where(text_int("afrctyp_dcyr_code") == F.lit(fy))
-           .select("afrctyp_constituent_pidm", "afrctyp_ask_amount", "afrctyp_sol_org"))
-    apr = (t.aprehis.where((F.col("aprehis_primary_ind") == "Y") & F.col("aprehis_to_date").isNull())
-           .select("aprehis_pidm", "aprehis_sicc_code", "aprehis_empr_pidm",
-                   "aprehis_empl_position", "aprehis_empr_name"))
-    deg = (t.apradeg.where((F.col("apradeg_sbgi_code") == p.school_code)
-                           & F.col("apradeg_degc_code").isin(*K.DEGREE_CODES))
-           .select("apradeg_pidm", "apradeg_degc_code"))
-    sch = (t.aprmail.where(F.col("aprmail_mail_code").isin(*K.MAIL_CODES))
-           .select("aprmail_pidm", "aprmail_mail_code"))
-    stu = student_info(t, p, parents)
+    stu = student_info(t, p, pidms.toDF("par_pidm"))
     atv = t.atvsicc.select("atvsicc_code", "atvsicc_desc")
     emp = _prefixed(t.adv_constituent_d, "emp_", ["pidm", "last_name", "is_mg_company"])
     contact = t.adv_contact_info_d
 
-    rows = (core                                                               # by person
-            .join(nonbf, F.col("constituent_key") == F.col("con_key"), "left")
-            .join(ss, F.col("constituent_key") == F.col("ss_key"), "left")
-            # still by person: with the household as a plain condition the row
-            # keeps the partitioning it has
-            .join(hhb, (F.col("constituent_key") == F.col("sps1_key"))
-                  & (F.col("household_key") >= F.col("hh_key")) & (F.col("household_key") <= F.col("hh_key")))
-            .join(lg, F.col("household_key") == F.col("lg_household_key"), "left")  # by household
-            .join(spouse, F.col("cons_key_sps2") == F.col("sps_constituent_key"))  # by spouse
-            .join(affil, "donor_group_key")                                    # small group roll-ups
+    rows = (core
+            .join(_by_person(t, p), F.col("constituent_key") == F.col("side_key"), "left")        # by person
+            .join(hhb, (F.col("constituent_key") == F.col("sps1_key")) & (F.col("household_key") == F.col("hh_key")))
+            .join(lg, F.col("household_key") == F.col("lg_household_key"), "left")                # by household
+            .join(spouse, F.col("cons_key_sps2") == F.col("sps_constituent_key"))                 # by spouse
+            .join(affil, "donor_group_key")                                                       # small group roll-ups
             .join(excl, "exclusion_group_key", "left")
-            .join(afr, F.col("pidm") == F.col("afrctyp_constituent_pidm"), "left")  # by pidm
-            .join(apr, F.col("pidm") == F.col("aprehis_pidm"), "left")
-            .join(deg, F.col("pidm") == F.col("apradeg_pidm"), "left")
-            .join(sch, F.col("pidm") == F.col("aprmail_pidm"), "left")
+            .join(_by_pidm(t, p, pidms), F.col("pidm") == F.col("side_pidm"), "left")             # by pidm
             .join(stu, F.col("pidm") == F.col("par_pidm"), "left")
             .join(atv, F.col("aprehis_sicc_code") == F.col("atvsicc_code"), "left")
-            .join(emp, F.col("aprehis_empr_pidm") == F.col("emp_pidm"), "left")   # by employer
-            .join(contact, "contact_info_key"))                                # wide columns last
-    # one row per staff assignment (none: one row with no assignment), in two
-    # steps so that no row carries an entry per assignment
-    last_block = F.col("ss_n") - 1 - F.col("ss_block") * ASSIGNMENT_BLOCK
-    rows = (rows.withColumn("ss_block", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("ss_n") - 1) / ASSIGNMENT_BLOCK))))
-            .withColumn("ss_key", F.explode_outer(F.when(F.col("ss_block").isNotNull(), F.sequence(
-                F.lit(0).cast("bigint"), F.least(last_block, F.lit(ASSIGNMENT_BLOCK - 1).cast("bigint")))))))
+            .join(emp, F.col("aprehis_empr_pidm") == F.col("emp_pidm"), "left")                   # by employer
+            .join(contact, "contact_info_key"))                                                   # wide columns last
+    assigned = F.coalesce("ss_n", F.lit(0))
+    rows = _repeated(rows, F.greatest(assigned, F.lit(1)) * F.coalesce("side_n", F.lit(1)))
 
     c = F.col
     na = K.NOT_APPLICABLE
@@ -262,7 +293,7 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
               & c("apradeg_degc_code").isNull() & no_recent_gift, "FALSE")     # recent non-graduate, no gift
         .when((c("primary_donor_code") == K.PARENT)
               & (c("afrctyp_ask_amount") >= K.PARENT_ASK_LIMIT), "FALSE")      # parent with a large ask
-        .when(c("ss_key").isNotNull(), "FALSE")                                # has a staff solicitor
+        .when(assigned > 0, "FALSE")                                          # has a staff solicitor
         .otherwise("TRUE"))
     segment = decode("afrctyp_sol_org", p.org_segment_labels)
     if p.class_segment:
@@ -320,7 +351,7 @@ def constituent_extract(t: Tables, p: Params) -> DataFrame:
         streak("bf_consec_yrs_giving", "lyr_bf_consec_yrs_giving").alias("ConsecGivingYearsBF"),
         strip_token("parent_scy", na).alias("Parent_ClassYear"),
         decode("aprmail_mail_code", p.mail_labels).alias("SchulerStatus"),
-        true_false(c("con_key").isNotNull()).alias("NonBFGiving"),
+        true_false(c("gives")).alias("NonBFGiving"),
         c("student_names").alias("Student_Name"),
         c("student_genders").alias("Student_Gender"),
         c("student_activities").alias("Student_Activities"),

@@ -310,3 +310,46 @@ def test_streak_fallback_and_last_gift_masking(make_tables):
     assert out["000000014"].Constituent_LastGiftDate == "01/05/2000"
     assert out["000000014"].LastGiftDesignation == "Annual Fund"
     assert [out[f"{k:09d}"].Constituent_Selectable for k in keys] == ["FALSE", "FALSE", "TRUE", "TRUE"]
+
+
+def test_equal_and_different_side_rows_fan_out_as_the_joins_do(make_tables, monkeypatch):
+    """Three asks (two equal), two employments, a degree twice, one mail code
+    three times and two staff assignments: 3 x 2 x 2 x 3 x 2 rows."""
+    monkeypatch.setattr(extracts, "ASSIGNMENT_BLOCK", 5)
+    pidm = 100010
+    t = make_tables(
+        adv_reportvars_d=RV, adv_constituent_d=[person(k, scy="1960") for k in (1, 10, 12)] + [SENTINEL],
+        adv_contact_info_d=[(k,) + ("x",) * 12 for k in (10, 12)],
+        adv_donor_behavior_ps=[behavior(10), behavior(12)],
+        adv_household_b=[(k, k, -1, "n/a") for k in (10, 12)] + [(99, 10, -1, "another household")],
+        adv_donor_codes_d=[(1, "A", "Alumni")], adv_donor_group_b=[(1, 1)],
+        adv_staff_d=[(k, 1, "Y") for k in range(2)], adv_assignments_f=[(10, k, "Y", "STAF") for k in range(2)],
+        afrctyp=[(pidm, str(FY), D("5.00"), "GG"), (pidm, str(FY), D("5.00"), "GG"), (pidm, str(FY), None, "XX"),
+                 (pidm, "n/a", D("7.00"), "GG")],
+        aprehis=[(pidm, "Y", None, None, 100012, "one", None), (pidm, "Y", None, None, None, "two", "Elsewhere"), (pidm, "N", None, None, None, "no", None)],
+        apradeg=[(pidm, k, "000100", "BA", None) for k in (1, 2)],
+        aprmail=[(pidm, "SIO")] * 3 + [(None, "SIO")])
+    rows = extracts.constituent_extract(t, P).collect()
+    mine = [r for r in rows if r.Constituent_Externalid == "000000010"]
+    assert len(mine) == 3 * 2 * 2 * 3 * 2 and len(rows) == len(mine) + 1
+    assert sum(r.Constituent_AskAmount is None for r in mine) == len(mine) // 3
+    assert {(r.Business_JobTitle, r.Business_Employer) for r in mine} == {("one", "Last"), ("two", "Elsewhere")}
+    assert {r.Spouse_Name for r in mine} == {None}
+
+
+def test_shares_are_exact_for_every_measure(spark):
+    from decimal import ROUND_HALF_UP, localcontext
+
+    from patronage.functions import share
+    amounts = ["0.00", "0.01", "-0.01", "0.05", "10.00", "-10.00", "1000000000000000000.01", "999999999999999999999999999.4949",
+               "-123456789012345678901234567.0000000005", None]
+    rows = [(a and D(a), n) for a in amounts for n in (1, 2, 3, 7)]
+    df = spark.createDataFrame(rows, "a decimal(38,10), n int")
+    for places in (2, 4, 10):
+        for a, n, got in df.select("a", "n", share(F.col("a"), F.col("n"), places)).collect():
+            with localcontext() as c:
+                c.prec = 60
+                assert got == (a if a is None else (a / n).quantize(D(1).scaleb(-places), ROUND_HALF_UP)), (a, n)
+    over = spark.createDataFrame([(D("1e30"),)], "a decimal(38,0)")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        over.select(share(F.col("a"), F.lit(2), 4)).collect()
