@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from patronage.llm.common import binary_array, ids_and_text, slices, table, written
-from patronage.llm.packing import byte_letters, unit_ids
+from patronage.llm.packing import byte_letters, plain_ids
 
 A_NAME, B_NAME = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Steps of a merge piece, and links after which a task opens a new bucket.
@@ -166,7 +166,7 @@ FIELDS = {
 
 def _aligned(a_path: str, b_path: str, fields: list[str]):
     def run(batches):
-        in_a, in_b = unit_ids(a_path), piece_ids(b_path)
+        in_a, in_b = plain_ids(a_path), piece_ids(b_path)
         size_a = np.array([len(t) for t in a_bytes(a_path)])
         size_b, bytes_b = np.array([len(t) for t in in_b.bytes]), in_b.bytes
         vocabulary = len(size_b)
@@ -181,7 +181,7 @@ def _aligned(a_path: str, b_path: str, fields: list[str]):
                     b = in_b.text_ids(spaced) if text else []
                     if b and b"".join(map(bytes_b.__getitem__, b)) != spaced.encode("utf-8", "surrogatepass"):
                         b = []
-                    a_parts.append(np.frombuffer(in_a.text_ids(spaced) if b else b"", np.uint32))
+                    a_parts.append(np.frombuffer(in_a(spaced) if b else b"", np.uint32))
                     b_parts.append(np.array(b, np.uint32))
                 n_a, n_b = (np.array([len(x) for x in parts]) for parts in (a_parts, b_parts))
                 a, b = np.concatenate(a_parts), np.concatenate(b_parts)

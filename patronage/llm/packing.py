@@ -11,21 +11,26 @@ Null and empty texts are one piece: the end id alone.
 from __future__ import annotations
 
 import json
+import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from patronage.llm.common import ids_and_text, slices, table
-from patronage.llm.units import UnitIds
+from patronage.llm.units import WHITE, UnitIds
 
 TOKENIZER = "byte_bpe_50k.json"
 LONGEST, END_ID = 1024, 0
+#: Characters of a run of white space, or of anything else, from which a text is encoded unit by unit.
+LONG = 1000
 
 
 def byte_letters() -> dict[int, str]:
@@ -39,7 +44,7 @@ def byte_letters() -> dict[int, str]:
 @lru_cache(maxsize=2)
 def unit_ids(path: str) -> UnitIds:
     """One per worker process. The model of the tokenizer encodes single
-    matches; special tokens' strings are ordinary text."""
+    matches; added tokens' strings are ordinary text here."""
     tokenizer = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         kind = json.load(f)["pre_tokenizer"]
@@ -53,6 +58,51 @@ def unit_ids(path: str) -> UnitIds:
     return UnitIds(public_tokenizers.PATTERN, encode)
 
 
+@lru_cache(maxsize=2)
+def plain_ids(path: str) -> Callable[[str], bytes]:
+    """Ids of a whole text in which added tokens' strings are ordinary text.
+
+    Where the merges rise with the ids of what they make, the ids are ranks
+    and a text is encoded by them in one call; a text with a run of more than
+    ``LONG`` characters (which that call takes badly), and any text under other
+    merges, goes unit by unit."""
+    known, letters = unit_ids(path), {c: b for b, c in byte_letters().items()}
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocabulary = model["vocab"]
+    made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if any(x >= y for x, y in zip(made, made[1:])):
+        return known.text_ids
+    ranks = {bytes(map(letters.__getitem__, entry)): i for entry, i in vocabulary.items() if all(c in letters for c in entry)}
+    encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    long_run = re.compile(f"[^{WHITE}]{{{LONG}}}|[{WHITE}]{{{LONG}}}").search
+
+    def ids(text: str) -> bytes:
+        return known.text_ids(text) if long_run(text) else array("I", encode(text)).tobytes()
+    return ids
+
+
+@lru_cache(maxsize=2)
+def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, bytes]]:
+    """The strings that the tokenizer takes out of a text before it encodes
+    the rest, as a pattern (none: no such string), and their ids."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        raise ValueError(f"{path}: added tokens that look at what is beside them are not supported")
+    ids = {t["content"]: np.uint32(t["id"]).tobytes() for t in added}
+    longest_first = sorted(map(re.escape, ids), key=len, reverse=True)
+    return re.compile(f"({'|'.join(longest_first)})") if ids else None, ids
+
+
+def texts_ids(path: str, texts: list[str]) -> list[bytes]:
+    """Ids of whole texts, as ``Tokenizer.encode`` without special tokens gives
+    them: strings of added tokens that stand in a text are those tokens."""
+    plain, (pattern, added) = plain_ids(path), added_tokens(path)
+    parts = [pattern.split(t) if pattern and any(a in t for a in added) else [t] for t in texts]
+    return [b"".join([added[x] if k % 2 else plain(x) for k, x in enumerate(p)]) for p in parts]
+
+
 def piece_lengths(n: int, longest: int = LONGEST) -> list[int]:
     """Powers of two that add up to n, at most ``longest`` (a power of two),
     in falling order."""
@@ -62,14 +112,13 @@ def piece_lengths(n: int, longest: int = LONGEST) -> list[int]:
 
 def _pieces(path: str, longest: int, end_id: int):
     def run(batches):
-        known = unit_ids(path)
         end = np.uint32(end_id).tobytes()
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
             for i, j in slices(texts):
                 rows, starts, lengths, totals, bodies = [], [], [], [], []
-                for k in range(i, j):
-                    data = known.text_ids(texts[k]) + end
+                for k, data in enumerate(texts_ids(path, texts[i:j]), i):
+                    data += end
                     at, total = 0, len(data) // 4
                     for n in piece_lengths(total, longest):
                         rows.append(k)

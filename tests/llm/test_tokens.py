@@ -32,6 +32,11 @@ def hf():
     return t
 
 
+@pytest.fixture(scope="module")
+def as_loaded():
+    return Tokenizer.from_file(P.path(packing.TOKENIZER))
+
+
 @pytest.fixture(scope="module")
 def texts(spark):
     return ODD + [r.text for r in spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet").select("text").collect()]
@@ -44,6 +49,28 @@ def test_units_encode_like_the_libraries(tik, hf, texts):
         assert array("I", plain.text_ids(t)).tolist() == hf.encode(t, add_special_tokens=False).ids
 
 
+def whole_ids(texts):
+    return [array("I", x).tolist() for x in packing.texts_ids(P.path(packing.TOKENIZER), texts)]
+
+
+def test_added_tokens_are_taken_as_the_tokenizer_does(as_loaded):
+    end = "<|endoftext|>"
+    rows = ["a <|endoftext|> x", end, end * 3, f"{end} lead", f"trail {end}", f" \n{end}\n ", "<|endoftext", f"<{end}|>", f"x{end}y{end}"]
+    assert whole_ids(rows) == [as_loaded.encode(t, add_special_tokens=False).ids for t in rows]
+    assert whole_ids([rows[0]]) == [[64, 220, 50256, 2124]]
+
+
+def test_whole_texts_encode_like_the_tokenizer(as_loaded, texts, monkeypatch):
+    more = texts + ["ab " * 5 + "y" * 2500 + " z", "a" + " " * 2500 + "b", "\n" * 1500, "1" * 1200, "é" * 999 + " " + "é" * 1001]
+    assert whole_ids(more) == [as_loaded.encode(t, add_special_tokens=False).ids for t in more]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=20), st.text("aei rst.\n'\x1c\x85\u2028<|>", max_size=30), st.just("<|endoftext|>")), max_size=5))
+def test_any_texts_encode_like_the_tokenizer(as_loaded, parts):
+    assert whole_ids([*parts, "".join(parts)]) == [as_loaded.encode(t, add_special_tokens=False).ids for t in [*parts, "".join(parts)]]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.text(max_size=40), st.text("aeinrst hTé.\n'", max_size=60), st.binary(max_size=30).map(lambda b: b.decode("latin-1"))))
 def test_any_text_encodes_like_the_libraries(tik, hf, text):
