@@ -53,12 +53,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def rows_with(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id is among ``ids``
-    (one column); rows that repeat id and text are left once."""
-    chosen = ids.toDF("chosen_id").distinct()
-    row = docs.select(F.struct("*").alias("row")).join(chosen, F.col(f"row.{id_col}").cast("long").eqNullSafe(F.col("chosen_id")), "left_semi")
-    row = row.select("row", F.col(f"row.{id_col}").alias("i"), F.col(f"row.{text_col}").alias("t")).dropDuplicates(["i", "t"])
+def row_key(id_col: str | Column, *parts: Column) -> Column:
+    """One text that names a row: its id and what tells its text from others."""
+    c = F.col(id_col) if isinstance(id_col, str) else id_col
+    return F.concat_ws(":", F.coalesce(c.cast("long").cast("string"), F.lit("null")), *[p.cast("string") for p in parts])
+
+
+def rows_with(docs: DataFrame, keys: DataFrame, key: Column, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose ``key`` is among
+    ``keys`` (one column); of rows with one key that with the smallest text
+    stays. Rows are shuffled once, by key."""
+    row = docs.select(F.struct("*").alias("row"), key.alias("k"), F.col(text_col).alias("t"))
+    row = row.join(keys.toDF("k").distinct(), "k", "left_semi").groupBy("k").agg(F.min_by("row", F.coalesce("t", F.lit(""))).alias("row"))
     return row.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

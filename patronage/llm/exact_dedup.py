@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.common import binary_array, cut, ids_and_text, parallelism, rows_with, slices, table
+from patronage.llm.common import binary_array, cut, ids_and_text, parallelism, row_key, rows_with, slices, table
 
 BLANKS = b" \t\n\x0b\x0c\r"
 LEAST, MOST, CUT_BITS = 512, 8192, 11
@@ -144,6 +144,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are equal when identical without ASCII white space; of equal texts
     the one with the most code points in the original, then the smallest
     doc_id, stays. ``hash_bytes`` shortens the chunk hash (tests only)."""
+    return _grouped(docs, id_col, text_col, hash_bytes).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, hash_bytes: int) -> DataFrame:
+    """``exact_duplicates`` with each row's code points and its group's most."""
     spark = docs.sparkSession
     d = ids_and_text(docs, id_col, text_col)
     bodies = d.mapInArrow(_contents(hash_bytes), "h binary, body binary")
@@ -163,15 +168,18 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = (recipes.groupBy("recipe")
               .agg(F.count(F.lit(1)).alias("group_size"),
                    F.min(F.struct(-F.col("points"), F.col("doc_id").isNull(), "doc_id")).alias("best"))
-              .select("recipe", "group_size", F.col("best.doc_id").alias("keep_id")))
+              .select("recipe", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.col1")).alias("most")))
     return recipes.join(groups, "recipe").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "points", "most")
 
 
-def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, that stay; rows without doc_id share
-    one fate."""
-    return rows_with(docs, exact_duplicates(docs).where("kept").select("doc_id"))
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that stay: one of each group of equal
+    texts, also where an id stands with several texts or rows have no id."""
+    stay = _grouped(docs, id_col, text_col, 16).where("kept and points = most").select(row_key("doc_id", F.col("text_sha256"), F.col("points")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = row_key(id_col, F.sha2(F.translate(text, " \t\n\x0b\f\r", ""), 256), F.char_length(text))
+    return rows_with(docs, stay, key, text_col)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.common import cut, ids_and_text, parallelism, rows_with, sorted_runs, table, words_of
+from patronage.llm.common import cut, ids_and_text, parallelism, row_key, rows_with, sorted_runs, table, words_of
 from patronage.llm.components import connected_components
 
 SEED = 42
@@ -55,7 +55,7 @@ def _fingerprints(shingle: int):
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", *b.schema.names[2:]])
     return run
 
 
@@ -188,8 +188,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, fingerprint (16 hex digits), component_id: one row per document;
     documents whose fingerprints differ in at most ``radius`` bits, directly or
     through others, share the smallest doc_id as component_id."""
-    spark = docs.sparkSession
     fps = cut(ids_and_text(docs, id_col, text_col).mapInArrow(_fingerprints(shingle), "doc_id long, fp long"))
+    return _labelled(fps, radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _labelled(fps: DataFrame, radius: int) -> DataFrame:
+    """The rows (doc_id, fp, more) with their component_id."""
+    spark = fps.sparkSession
     reps = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     masks = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(block_masks(radius))])
     keyed = reps.where("rep is not null").select("fp", "rep", F.explode(masks).alias("k")).select("fp", "rep", "k.mask", "k.bits")
@@ -203,13 +208,18 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     comp = connected_components(links)
     labels = (reps.join(comp, reps.rep == comp.node, "left")
               .select(F.col("fp").alias("label_fp"), F.coalesce("component", "rep").alias("component_id")))
-    return fps.join(labels, fps.fp == labels.label_fp).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, of each group's smallest doc_id."""
-    return rows_with(docs, simhash_groups(docs).where("doc_id <=> component_id").select("doc_id"))
+    return fps.join(labels, fps.fp == labels.label_fp).drop("label_fp")
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+    """The rows, with all their columns, of each group's smallest doc_id; where
+    that id stands with several texts of the group, one of them. Of rows
+    without id one of each fingerprint that no row with id has stays."""
+    texts = ids_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    fps = cut(texts.mapInArrow(_fingerprints(shingle), "doc_id long, fp long, text_hash long"))
+    stay = (_labelled(fps, radius).where("doc_id <=> component_id").groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp"))
+            .agg(F.min("text_hash").alias("text_hash")).select(row_key("doc_id", F.col("text_hash"))))
+    return rows_with(docs, stay, row_key(id_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))), text_col)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

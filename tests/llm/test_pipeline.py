@@ -109,3 +109,16 @@ def test_quality_filter_matches_the_scores(spark, edge_docs):
     model = quality.learn(edge_docs, labels, "true")
     want = sorted(str(r.doc_id) for r in quality.scores(edge_docs, model).where("predicted = 1").collect())
     assert sorted(str(r.doc_id) for r in quality.accepted(edge_docs, model).collect()) == want
+
+
+def test_an_id_with_several_texts_keeps_only_what_stays(make_docs):
+    def left(f, rows):
+        return sorted(((r.doc_id, r.text) for r in f(make_docs(rows)).collect()), key=str)
+    rows = [(0, "same text b"), (1, "alpha longer text"), (1, "same text b"), (2, "same  text b"), (2, "other"), (None, "other"), (None, "own"), (None, "own")]
+    assert left(without_copies, rows) == [(1, "alpha longer text"), (2, "other"), (2, "same  text b"), (None, "own")]
+    assert left(without_copies, [(5, "ab"), (5, "a b"), (5, "a b"), (5, None), (5, "")]) in ([(5, ""), (5, "a b")], [(5, None), (5, "a b")])
+    near = "one two three four five six seven eight nine ten " * 8
+    rows = [(0, near), (1, near + "x"), (1, "something else entirely here"), (3, near), (3, near + "x"), (None, near), (None, "no id at all"), (None, "no id at all")]
+    assert left(without_near_copies, rows) == [(0, near), (1, "something else entirely here"), (None, "no id at all")]
+    twice = left(without_near_copies, [(0, near), (0, near + "x")])
+    assert len(twice) == 1
