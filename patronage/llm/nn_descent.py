@@ -1,8 +1,8 @@
 """Embedding near-duplicates by NN-descent.
 
-Vectors of one label form a neighbour graph. It starts from the leaves of
-random-hyperplane trees, as many as make a linked pair share a leaf with
-probability 0.999, and is refined by neighbours-of-neighbours joins: a node
+Vectors of one label form a neighbour graph. It starts from the leaves of trees
+of random hyperplanes through the label's centre, as many as make a linked pair
+share a leaf with probability 0.999 (at most ``TREES``), and is refined by neighbours-of-neighbours joins: a node
 sends its vector to the nodes it is listed with, and each of these compares
 the vectors it got. A list keeps its best ``LIST`` neighbours and, while they
 are links, is enlarged up to ``FULL``. Rounds end when one adds no link. Nodes
@@ -10,9 +10,14 @@ still saturated at ``FULL`` links are dense: their links to each other are
 counted exactly, tile by tile, and no pair is written. A tile holds rows of one
 component; tiles of one label meet, also across components, unless the angle
 between their centres exceeds their reaches and the threshold's angle, and
-links between components unite them. An audit compares a bounded set of queries
-with all rows; more trees follow until its recall is reached, and the run fails
-if it is not.
+links between components unite them.
+
+Two audits follow every forest. The trees of the next forest, drawn apart from
+all before, are grown: the share of their links that the graph holds already is
+the share it holds of all. And a bounded set of queries, half of them ends of
+those links so that rare links are seen, is compared with all rows. Unless both
+reach the recall, the new trees' edges join the graph and the rounds go on; the
+run fails if the last forest does not reach it.
 
 Exact copies are one node with a multiplicity. Vectors that are null, zero or
 hold null or non-finite components, and those without label, link with
@@ -22,6 +27,7 @@ nothing; so do vectors of different length. Repeated rows count as vectors.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,7 @@ from patronage.llm.components import connected_components
 
 LIST, FULL = 6, 64
 LEAF, HUB, TILE = 256, 128, 2048
-ROUNDS, FORESTS = 8, 4
+ROUNDS, FORESTS, TREES = 8, 6, 64
 AUDIT_ROWS, AUDIT_RECALL = 256, 0.995
 #: A signature has at most so many bits; leaves of longer ones are chunks in its order.
 BITS = 30
@@ -91,6 +97,39 @@ def _runs(batches, columns: int):
         yield held.combine_chunks()
 
 
+def _sums(kind: str):
+    """(g, pos, s): sums of the unit vectors of a batch by component."""
+    def run(batches):
+        for b in batches:
+            group, vs = b.column(0).to_numpy(), b.column(1).to_pylist()
+            for g in np.unique(group).tolist():
+                x = unit([vs[i] for i in np.flatnonzero(group == g)], kind).sum(axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), g)), pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x)], ["g", "pos", "s"])
+    return run
+
+
+def _sized(nodes: DataFrame, kind: str) -> DataFrame:
+    """(g, size, centre): the nodes of a label, and the mean of their unit
+    vectors where they fill more than one leaf (else null)."""
+    sizes = nodes.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    large = sizes.where(F.col("size") > LEAF // 2)
+    sums = nodes.join(large, "g").select("g", "v").mapInArrow(_sums(kind), "g long, pos int, s double").groupBy("g", "pos").agg(F.sum("s").alias("s"))
+    centre = sums.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("c"))
+    return cut(sizes.join(centre, "g", "left").withColumn("centre", F.expr("transform(c, x -> x.s / size)")).drop("c"))
+
+
+def _trees(sizes: DataFrame, threshold: float) -> int:
+    """Trees that make a pair at the threshold share a leaf with probability
+    0.999, in the label that needs most: seen from the centre, the pair's angle
+    is wider the closer the label's vectors lie to it."""
+    radius = F.expr("sqrt(greatest(1 - aggregate(centre, 0D, (a, x) -> a + x * x), 1e-9D))")
+    angle = 2 * F.asin(F.least(F.lit(1.0), math.sqrt(2 - 2 * threshold) / (2 * radius)))
+    bits = F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(F.log2(2 * F.col("size") / LEAF))))
+    together = F.least(F.lit(0.9999), F.greatest(F.lit(1e-9), F.pow(1 - angle / math.pi, bits)))
+    need = F.ceil(math.log(0.001) / F.log(1 - together))
+    return min(TREES, int(sizes.where("centre is not null").agg(F.max(need)).first()[0] or 1))
+
+
 def _signatures(kind: str, trees: int, seed: int):
     """One row per tree: (leaf, signature, rid, v); a leaf takes as many bits
     of the signature as bring its label's rows to about LEAF / 2."""
@@ -103,6 +142,11 @@ def _signatures(kind: str, trees: int, seed: int):
             for n in np.unique(lengths).tolist():
                 at = np.flatnonzero(lengths == n)
                 x = unit([vs[i] for i in at], kind)
+                for g in np.unique(group[at]).tolist():
+                    k = np.flatnonzero(group[at] == g)
+                    centre = b.column(4)[int(at[k[0]])].as_py()
+                    if centre is not None:
+                        x[k] -= np.array(centre)
                 if n not in planes:
                     planes[n] = np.random.default_rng([seed, n]).normal(size=(trees, x.shape[1], BITS))
                 bits = np.clip(np.ceil(np.log2(np.maximum(2 * size[at] / LEAF, 1))), 0, BITS).astype(np.int64)
@@ -286,9 +330,10 @@ def _pairs(rows: DataFrame, key: str, own: str, parts: str) -> DataFrame:
     return first.unionByName(rows.where(F.col(own) != F.col("k")).withColumn("pair", F.xxhash64(key, "k", own)).withColumn("mine", F.lit(2)))
 
 
-def _counts(graph: DataFrame, links: DataFrame, comp: DataFrame, nodes: DataFrame, kind: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(rid, n): vectors that each node links to, copies of its own aside; and
-    (u, v): links between dense nodes that unite all components they connect."""
+def _counts(graph: DataFrame, links: DataFrame, comp: DataFrame, nodes: DataFrame, kind: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rid, n): vectors that each node links to, copies of its own aside;
+    (u, v): links between dense nodes that unite all components they connect;
+    and (rid) of the dense nodes."""
     spark = graph.sparkSession
     n = parallelism(spark)
     dense = graph.where(F.col("sim") >= threshold).groupBy("a").count().where(F.col("count") >= FULL).select(F.col("a").alias("rid"))
@@ -309,13 +354,42 @@ def _counts(graph: DataFrame, links: DataFrame, comp: DataFrame, nodes: DataFram
     second = near.where("a <> b").join(rows, F.col("b") == rows.tile).select("pair", F.lit(2).alias("mine"), "rid", "mult", "v")
     exact = cut(first.unionByName(second).repartition(n, "pair").sortWithinPartitions("pair").mapInArrow(_tile_counts(kind, threshold), "rid long, n long, other long"))
     uniting = exact.where("other >= 0").select(F.least("rid", "other").alias("u"), F.greatest("rid", "other").alias("v"))
-    return plain.unionByName(exact.select("rid", "n")).groupBy("rid").agg(F.sum("n").alias("n")), uniting
+    return plain.unionByName(exact.select("rid", "n")).groupBy("rid").agg(F.sum("n").alias("n")), uniting, dense
+
+
+def _asked(nodes: DataFrame, control: DataFrame, kind: str, threshold: float) -> dict[int, int]:
+    """The audit's queries, AUDIT_ROWS nodes by hash and as many ends of
+    ``control`` links, and the vectors each of them links to."""
+    by = (F.xxhash64("rid"), "rid")
+    ends = control.select(F.explode(F.array("u", "v")).alias("rid")).distinct().orderBy(*by).limit(AUDIT_ROWS)
+    some = nodes.select("rid").orderBy(*by).limit(AUDIT_ROWS)
+    asked = [(r.rid, r.g, bytes(r.v)) for r in nodes.select("rid", "g", "v").join(ends.union(some).distinct(), "rid").collect()]
+    counts = nodes.select("rid", "g", "mult", "v").mapInArrow(_audited(kind, threshold, asked), "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
+    return {r.rid: r.n for r in counts.collect()}
+
+
+class Audit(NamedTuple):
+    """After a forest: the share of the next trees' links that were known and
+    their number, the share of the queries' links that were found and theirs.
+    Without links to judge by, a share is None."""
+
+    known: float | None
+    tree_links: int
+    recall: float | None
+    query_links: int
+
+    def reached(self) -> bool:
+        return all(x is None or x >= AUDIT_RECALL for x in (self.known, self.recall))
+
+
+def _share(part: int, whole: int) -> float | None:
+    return part / whole if whole else None
 
 
 def embedding_groups(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                      audit: list | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vector. ``audit``, a
-    list, receives the audited recall after every forest."""
+    list, receives the ``Audit`` after every forest."""
     spark = vectors.sparkSession
     kind = "<f4" if vectors.schema[vector_col].dataType.elementType == T.FloatType() else "<f8"
     item = "float" if kind == "<f4" else "double"
@@ -324,23 +398,18 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.98, id_col: str =
     able = rows.where("label is not null and v is not null")
     nodes = able.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("mult"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("rid"), F.xxhash64("label", F.octet_length("v")).alias("g"), "label", "v", "least", "mult"))
-    sizes = nodes.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.agg(F.max("size")).first()[0] or 0
-    sized = nodes.join(sizes, "g").select("rid", "g", "size", "v")
-    bits = min(BITS, max(0, math.ceil(math.log2(max(2 * largest / LEAF, 1)))))
-    together = (1 - math.acos(threshold) / math.pi) ** bits
-    trees = 1 if together > 0.999 else math.ceil(math.log(0.001) / math.log(1 - together))
-    asked = [(r.rid, r.g, bytes(r.v)) for r in nodes.select("rid", "g", "v").orderBy(F.xxhash64("rid"), "rid").limit(AUDIT_ROWS).collect()]
-    truth = {r.rid: r.n for r in nodes.select("rid", "g", "mult", "v").mapInArrow(_audited(kind, threshold, asked), "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n")).collect()}
-
-    graph, seen = None, -1
-    for forest in range(FORESTS):
+    sizes = _sized(nodes, kind)
+    sized = nodes.join(sizes, "g").select("rid", "g", "size", "v", "centre")
+    trees = _trees(sizes, threshold)
+
+    def grown(forest: int) -> DataFrame:
         leaves = sized.mapInArrow(_signatures(kind, trees, forest), "leaf long, sign long, rid long, g long, v binary")
-        start = (leaves.repartition(parallelism(spark), "leaf").sortWithinPartitions("leaf", "sign", F.xxhash64("rid", "leaf"))  # equal signatures are shuffled anew in every tree
-                 .mapInArrow(_leaf_edges(kind, threshold), "a long, b long, sim double").withColumn("fresh", F.lit(True)))
-        if graph is not None:
-            start = start.unionByName(graph.select("a", "b", "sim", F.lit(False).alias("fresh")))
-        graph = cut(_lists(start, threshold))
+        return (leaves.repartition(parallelism(spark), "leaf").sortWithinPartitions("leaf", "sign", F.xxhash64("rid", "leaf"))  # equal signatures are shuffled anew in every tree
+                .mapInArrow(_leaf_edges(kind, threshold), "a long, b long, sim double").withColumn("fresh", F.lit(True)))
+
+    graph, seen = cut(_lists(grown(0), threshold)), -1
+    truth = None
+    for forest in range(FORESTS):
         for k in range(ROUNDS):
             graph = cut(_lists(_join_round(graph, nodes, kind, threshold, forest * ROUNDS + k), threshold))
             now = graph.where(F.col("sim") >= threshold).count()
@@ -349,16 +418,26 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.98, id_col: str =
             seen = now
         links = cut(_links(graph, threshold))
         comp = connected_components(links)
-        counts, uniting = _counts(graph, links, comp, nodes, kind, threshold)
+        counts, uniting, dense = _counts(graph, links, comp, nodes, kind, threshold)
         counts = cut(counts)
-        got = {r.rid: r.n for r in counts.where(F.col("rid").isin([q[0] for q in asked])).collect()}
-        recall = sum(min(n, got.get(r, 0)) for r, n in truth.items()) / max(1, sum(truth.values())) if any(truth.values()) else 1.0
+        fresh = cut(_lists(grown(forest + 1), threshold))
+        control = cut(_links(fresh, threshold))
+        # Links between two dense nodes are counted without being listed.
+        judged = (control.join(dense.select(F.col("rid").alias("u"), F.lit(1).alias("du")), "u", "left")
+                  .join(dense.select(F.col("rid").alias("v"), F.lit(1).alias("dv")), "v", "left").where("du is null or dv is null"))
+        held, whole = judged.join(links.withColumn("held", F.lit(1)), ["u", "v"], "left").agg(F.count("held"), F.count(F.lit(1))).first()
+        if truth is None:
+            truth = _asked(nodes, control, kind, threshold)
+        got = {r.rid: r.n for r in counts.where(F.col("rid").isin(list(truth))).collect()}
+        wanted = sum(truth.values())  # every counted link was compared, so a node's count tells what it lacks
+        state = Audit(_share(held, whole), whole, _share(sum(min(n, got.get(r, 0)) for r, n in truth.items()), wanted), wanted)
         if audit is not None:
-            audit.append(recall)
-        if recall >= AUDIT_RECALL:
+            audit.append(state)
+        if state.reached():
             break
+        graph = cut(_lists(graph.select("a", "b", "sim", F.lit(False).alias("fresh")).unionByName(fresh.select("a", "b", "sim", "fresh")), threshold))
     else:
-        raise RuntimeError(f"op4: {FORESTS} forests found {recall:.4f} of the audited links, {AUDIT_RECALL} are asked for")
+        raise RuntimeError(f"op4: after {FORESTS} forests the audited recall is {state}, {AUDIT_RECALL} is asked for")
     of = comp.withColumnRenamed("node", "u").withColumnRenamed("component", "cu")
     across = cut(uniting.join(of, "u").join(of.toDF("v", "cv"), "v").where("cu <> cv").select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct())
     if not across.isEmpty():

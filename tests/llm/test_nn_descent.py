@@ -56,7 +56,7 @@ def test_equals_brute_force(spark, full, monkeypatch):
     audit = []
     got = sorted(map(tuple, embedding_groups(frame(spark, rows), audit=audit).collect()))
     assert got == brute(rows)
-    assert audit[-1] >= 0.995
+    assert audit[-1].reached() and audit[-1].query_links > 100
 
 
 def test_links_between_dense_clusters_of_one_label(spark):
@@ -71,6 +71,49 @@ def test_links_between_dense_clusters_of_one_label(spark):
     assert len(audit) == 1
 
 
+def test_rare_links_about_a_common_mean(spark, monkeypatch):
+    """Most vectors lie within 30 degrees of their mean and 15 pairs in 6,000
+    are links: random queries would see none of them."""
+    monkeypatch.setattr(nn_descent, "AUDIT_ROWS", 40)
+    rng = np.random.default_rng(1)
+    mean = rng.normal(size=48)
+    mean *= 3 / np.linalg.norm(mean)
+    noise = rng.normal(size=(6000, 48))
+    x = mean + noise / np.linalg.norm(noise, axis=1)[:, None]
+    near = x[:15] / np.linalg.norm(x[:15], axis=1)[:, None]
+    aside = rng.normal(size=(15, 48))
+    aside -= (aside * near).sum(axis=1)[:, None] * near
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    x[-15:] = 0.981 * near + math.sqrt(1 - 0.981 ** 2) * aside
+    rows = [(k, v.astype(np.float32).tolist(), 1) for k, v in enumerate(x)]
+    audit = []
+    got = sorted(map(tuple, embedding_groups(frame(spark, rows), audit=audit).collect()))
+    assert got == brute(rows)
+    assert sum(n for _, n, _, _ in got) >= 30
+    assert audit[-1].reached() and audit[-1].tree_links >= 10 and audit[-1].query_links >= 20
+
+
+def test_too_few_trees_are_noticed_and_mended(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "TREES", 1)
+    monkeypatch.setattr(nn_descent, "LEAF", 16)
+    monkeypatch.setattr(nn_descent, "FORESTS", 30)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 12))
+    x[-200:] = x[:200] + rng.normal(size=(200, 12)) * 0.15
+    rows = [(k, v.astype(np.float32).tolist(), 1) for k, v in enumerate(x)]
+    audit = []
+    got = sorted(map(tuple, embedding_groups(frame(spark, rows), audit=audit).collect()))
+    want = sum(n for _, n, _, _ in brute(rows))
+    assert not audit[0].reached() and audit[-1].reached()
+    assert sum(n for _, n, _, _ in got) >= 0.98 * want > 100
+
+
+def test_an_audit_without_links_claims_no_recall(spark):
+    audit = []
+    embedding_groups(frame(spark, [(1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1)]), audit=audit).collect()
+    assert audit == [(None, 0, None, 0)]
+
+
 def test_parts_of_a_hub_are_dealt_anew(spark, monkeypatch):
     monkeypatch.setattr(nn_descent, "HUB", 4)
     rng = np.random.default_rng(8)
