@@ -14,7 +14,6 @@ sample the score is the smoothed share of class 1.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -195,13 +194,18 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows, with all their columns, whose text scores at least ``threshold``."""
+    """The rows, with all their columns, whose text scores at least
+    ``threshold``. Rows stay Arrow batches, scored and cut slice by slice."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t or "") for t in texts], dtype="float64")
-    return docs.where(score(F.coalesce(F.col(text_col), F.lit(""))) >= threshold)
+    def run(batches):
+        model = shared.value
+        for b in batches:
+            texts = [t or "" for t in b.column(at).to_pylist()]
+            for i, j in slices(texts):
+                yield b.slice(i, j - i).filter(pa.array([model.score(t) >= threshold for t in texts[i:j]], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
 
 
 TRAIN = "crc32(coalesce(cast(doc_id as string), '')) % 5 <> 0"
