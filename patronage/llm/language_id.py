@@ -27,6 +27,8 @@ from patronage.llm.common import fold, ids_and_text, slices, table
 
 #: The sample of a language: documents (smallest hashes), characters of a piece, symbols in all.
 SAMPLE_ROWS, SAMPLE_PIECE, SAMPLE_SYMBOLS = 48, 256, 16384
+#: Symbols of all languages' samples; with more than 64 languages each has an equal part of them.
+TABLE_SYMBOLS = 1 << 20
 SEGMENT = 1024
 #: Symbols: 0 nothing, 1 blank, letters, and a few shared by rare letters.
 SYMBOLS, SHARED = 64, 4
@@ -91,9 +93,10 @@ class Model:
     def __init__(self, samples: dict[str, list[str]]):
         self.names = sorted(samples)
         self.alphabet = Alphabet([t for n in self.names for t in samples[n]])
+        size = min(SAMPLE_SYMBOLS, TABLE_SYMBOLS // max(1, len(self.names)))
         tables, self.roots, self.bits, rows = [], [], [], 0
         for n in self.names:
-            sample = np.concatenate([np.append(self.alphabet.symbols(t), 1) for t in samples[n]])[:SAMPLE_SYMBOLS].astype(np.uint8)
+            sample = np.concatenate([np.append(self.alphabet.symbols(t), 1) for t in samples[n]])[:size].astype(np.uint8)
             go = suffix_automaton(sample)
             step = np.where(go >= 0, 2 * (go + rows) * SYMBOLS, 2 * (np.maximum(go[0], 0) + rows) * SYMBOLS + 1)
             step[0] |= 1  # every step from the empty state begins a phrase
@@ -182,7 +185,8 @@ def _predict(shared):
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score: one row per document, from its text alone.
-    The model is broadcast: at most 2 * SAMPLE_SYMBOLS * SYMBOLS * 4 bytes (8 MB) a language."""
+    The model is broadcast: at most 2 * SAMPLE_SYMBOLS * SYMBOLS * 4 bytes (8 MB) a language, and
+    2 * TABLE_SYMBOLS * SYMBOLS * 4 bytes (512 MB) in all, whatever the number of languages."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return ids_and_text(docs, id_col, text_col, empty=False).mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double")
 

@@ -96,3 +96,15 @@ def test_op3_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     held = [r for r in got if r.held_out]
     assert sum(r.lang_pred == want[r.doc_id] for r in held) > 0.97 * len(held)
+
+
+def test_table_is_bounded_in_languages(monkeypatch):
+    monkeypatch.setattr(li, "TABLE_SYMBOLS", 60_000)
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(6000)]
+    samples = {f"l{k:03}": [" ".join(words[10 * k:10 * k + 10])] * 5 for k in range(600)}
+    model = li.Model(samples)
+    assert len(model.table) <= 2 * (60_000 + 600) * li.SYMBOLS
+    assert int(model.table.max()) < 2 * len(model.table) and int(model.table.min()) >= 0
+    names, _ = model.predict([samples[n][0] for n in samples])
+    assert names == list(samples)
