@@ -23,6 +23,7 @@ gram falls to the uniform distribution and every base score to log10(0.1/0.1).
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -233,6 +234,13 @@ def _word_counts(batches):
             yield _blocks(b[i:i + BLOCK_ROWS], words.take(pa.array(part)), n[part])
 
 
+def looked_up(keys: np.ndarray, values: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The value of each code; every code is among the sorted ``keys``. Codes
+    repeat, and searches in rising order stay near each other in memory."""
+    some, at = np.unique(code, return_inverse=True)
+    return values[np.searchsorted(keys, some)][at]
+
+
 def _scores(order: int, n: int, v: int):
     """Scores of a bucket's documents from the blocks of its grams and words."""
     def run(docs, values):
@@ -242,19 +250,20 @@ def _scores(order: int, n: int, v: int):
         by = np.argsort(grams)
         grams, gram_value = grams[by], gram_value[by]
         keys, count = _unpacked(blocks, pa.binary())
-        words = dict(zip(keys.to_pylist(), count.tolist(), strict=True))
+        unseen = np.log10(0.1 / (n + 0.1 * (v + 1)))
+        words = dict(zip(keys.to_pylist(), np.where(count > 0, np.log10((count + 0.1) / (n + 0.1 * (v + 1))), unseen).tolist(), strict=True))
         del blocks, keys, count, by
         texts = docs.column("text").to_pylist()
         tokens, known, base, score = [], [], [], []
         for i, j in slices(texts, SLICE):
             pairs = [coded(t) for t in texts[i:j]]
             code, starts = grams_of([x[1] for x in pairs], order)
-            score.append(np.add.reduceat(gram_value[np.searchsorted(grams, code)], starts))
+            score.append(np.add.reduceat(looked_up(grams, gram_value, code), starts))
             for w, _ in pairs:
-                c = np.array([*map(words.__getitem__, w), words[NO_WORD]])
+                c = np.fromiter(map(words.__getitem__, chain(w, [NO_WORD])), float, len(w) + 1)
                 tokens.append(len(c))
-                known.append(int((c > 0).sum()))
-                base.append(float(np.log10((c + 0.1) / (n + 0.1 * (v + 1))).sum()))
+                known.append(int(np.count_nonzero(c != unseen)))
+                base.append(float(c.sum()))
         return pa.table({
             "doc_id": docs.column("doc_id"), "held_out": pa.array([not x for x in docs.column("train").to_pylist()], pa.bool_()),
             "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(known, pa.int64()),

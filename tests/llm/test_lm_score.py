@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from patronage.llm import lm_score
@@ -89,3 +90,25 @@ def test_op9_on_the_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = op9_lm_score(spark, sf).collect()
     check(rows, got, lambda i: zlib.crc32(str(i).encode()) % 10, lm_score.ORDER)
+
+
+def test_each_gram_of_a_slice_is_looked_up_once(monkeypatch):
+    texts = ["the cat sat on the mat " * 2000, "a dog " * 5000]
+    lines = [lm_score.coded(t)[1] for t in texts]
+    code, starts = lm_score.grams_of(lines)
+    grams = np.unique(code)
+    value = -np.arange(1.0, len(grams) + 1)
+    words = {w: k for k, w in enumerate(sorted({w for t in texts for w in lm_score.words_of(t)} | {lm_score.NO_WORD}))}
+    blocks = [*lm_score._blocks(np.zeros(len(grams), np.int32), pa.array(grams.view(np.int64)), value).column("block"),
+              *lm_score._blocks(np.zeros(len(words), np.int32), pa.array(list(words), pa.binary()), np.array([float(x) for x in words.values()])).column("block")]
+    asked, search = [], np.searchsorted
+    monkeypatch.setattr(lm_score.np, "searchsorted", lambda a, v, *k, **kw: asked.append(np.size(v)) or search(a, v, *k, **kw))
+    got = lm_score._scores(lm_score.ORDER, 21, 7)(pa.table({"doc_id": [1, 2], "text": texts, "train": [True, False]}), pa.table({"block": pa.array([b.as_py() for b in blocks], pa.binary())}))
+    monkeypatch.undo()
+    assert sum(asked) <= len(grams)
+    want = np.add.reduceat(value[search(grams, code)], starts)
+    assert got.column("score").to_pylist() == want.tolist()
+    for k, t in enumerate(texts):
+        c = np.array([words[w] for w in [*lm_score.words_of(t), lm_score.NO_WORD]])
+        assert got.column("n_known")[k].as_py() == (c > 0).sum() and got.column("n_tokens")[k].as_py() == len(c)
+        assert got.column("base_score")[k].as_py() == pytest.approx(np.log10((c + 0.1) / (21 + 0.1 * 8)).sum())
