@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,12 @@ from pyspark.sql import functions as F
 from patronage.session import ensure_checkpoint_dir
 
 SLICE_BYTES = 1 << 20
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,18 +42,47 @@ def fold(id_col: str | Column, mod: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit(""))) % F.lit(mod)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries run in here drop their shuffle files when they end, as their
+    result is kept and nothing reads the files again."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Long texts go to Python workers in batches of few bytes instead of
+    10,000 rows, unless the session has a bound."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
+def again(df: DataFrame) -> DataFrame:
+    """The same rows planned anew, under the settings of now."""
+    return df.select("*")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute once into the shared checkpoint folder and cut the lineage:
     a later loss of an executor rereads files instead of recomputing."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_freed(df.sparkSession):
+        return again(df).checkpoint(eager=True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """Like ``cut`` for large results: a Parquet table in the shared folder,
     compressed and read by column."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        again(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -46,6 +46,8 @@ DRIFT = 16
 #: and every LEAST shingles of a passage hold a window's place, so the windows
 #: of a passage still cover it.
 REACH = 255
+#: Rows of the second meeting that leave a task together.
+KEYS = 1 << 15
 MIX = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -76,27 +78,24 @@ def minima(key: np.ndarray, least: int) -> np.ndarray:
     return np.minimum(low[:len(low) - rest], low[rest:]) if rest else low
 
 
-def tree_bounds(keys: list[int], places: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
+def tree_bounds(keys: np.ndarray, places: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For nodes in order of place: how far each reaches to either side before
-    a smaller key. ``ends`` are the ends of the documents (exclusive); a stack
-    of rising keys, emptied at each end, is the tree's right spine."""
-    left, right = [0] * len(keys), [0] * len(keys)
-    spine: list[int] = []
-    doc, start, end = -1, 0, 0
-    for i, (k, p) in enumerate(zip(keys, places, strict=True)):
-        if p >= end:
-            for s in spine:
-                right[s] = end - 1
-            spine = []
-            while p >= end:
-                doc += 1
-                start, end = end, ends[doc]
-        while spine and keys[spine[-1]] > k:
-            right[spine.pop()] = p - 1
-        left[i] = places[spine[-1]] + 1 if spine else start
-        spine.append(i)
-    for s in spine:
-        right[s] = end - 1
+    a smaller key, within its document (``start`` to ``end``, exclusive).
+    Blocks of 2^t nodes that hold no smaller key are passed, longest first."""
+    n = len(keys)
+    low = [keys]  # smallest key of 1, 2, 4... nodes, by the first
+    while 2 << len(low) - 1 <= n:
+        width = 1 << len(low) - 1
+        low.append(np.minimum(low[-1][:-width], low[-1][width:]))
+    before, after = np.arange(n), np.arange(1, n + 1)
+    for t in range(len(low) - 1, -1, -1):
+        width = 1 << t
+        at = before - width
+        before = np.where((at >= 0) & (low[t][np.maximum(at, 0)] > keys), at, before)
+        free = (after + width <= n) & (low[t][np.minimum(after, n - width)] >= keys)
+        after = np.where(free, after + width, after)
+    left = np.where(before > 0, np.maximum(start, places[before - 1] + 1), start)
+    right = np.where(after < n, np.minimum(end, places[np.minimum(after, n - 1)]), end) - 1
     return left, right
 
 
@@ -112,11 +111,12 @@ def compact_windows(docs: list[np.ndarray], which: int, least: int = LEAST) -> t
     key = h & np.uint64(0xFFFFFFFF00000000) | np.arange(len(x), dtype=np.uint64)
     doc_of = np.repeat(np.arange(len(docs)), sizes)
     low = minima(key, least)
-    nodes = np.unique((low & np.uint64(0xFFFFFFFF))[doc_of[:len(low)] == doc_of[least - 1:]]).astype(np.int64)
-    left, right = tree_bounds(key[nodes].tolist(), nodes.tolist(), ends.tolist())
+    nodes = (low & np.uint64(0xFFFFFFFF))[doc_of[:len(low)] == doc_of[least - 1:]].astype(np.int64)
+    nodes = nodes[sorted_runs(nodes)[:-1]]  # the place of a moving minimum never goes back
     d = doc_of[nodes]
     start = (ends - sizes)[d]
-    return d, np.array(left, np.int64) - start, nodes - start, np.array(right, np.int64) - start, h[nodes].view(np.int64)
+    left, right = tree_bounds(key[nodes], nodes, start, ends[d])
+    return d, left - start, nodes - start, right - start, h[nodes].view(np.int64)
 
 
 def _windows(batches):
@@ -156,10 +156,17 @@ def _first_holders(batches):
 
 def run_hashes(x: np.ndarray, least: int = LEAST) -> np.ndarray:
     """Hashes of the runs of ``least`` shingles, by the place of their first."""
-    out = np.zeros(len(x) - least + 1, np.uint64)
-    for k in range(least):
-        out = out * STEP + x[k:len(out) + k]
-    return out ^ out >> np.uint64(29)
+    n = len(x) - least + 1
+    out, done = np.zeros(n, np.uint64), 0
+    part, width, power = x, 1, int(STEP)  # sums over runs of 1, 2, 4... by the place of their first
+    while True:
+        if least & width:
+            out = out * np.uint64(power) + part[done:done + n]
+            done += width
+        if done == least:
+            return out ^ out >> np.uint64(29)
+        part = part[:-width] * np.uint64(power) + part[width:]
+        width, power = 2 * width, power * power % 2**64
 
 
 def open_keys(x: np.ndarray, sigs: np.ndarray, ws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,6 +188,7 @@ def open_keys(x: np.ndarray, sigs: np.ndarray, ws: np.ndarray) -> tuple[np.ndarr
 
 def _open_keys(batches):
     """Rows (doc, windows, text) -> (sig, doc, w) of the second meeting."""
+    held, size = [], 0
     for b in batches:
         for doc, windows, text in zip(*(c for c in b.columns), strict=True):
             x = shingles(words_of(text.as_py()))
@@ -188,7 +196,17 @@ def _open_keys(batches):
                 continue
             at = windows.values
             key, w = open_keys(x, at.field("sig").to_numpy(), at.field("w").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), doc.as_py())), pa.array(w)], ["sig", "doc", "w"])
+            held.append((key, np.full(len(key), doc.as_py()), w))
+            size += len(key)
+            if size >= KEYS:
+                yield _key_batch(held)
+                held, size = [], 0
+    if held:
+        yield _key_batch(held)
+
+
+def _key_batch(held) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], ["sig", "doc", "w"])
 
 
 def _regions(batches):
@@ -196,32 +214,52 @@ def _regions(batches):
     documents; windows join while they overlap at about the same offset."""
     pair, open_ = None, []
     for batch in batches:
+        if not len(batch):
+            continue
         out = []
-        for b, a, w, aw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            bm, am = w >> 16, aw >> 16
-            bl = bm - (w >> 8 & 255)
-            if (b, a) != pair:
+        b, a, w, aw = (c.to_numpy() for c in batch.columns)
+        bm, off = w >> 16, (w >> 16) - (aw >> 16)
+        lo, hi = bm - np.minimum(w >> 8 & 255, aw >> 8 & 255), bm + np.minimum(w & 255, aw & 255)
+        rows = [c.tolist() for c in (bm - (w >> 8 & 255), lo, hi, off, lo - off, hi - off)]
+        # a run: each window would join the region that the one before it has just joined or begun
+        same = (b[1:] == b[:-1]) & (a[1:] == a[:-1])
+        starts = np.flatnonzero(np.concatenate([[True], ~(same & (np.abs(off[1:] - off[:-1]) <= DRIFT) & (lo[1:] <= hi[:-1] + 1) & (hi[1:] >= lo[:-1] - 1))]))
+        ends = np.append(starts[1:], len(b))
+        runs = [c.tolist() for c in (b[starts], a[starts], starts, ends, np.minimum.reduceat(lo, starts), np.maximum.reduceat(hi, starts), off[ends - 1],
+                                     np.minimum.reduceat(lo - off, starts), np.maximum.reduceat(hi - off, starts))]
+        for b_, a_, i, j, *whole in zip(*runs, strict=True):
+            if (b_, a_) != pair:
                 out += open_
-                pair, open_ = (b, a), []
-            before, after = min(w >> 8 & 255, aw >> 8 & 255), min(w & 255, aw & 255)
-            lo, hi, off = bm - before, bm + after, bm - am
-            for k in range(len(open_) - 1, -1, -1):
-                g = open_[k]
-                if abs(g[4] - off) <= DRIFT and lo <= g[3] + 1 and hi >= g[2] - 1:
-                    g[2], g[3] = min(g[2], lo), max(g[3], hi)
-                    g[5], g[6] = min(g[5], lo - off), max(g[6], hi - off)
-                    g[4] = off
+                pair, open_ = (b_, a_), []
+            for k in range(i, j):
+                at, open_ = _joined(open_, *(c[k] for c in rows), out, b_, a_)
+                if k == i and at == len(open_) - 1:  # the newest region is tried first: the whole run joins it
+                    g = open_[at]
+                    g[2], g[3], g[5], g[6] = min(g[2], whole[0]), max(g[3], whole[1]), min(g[5], whole[3]), max(g[6], whole[4])
+                    g[4] = whole[2]
                     break
-            else:
-                done = [g for g in open_ if g[3] < bl - 1]
-                if len(open_) > 64 and done:  # those that no later window can reach
-                    out += done
-                    open_ = [g for g in open_ if g[3] >= bl - 1]
-                open_.append([b, a, lo, hi, off, lo - off, hi - off])
         yield _region_batch(out)
     yield _region_batch(open_)
 
 
+def _joined(open_, bl, lo, hi, off, a_lo, a_hi, out, b, a):
+    """The newest region that a window joins, or a new one: its number, and the
+    open regions."""
+    for k in range(len(open_) - 1, -1, -1):
+        g = open_[k]
+        if abs(g[4] - off) <= DRIFT and lo <= g[3] + 1 and hi >= g[2] - 1:
+            g[2], g[3], g[5], g[6] = min(g[2], lo), max(g[3], hi), min(g[5], a_lo), max(g[6], a_hi)
+            g[4] = off
+            return k, open_
+    if len(open_) > 64:
+        done = [g for g in open_ if g[3] < bl - 1]
+        if done:  # those that no later window can reach
+            out += done
+            open_ = [g for g in open_ if g[3] >= bl - 1]
+    open_.append([b, a, lo, hi, off, a_lo, a_hi])
+    return len(open_) - 1, open_
+
+
 def _region_batch(rows) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) or [()] * 7
     names = ["b", "a", "b_from", "b_to", "a_from", "a_to"]
@@ -233,31 +271,38 @@ def similar_stretches(x: np.ndarray, y: np.ndarray, least: int = LEAST, similar:
     ``least`` shingles on both sides with Jaccard similarity >= ``similar``,
     starting and ending on shared shingles. Starts from the stretches between
     long gaps and divides those that are not similar at their longest gap."""
-    uniq, first = np.unique(y, return_index=True)
+    uniq, first, of = np.unique(y, return_index=True, return_inverse=True)
     at = np.minimum(np.searchsorted(uniq, x), len(uniq) - 1)
-    hits = np.flatnonzero(uniq[at] == x)
+    hit = uniq[at] == x
+    hits = np.flatnonzero(hit)
     todo, found = [hits], []
     while todo:
         h = todo.pop()
         if len(h) < similar * least / (1 + similar) or h[-1] - h[0] + 1 < least:
             continue
-        gaps = np.diff(h)
+        gaps = h[1:] - h[:-1]
         widest = int(gaps.argmax()) if len(gaps) else 0
         if len(gaps) and gaps[widest] > least // 4 + 1:
             cuts = np.flatnonzero(gaps > least // 4 + 1) + 1
             todo += np.split(h, cuts)
             continue
         s, e = int(h[0]), int(h[-1])
-        part = np.unique(x[s:e + 1])
-        off = int(np.median(h - first[at[h]]))
-        shared = np.isin(y, part)
+        here = np.zeros(len(uniq), bool)  # the shingles of y that the stretch holds
+        here[at[h]] = True
+        size = np.count_nonzero(here)
+        if len(h) < e - s + 1:
+            size += len(np.unique(x[s:e + 1][~hit[s:e + 1]]))
+        off = np.sort(h - first[at[h]])
+        off = int((off[(len(off) - 1) // 2] + off[len(off) // 2]) / 2)
+        shared = here[of]
         for lo, hi in ((s - off - DRIFT, e - off + DRIFT + 1), (s - DRIFT, e + DRIFT + 1), (0, len(y))):  # where most hits lie, the region's own alignment, all
             lo, hi = max(0, lo), min(len(y), hi)
             match = lo + np.flatnonzero(shared[lo:hi])
             if len(match) and match[-1] - match[0] + 1 >= least:
-                other = np.unique(y[match[0]:match[-1] + 1])
-                both = len(np.intersect1d(part, other, assume_unique=True))
-                if both >= similar * (len(part) + len(other) - both):
+                other = np.zeros(len(uniq), bool)
+                other[of[match[0]:match[-1] + 1]] = True
+                both = np.count_nonzero(here & other)
+                if both >= similar * (size + np.count_nonzero(other) - both):
                     found.append((s, e, int(match[0]), int(match[-1])))
                     break
         else:

@@ -1,8 +1,12 @@
+import glob
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from patronage.llm import common
 from patronage.llm import substring as sub
 from patronage.llm.substring import repeated_passages, shingles, similar_stretches, without_words
 from tests.llm.conftest import EDGE_ROWS, TESTDATA
@@ -199,3 +203,71 @@ def test_op10_finds_every_long_shared_run(spark):
         if not r.kept:
             rest = set().union(*(texts[i].tolist() for i, _ in rows if i < r.doc_id))
             assert len(mine & rest) >= 0.8 * len(mine)
+
+
+def test_run_hashes_and_bounds_equal_their_plain_forms():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 2**63, 90).astype(np.uint64)
+    for least in (1, 5, 46):
+        for k, got in enumerate(sub.run_hashes(x, least).tolist()):
+            want = 0
+            for v in x[k:k + least].tolist():
+                want = (want * int(sub.STEP) + v) % 2**64
+            assert got == want ^ want >> 29
+    keys, places = rng.permutation(60), np.sort(rng.choice(400, 60, replace=False))
+    start, end = places // 100 * 100, places // 100 * 100 + 100
+    left, right = sub.tree_bounds(keys, places, start, end)
+    for i in range(60):
+        lower = [int(places[j]) for j in range(60) if keys[j] < keys[i]]
+        assert left[i] == max([p + 1 for p in lower if p < places[i]] + [start[i]])
+        assert right[i] == min([p - 1 for p in lower if p > places[i]] + [end[i] - 1])
+
+
+def test_regions_of_joined_rows_equal_those_of_single_rows():
+    rng = np.random.default_rng(6)
+    rows = []
+    for pair in range(200):
+        for _ in range(rng.integers(1, 40)):
+            p = int(rng.integers(0, 400))
+            q = max(0, p - int(rng.choice([0, 0, 3, 40])))
+            rows.append((pair // 3 + 5, pair % 3, p << 16 | int(rng.integers(0, 65536)), q << 16 | int(rng.integers(0, 65536))))
+    rows.sort()
+
+    def found(size):
+        names = ["b", "a", "w", "aw"]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i:i + size], strict=True)], names) for i in range(0, len(rows), size)]
+        return [tuple(r.values()) for x in sub._regions(batches) for r in x.to_pylist()]
+    assert found(10_000) == found(1)
+
+
+def test_results_leave_no_shuffle_files(spark):
+    def files():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+    for kept in (common.cut, common.written):
+        before = files()
+        out = kept(spark.range(1000).repartition(3, "id"))
+        for _ in range(50):
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        assert not files() - before and out.count() == 1000
+        assert spark.conf.get(common.FREED, None) is None
+
+
+def test_long_texts_reach_python_in_batches_of_few_bytes(spark, tmp_path):
+    before = spark.conf.get(common.BATCH, None)
+    try:
+        spark.conf.unset(common.BATCH)
+        spark.range(1).write.parquet(f"{tmp_path}/documents.parquet")
+        common.table(spark, str(tmp_path), "documents")
+        long = spark.range(200, numPartitions=1).selectExpr("id", "repeat('x', 200000) text")
+        sizes = long.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
+        assert max(r.n for r in sizes) <= 2 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH, "1000000")
+        common.table(spark, str(tmp_path), "documents")
+        assert spark.conf.get(common.BATCH) == "1000000"
+    finally:
+        spark.conf.unset(common.BATCH)
+        if before is not None:
+            spark.conf.set(common.BATCH, before)
