@@ -56,7 +56,7 @@ def shingles(words: list[bytes]) -> np.ndarray:
     """Hashes of the runs of SHINGLE words, as many as start in the text."""
     if len(words) < SHINGLE:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    w = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
     out = np.zeros(len(w) - SHINGLE + 1, np.uint64)
     for k in range(SHINGLE):
         out = out * STEP + w[k:len(out) + k]
@@ -329,15 +329,19 @@ def _with_source(batches):
 
 def _verified(batches):
     """Regions with a's words and the text of b -> passages of b and of a."""
-    last, x = None, None
+    last, words, x, seen = None, [], None, 0
     for batch in batches:
         out = []
         cols = [c.to_pylist() for c in batch.columns]
         for b, a, b_from, b_to, a_from, source, text in zip(*cols, strict=True):
             if text is not last and text != last:
-                last, x = text, shingles(words_of(text))
+                last, words, x, seen = text, words_of(text), None, 0
             b_from, a_from = max(0, b_from), max(0, a_from)
-            mine, other = x[b_from:b_to + 1], shingles(source.split())
+            seen += b_to + 1 - b_from
+            if x is None and seen > len(words):  # its regions ask for more than the whole text
+                x = shingles(words)
+            mine = shingles(words[b_from:b_to + SHINGLE]) if x is None else x[b_from:b_to + 1]
+            other = shingles(source.split())
             if not len(mine) or not len(other):
                 continue
             for s, e, s2, e2 in similar_stretches(mine, other):
